@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import version_hash
 from tidemark.model import DELETE, INSERT, UPDATE, Cut, TableSpec
 from tidemark.operators.keys import assign_keys_apart
+from tidemark.operators.merge import version_struct
 from tidemark.operators.ranking import HEAVY_ROWS, Heavy
 
 
@@ -52,54 +53,41 @@ def _versions(staged: DataFrame, spec: TableSpec, days: DataFrame,
     All windows run from the newest cut to the oldest, over one sort; a group has at
     most one row per cut.
     """
-    w = Window.partitionBy(*identity).orderBy(F.col("_cut_no").desc())
-    seen_no, seen_hash = F.lead("_cut_no").over(w), F.lead("attr_hash").over(w)
-    newer_no = F.lag("_cut_no").over(w)
+    w = f"PARTITION BY {', '.join(identity)} ORDER BY _cut_no DESC"
+    up_to_here = f"({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    newer = f"({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     # one row per cut, so the calendar is as long as the list of cuts
-    rows = (staged.join(F.broadcast(days), ["_cut_label", "_cut_date"])
-            .withColumn("_seen_no", seen_no)
-            .withColumn("prev_attr_hash", seen_hash)
-            .withColumn("_newer_no", newer_no))
-    came = F.col("_seen_no").isNull() | (F.col("_seen_no") < F.col("_cut_no") - 1)
-    changed = F.col("prev_attr_hash") != F.col("attr_hash")
-    gone = F.col("_newer_no").isNull() | (F.col("_newer_no") > F.col("_cut_no") + 1)
-    rows = (rows
-            .withColumn("change_type", F.when(came, INSERT).when(changed, UPDATE))
-            .withColumn("_gone", F.when(gone & F.col("_next_date").isNotNull(), F.struct(
-                F.col("_next_date").alias("on"), F.col("_next_label").alias("label")))))
-    opened_on = F.when(F.col("change_type").isNotNull(), F.col("_cut_date"))
-    up_to_here = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    newer = w.rowsBetween(Window.unboundedPreceding, -1)
-    rows = (rows.withColumn("_gone", F.last("_gone", ignorenulls=True).over(up_to_here))
-            .withColumn("_reopened", F.last(opened_on, ignorenulls=True).over(newer))
-            .filter(F.col("change_type").isNotNull()))
-    # the deletion belongs to the last version opened before it
-    ends = F.col("_gone").isNotNull() & (
-        F.col("_reopened").isNull() | (F.col("_gone.on") <= F.col("_reopened")))
-    rows = rows.withColumn("_ends", ends)
-
-    base = {c: F.col(c) for c in spec.row_columns}
-
-    def version(**tail: Column) -> Column:
-        values = {**base, **tail}
-        return F.struct(*[values[f.name].cast(f.dataType).alias(f.name)
-                          for f in spec.version_schema])
-
-    def is_open(until: Column) -> dict[str, Column]:
-        return {"valid_to": until, "is_current": until.isNull()}
-
-    until = F.when(F.col("_ends"), F.col("_gone.on")).otherwise(F.col("_reopened"))
-    live = version(
-        change_type=F.col("change_type"), is_deleted=F.lit(False),
-        valid_from=F.col("_cut_date"), source_file=F.col("_source_file"),
-        cut_label=F.col("_cut_label"), load_ts=F.col("_load_ts"),
-        prev_attr_hash=F.col("prev_attr_hash"), **is_open(until))
-    tombstone = F.when(F.col("_ends"), version(
-        change_type=F.lit(DELETE), is_deleted=F.lit(True),
-        valid_from=F.col("_gone.on"), source_file=F.col("_source_file"),
-        cut_label=F.col("_gone.label"), load_ts=F.current_timestamp(),
-        prev_attr_hash=F.col("attr_hash"), **is_open(F.col("_reopened"))))
-    return rows.select(F.inline(F.array_compact(F.array(live, tombstone))))
+    rows = staged.join(F.broadcast(days), ["_cut_label", "_cut_date"]).selectExpr(
+        "*", f"lead(_cut_no) OVER ({w}) AS _seen_no",
+        f"lead(attr_hash) OVER ({w}) AS prev_attr_hash",
+        f"lag(_cut_no) OVER ({w}) AS _newer_no")
+    rows = rows.selectExpr("*", f"""CASE
+            WHEN _seen_no IS NULL OR _seen_no < _cut_no - 1 THEN '{INSERT}'
+            WHEN prev_attr_hash <> attr_hash THEN '{UPDATE}' END AS change_type""", """
+        CASE WHEN _next_date IS NOT NULL AND (_newer_no IS NULL OR _newer_no > _cut_no + 1)
+            THEN named_struct('day', _next_date, 'label', _next_label) END AS _left""")
+    rows = rows.selectExpr(
+        *[c for c in rows.columns if c != "_left"],
+        f"last(_left, true) OVER {up_to_here} AS _gone",
+        "last(CASE WHEN change_type IS NOT NULL THEN _cut_date END, true) "
+        f"OVER {newer} AS _reopened").filter("change_type IS NOT NULL")
+    # a deletion belongs to the last version opened before it
+    rows = rows.selectExpr("*", "_gone IS NOT NULL AND (_reopened IS NULL "
+                                "OR _gone.day <= _reopened) AS _ends")
+    row = {c: c for c in spec.row_columns}
+    until = "CASE WHEN _ends THEN _gone.day ELSE _reopened END"
+    opened = version_struct(spec, {
+        **row, "change_type": "change_type", "is_deleted": "false",
+        "valid_from": "_cut_date", "valid_to": until, "is_current": f"({until}) IS NULL",
+        "source_file": "_source_file", "cut_label": "_cut_label", "load_ts": "_load_ts",
+        "prev_attr_hash": "prev_attr_hash"}, opened=True)
+    tombstone = version_struct(spec, {
+        **row, "change_type": f"'{DELETE}'", "is_deleted": "true",
+        "valid_from": "_gone.day", "valid_to": "_reopened", "is_current": "_reopened IS NULL",
+        "source_file": "_source_file", "cut_label": "_gone.label",
+        "load_ts": "current_timestamp()", "prev_attr_hash": "attr_hash"}, opened=True)
+    return (rows.selectExpr(f"inline(array({opened}, CASE WHEN _ends THEN {tombstone} END))")
+            .filter("movement_key IS NOT NULL").drop("opened"))
 
 
 def with_version_id(history: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +19,8 @@ def with_hashes(valid: DataFrame, spec: TableSpec) -> DataFrame:
         "*",
         hashing.key_hash(spec.key_names).alias("business_key_hash"),
         hashing.attribute_hash(spec.attribute_names).alias("attr_hash"),
-        *[F.expr(d.sql).cast(d.dtype).alias(d.name) for d in (*spec.measures, *spec.flags)],
+        *[F.expr(f"CAST({d.sql} AS {d.dtype.simpleString()}) AS {d.name}")
+          for d in (*spec.measures, *spec.flags)],
     )
 
 
@@ -36,13 +39,13 @@ def _staged(numbered: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def assign_keys(valid: DataFrame, spec: TableSpec, heavy: Heavy | None = None,
-                heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+                heavy_rows: int = HEAVY_ROWS, colocate: bool = False) -> DataFrame:
     """Staged rows: hashes, occurrence number, movement key, measures, flags, lineage.
 
     ``heavy`` holds the oversized business keys when the caller already knows them
     (landing does); otherwise one narrow pass finds them.
     """
-    cold, hot = assign_keys_apart(valid, spec, heavy, heavy_rows)
+    cold, hot = assign_keys_apart(valid, spec, heavy, heavy_rows, colocate)
     return cold if hot is None else cold.unionByName(hot)
 
 
@@ -52,8 +55,8 @@ def assign_keys_apart(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Staged rows of ordinary and of heavy business keys (None when there are none).
 
-    ``colocate`` spreads the ordinary rows by business key alone, which later windows
-    over (business key, occurrence) reuse instead of shuffling again.
+    ``colocate`` spreads the ordinary rows by business key alone, which later windows and
+    joins over (business key, occurrence) reuse instead of shuffling again.
     """
     if spec.natural:
         hashed = with_hashes(valid, spec).withColumn("occurrence_seq", F.lit(1).cast("bigint"))
@@ -84,14 +87,15 @@ def duplicate_keys(staged: DataFrame, key: str = "movement_key") -> DataFrame:
         (F.sum("_n") - F.count(F.lit(1))).cast("bigint").alias("duplicates"))
 
 
-def require_unique(staged: DataFrame, key: str = "movement_key") -> DataFrame:
+def require_unique(staged: DataFrame, key: Sequence[str]) -> DataFrame:
     """The same rows; the job fails on the second row of a key.
 
     Numbering by ``key`` uses the distribution and order that the merge join on ``key``
     needs anyway, so the check adds no shuffle and no sort.
     """
-    w = Window.partitionBy(key).orderBy(key)
-    message = F.concat(F.lit(f"{key} is not unique in the cut: "), F.col(key))
+    w = Window.partitionBy(*key).orderBy(*key)
+    message = F.concat_ws(" ", F.lit("key is not unique in the cut:"),
+                          *[F.col(k).cast("string") for k in key])
     failed = F.raise_error(message).cast("boolean")
     return (staged.withColumn("_copy", F.row_number().over(w))
             .filter(F.when(F.col("_copy") > 1, failed).otherwise(F.lit(True)))

@@ -1,11 +1,15 @@
 """Compare a cut with the open versions: one full outer join, one generator.
 
-Both sides are unique on the movement key, an md5, so the join's tasks are even
-whatever the distribution of the business columns.
+Both sides are unique on the identity joined on. The movement key, an md5, gives even
+tasks whatever the distribution of the business columns. (business key, occurrence) names
+the same rows and lets the join reuse the distribution of the occurrence numbering, which
+saves a shuffle of the cut when no business key is heavy.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,92 +18,88 @@ from tidemark.model import (
 )
 from tidemark.operators.keys import require_unique
 
-KEY = "movement_key"
+BY_MOVEMENT = ("movement_key",)
+BY_BUSINESS_KEY = ("business_key_hash", "occurrence_seq")
 
 
-def pair_up(live: DataFrame, staged: DataFrame) -> DataFrame:
-    """(movement_key, new, old): the staged row and the open version of each key."""
-    new = require_unique(staged, KEY).select(KEY, F.struct(*staged.columns).alias("new"))
-    old = live.select(KEY, F.struct(*live.columns).alias("old"))
-    return new.join(old, KEY, "full_outer")
+def pair_up(live: DataFrame, staged: DataFrame,
+            on: Sequence[str] = BY_MOVEMENT) -> DataFrame:
+    """(new, old): the staged row and the open version of each key; either may be NULL."""
+    new = require_unique(staged, on).selectExpr(*on, "struct(*) AS new")
+    old = live.selectExpr(*on, "struct(*) AS old")
+    return new.join(old, list(on), "full_outer").selectExpr(
+        "coalesce(new.movement_key, old.movement_key) AS movement_key", "new", "old")
 
 
-def classify(live: DataFrame, staged: DataFrame) -> DataFrame:
+def classify(live: DataFrame, staged: DataFrame,
+             on: Sequence[str] = BY_MOVEMENT) -> DataFrame:
     """Every key of either side with its action and whether its open version closes."""
-    in_cut = F.col("new.attr_hash").isNotNull()
-    is_open = F.col("old.attr_hash").isNotNull()
-    buried = F.coalesce(F.col("old.is_deleted"), F.lit(False))
-    same = F.col("new.attr_hash") == F.col("old.attr_hash")
-    action = (
-        F.when(in_cut & (~is_open | buried), INSERT)  # also a deleted key coming back
-        .when(in_cut & ~same, UPDATE)
-        .when(in_cut, UNCHANGED)
-        .when(~buried, DELETE)
-        .otherwise(NOOP))
-    closes = is_open & F.col("action").isin(INSERT, UPDATE, DELETE)
-    return (pair_up(live, staged).withColumn("action", action)
-            .withColumn("closes", closes))
+    # the second INSERT is a deleted key coming back
+    return pair_up(live, staged, on).selectExpr("*", f"""CASE
+        WHEN new.attr_hash IS NOT NULL AND old.attr_hash IS NULL THEN '{INSERT}'
+        WHEN new.attr_hash IS NOT NULL AND old.is_deleted THEN '{INSERT}'
+        WHEN new.attr_hash <> old.attr_hash THEN '{UPDATE}'
+        WHEN new.attr_hash = old.attr_hash THEN '{UNCHANGED}'
+        WHEN NOT old.is_deleted THEN '{DELETE}'
+        ELSE '{NOOP}' END AS action""").selectExpr("*", f"""
+        old.attr_hash IS NOT NULL AND action IN ('{INSERT}', '{UPDATE}', '{DELETE}')
+        AS closes""")
 
 
-def _struct(spec: TableSpec, values: dict[str, Column]) -> Column:
-    fields = [values[f.name].cast(f.dataType).alias(f.name) for f in spec.version_schema]
-    return F.struct(*fields)
+def version_struct(spec: TableSpec, values: Mapping[str, str], opened: bool) -> str:
+    """SQL for a version row, field by field in schema order, plus the ``opened`` mark."""
+    fields = [f"'{f.name}', CAST({values[f.name]} AS {f.dataType.simpleString()})"
+              for f in spec.version_schema]
+    return f"named_struct({', '.join(fields)}, 'opened', {str(opened).lower()})"
 
 
-def _old(spec: TableSpec, **changed: Column) -> Column:
-    values = {f.name: F.col(f"old.{f.name}") for f in spec.version_schema}
-    return _struct(spec, {**values, **changed})
+def _old(spec: TableSpec, opened: bool, **changed: str) -> str:
+    values = {c: f"old.{c}" for c in spec.version_schema.fieldNames()}
+    return version_struct(spec, {**values, **changed}, opened)
 
 
-def _opened(spec: TableSpec, cut: Cut) -> Column:
+def _opened(spec: TableSpec, day: str) -> str:
     """The version a staged row opens."""
-    values = {c: F.col(f"new.{c}") for c in spec.row_columns}
-    return _struct(spec, {
-        **values,
-        "change_type": F.col("action"),
-        "is_current": F.lit(True),
-        "is_deleted": F.lit(False),
-        "valid_from": F.lit(cut.cut_date),
-        "valid_to": F.lit(None),
-        "source_file": F.col("new._source_file"),
-        "cut_label": F.col("new._cut_label"),
-        "load_ts": F.col("new._load_ts"),
-        "prev_attr_hash": F.col("old.attr_hash"),
-    })
-
-
-def _tombstone(spec: TableSpec, cut: Cut) -> Column:
+    return version_struct(spec, {
+        **{c: f"new.{c}" for c in spec.row_columns},
+        "change_type": "action", "is_current": "true", "is_deleted": "false",
+        "valid_from": day, "valid_to": "NULL", "source_file": "new._source_file",
+        "cut_label": "new._cut_label", "load_ts": "new._load_ts",
+        "prev_attr_hash": "old.attr_hash"}, opened=True)
+
+
+def _tombstone(spec: TableSpec, cut: Cut, day: str) -> str:
     """The version that records a deletion: the last known row, marked deleted."""
-    return _old(
-        spec, change_type=F.lit(DELETE), is_current=F.lit(True), is_deleted=F.lit(True),
-        valid_from=F.lit(cut.cut_date), valid_to=F.lit(None),
-        cut_label=F.lit(cut.label), load_ts=F.current_timestamp(),
-        prev_attr_hash=F.col("old.attr_hash"))
+    return _old(spec, True, change_type=f"'{DELETE}'", is_current="true", is_deleted="true",
+                valid_from=day, valid_to="NULL", cut_label=sql_text(cut.label),
+                load_ts="current_timestamp()", prev_attr_hash="old.attr_hash")
+
+
+def sql_text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def versions(classified: DataFrame, spec: TableSpec, cut: Cut) -> DataFrame:
     """Version rows after the cut: untouched, closed and opened ones.
 
     ``part`` says where each belongs (live, tombstone, closed) and ``opened`` marks
-    those this cut opened. One pass over the joined rows yields all of them.
+    those this cut opened. One pass over the joined rows yields all of them: each key
+    fills up to two slots, the version it keeps or closes and the one it opens.
     """
-    action = F.col("action")
-    kept = (F.when(F.col("closes"),
-                   _old(spec, is_current=F.lit(False), valid_to=F.lit(cut.cut_date)))
-            .when(action.isin(UNCHANGED, NOOP), _old(spec)))
-    added = (F.when(action.isin(INSERT, UPDATE), _opened(spec, cut))
-             .when(action == DELETE, _tombstone(spec, cut)))
-    slots = F.array(
-        F.struct(F.lit(False).alias("opened"), kept.alias("v")),
-        F.struct(F.lit(True).alias("opened"), added.alias("v")))
-    out = (classified.select(F.inline(slots)).filter(F.col("v.movement_key").isNotNull())
-           .select("v.*", "opened"))
-    return out.withColumn("part", part_of())
+    day = f"DATE'{cut.cut_date.isoformat()}'"
+    slots = f"""inline(array(
+        CASE WHEN closes THEN {_old(spec, False, is_current="false", valid_to=day)}
+             WHEN action IN ('{UNCHANGED}', '{NOOP}') THEN {_old(spec, False)} END,
+        CASE WHEN action IN ('{INSERT}', '{UPDATE}') THEN {_opened(spec, day)}
+             WHEN action = '{DELETE}' THEN {_tombstone(spec, cut, day)} END))"""
+    return (classified.selectExpr(slots).filter("movement_key IS NOT NULL")
+            .withColumn("part", part_of()))
 
 
 def part_of() -> Column:
-    return (F.when(~F.col("is_current"), CLOSED)
-            .when(F.col("is_deleted"), TOMBSTONE).otherwise(LIVE))
+    return F.expr(f"CASE WHEN NOT is_current THEN '{CLOSED}' "
+                  f"WHEN is_deleted THEN '{TOMBSTONE}' ELSE '{LIVE}' END")
 
 
 def merge(live: DataFrame, staged: DataFrame, spec: TableSpec, cut: Cut) -> DataFrame:
@@ -108,7 +108,7 @@ def merge(live: DataFrame, staged: DataFrame, spec: TableSpec, cut: Cut) -> Data
 
 def open_versions(merged: DataFrame, spec: TableSpec) -> DataFrame:
     """The open versions to merge the next cut with."""
-    return merged.filter("is_current").select(*spec.version_schema.fieldNames())
+    return merged.filter("is_current").selectExpr(*spec.version_schema.fieldNames())
 
 
 def no_versions(staged: DataFrame, spec: TableSpec) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.model import MOVEMENTS, Attribute, Cut, KeyColumn, TableSpec
-from tidemark.operators import history, merge, normalize
+from tidemark.operators import history, merge, normalize, ranking
 from tidemark.operators.keys import assign_keys
 from tidemark.sources.scratch import scratch_path
 
@@ -56,13 +56,12 @@ def movements_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("rn"), F.expr("CAST(CAST(ts AS DATE) AS STRING)").alias("iso"),
         "user_id", "event_type", "value")
-    rows = (events.withColumn("bad", F.expr(_BAD))
+    rows = (events.selectExpr("*", f"{_BAD} AS bad")
             .select("*", F.inline(cuts)).filter(_PRESENT))
-    return rows.select(
-        *[F.expr(sql).alias(name) for name, sql in _COLUMNS.items()],
-        F.lit("events.parquet").alias("_source_file"), F.col("label").alias("_cut_label"),
-        F.col("day").alias("_cut_date"), F.col("rn").alias("_row_num"),
-        F.current_timestamp().alias("_load_ts"))
+    return rows.selectExpr(
+        *[f"{sql} AS {name}" for name, sql in _COLUMNS.items()],
+        "'events.parquet' AS _source_file", "label AS _cut_label", "day AS _cut_date",
+        "rn AS _row_num", "current_timestamp() AS _load_ts")
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,12 +72,24 @@ def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.split(normalized(spark, sf_dir), MOVEMENTS)[0]
 
 
+_HEAVY: dict[tuple[str, str], dict[int, int]] = {}
+
+
+def heavy(spark: SparkSession, sf_dir: str) -> dict[int, int]:
+    """Oversized business keys, looked for once per session as landing would."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _HEAVY:
+        _HEAVY[at] = ranking.heavy_groups(valid(spark, sf_dir), MOVEMENTS.key_names)
+    return _HEAVY[at]
+
+
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign_keys(valid(spark, sf_dir), MOVEMENTS)
+    return assign_keys(valid(spark, sf_dir), MOVEMENTS, heavy(spark, sf_dir))
 
 
 def full_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.bulk_history(valid(spark, sf_dir), MOVEMENTS, CUTS)
+    return history.bulk_history(
+        valid(spark, sf_dir), MOVEMENTS, CUTS, heavy(spark, sf_dir))
 
 
 def folded(spark: SparkSession, sf_dir: str, cuts: Sequence[Cut] = CUTS) -> list[DataFrame]:

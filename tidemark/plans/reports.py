@@ -19,23 +19,39 @@ def event_counts(opened: DataFrame) -> DataFrame:
         n(DELETE).alias("rows_deleted"))
 
 
-def checked_tables(history: DataFrame, change_log: DataFrame,
-                   live: DataFrame | None = None) -> dict[str, DataFrame]:
-    live = marts.live_state(history) if live is None else live
+# The names of the marts.
+LIVE_VIEW, BY_PRODUCT, BY_FUND = "movimientos_vigentes", "flujo_por_producto", "flujo_por_fondo"
+
+
+def build_marts(store: Store) -> dict[str, DataFrame]:
+    """The live state as a temporary view, the two flows as written tables."""
+    live = store.live()
+    live.createOrReplaceTempView(LIVE_VIEW)
     return {
-        "history": history, "change_log": change_log, "live": live,
-        "flow_by_product": marts.flow_by_product(live),
-        "flow_by_fund": marts.flow_by_fund(live),
+        "live": live,
+        "flow_by_product": store.write_mart(BY_PRODUCT, marts.flow_by_product(live)),
+        "flow_by_fund": store.write_mart(BY_FUND, marts.flow_by_fund(live)),
     }
 
 
-def check_store(store: Store) -> None:
-    """The quality gate over the published state."""
+def build_and_check(store: Store) -> None:
+    """Builds the marts, then runs the quality gate over them and the published tables."""
     head = store.head()
-    tables = checked_tables(store.history(head), store.change_log(head), store.live(head))
+    tables = {"history": store.history(head), "change_log": store.change_log(head),
+              **build_marts(store)}
     quality.gate(quality.run_suite(tables, quality.MOVEMENTS_SUITE))
 
 
+def checked_tables(history: DataFrame, change_log: DataFrame) -> dict[str, DataFrame]:
+    """The tables of the suite, for a history that is not published."""
+    live = marts.live_state(history)
+    return {
+        "history": history, "change_log": change_log, "live": live,
+        "flow_by_product": marts.flow_by_product(live),
+        "flow_by_fund": marts.flow_by_fund(live),
+    }
+
+
 def insights(history: DataFrame, change_log: DataFrame, quarantined: DataFrame,
              live: DataFrame | None = None) -> dict[str, DataFrame]:
     """The report's results by name. Each is lazy and scans only the columns it needs."""
@@ -65,11 +81,3 @@ def export_insights(results: dict[str, DataFrame], folder: str) -> dict[str, str
         (df.write.mode("overwrite").option("ignoreNullFields", "false")
          .json(paths[name]))
     return paths
-
-
-def build_marts(store: Store) -> None:
-    """The live state as a temporary view, the two flows as written tables."""
-    live = store.live()
-    live.createOrReplaceTempView("movimientos_vigentes")
-    store.write_mart("flujo_por_producto", marts.flow_by_product(live))
-    store.write_mart("flujo_por_fondo", marts.flow_by_fund(live))

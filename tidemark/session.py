@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a join on (business key, occurrence) may keep rows distributed by business key alone
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # folders per part without sorting the rows by part first
     "spark.sql.maxConcurrentOutputFileWriters": "8",
 }

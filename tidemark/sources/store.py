@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from datetime import date
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 from tidemark.model import (
     CHANGE_LOG_SCHEMA, CLOSED, LEDGER_SCHEMA, LIVE, TOMBSTONE, Cut, TableSpec,
 )
-from tidemark.operators.history import with_version_id
+from tidemark.operators.history import as_of, with_version_id
 
 
 @dataclass(frozen=True)
@@ -131,17 +132,17 @@ class Store:
         return with_version_id(
             self._version_rows(closed).unionByName(self.open_versions(head)))
 
-    def history_since(self, day, head: Head | None = None) -> DataFrame:
-        """Versions that may hold after ``day``: what a cut closed stopped holding on its
-        date, so commits up to ``day`` are skipped altogether."""
+    def as_of(self, day: date, head: Head | None = None) -> DataFrame:
+        """Live state on a date. What a cut closed stopped holding on the cut's date, so
+        the closed versions of commits up to ``day`` are not read at all."""
         head = head or self.head()
         later = [r["commit"] for r in self.ledger(head).filter(F.col("cut_date") > F.lit(day))
                  .select("commit").distinct().collect()]
         closed = self.versions().filter(
             (F.col("part") == CLOSED)
             & (F.col("commit").isin(*later) if later else F.lit(False)))
-        return with_version_id(
-            self._version_rows(closed).unionByName(self.open_versions(head)))
+        rows = self._version_rows(closed).unionByName(self.open_versions(head))
+        return with_version_id(as_of(rows, day))
 
     def opened_by(self, commit: int, cut: Cut | None = None) -> DataFrame:
         """Versions a commit wrote and, given its cut, opened."""
@@ -168,10 +169,10 @@ class Store:
         return self._visible(df, head).select(*schema.fieldNames())
 
     # -- marts -----------------------------------------------------------------------
-    def write_mart(self, name: str, df: DataFrame) -> str:
-        path = self.path("marts", name)
-        df.write.mode("overwrite").parquet(path)
-        return path
+    def write_mart(self, name: str, df: DataFrame) -> DataFrame:
+        """Replaces a mart and returns it as read back."""
+        df.write.mode("overwrite").parquet(self.path("marts", name))
+        return self.spark.read.schema(df.schema).parquet(self.path("marts", name))
 
     # -- housekeeping ----------------------------------------------------------------
     def drop_old_open_versions(self, keep: int = 2) -> list[int]:
