@@ -9,14 +9,18 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import trimmed
 
-# A full year-month-day, with an optional time part. Keeps out "2024" and "2024-01",
-# which a bare cast would complete to a day the source never named.
-ISO_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
-
 
 def iso_date(c: Column) -> Column:
+    """Year, month and day, with an optional time part.
+
+    A bare cast also takes "2024" and "2024-01", completing a day the source never named,
+    and years of other lengths. The dashes tell: the first closes a four-digit year, the
+    second a month of one or two digits.
+    """
     text = trimmed(c)
-    return F.when(text.rlike(ISO_SHAPE), text.try_cast("date"))
+    dashes = (F.substring(text, 5, 1) == "-") & (
+        (F.substring(text, 8, 1) == "-") | (F.substring(text, 7, 1) == "-"))
+    return F.when(dashes, text.try_cast("date"))
 
 
 def parsed_date(c: Column, formats: Iterable[str]) -> Column:

@@ -13,8 +13,12 @@ SPACES = "".join(c for c in map(chr, range(0x3001)) if unicodedata.category(c) =
 
 
 def trimmed(c: Column) -> Column:
-    """Strip every Unicode space separator (not tabs or line ends) from both ends."""
-    return F.trim(c, F.lit(SPACES))
+    """Strip every Unicode space separator (not tabs or line ends) from both ends.
+
+    Pure ASCII text, the usual case, can only hold the plain space.
+    """
+    ascii_only = F.octet_length(c) == F.char_length(c)
+    return F.when(ascii_only, F.trim(c)).otherwise(F.trim(c, F.lit(SPACES)))
 
 
 def canonical(c: Column) -> Column:
@@ -41,6 +45,6 @@ def recoded(c: Column, mapping: Iterable[tuple[str, str]]) -> Column:
     return ~canonical(c).isin(*targets)
 
 
-def is_blank(c: Column) -> Column:
-    """NULL or empty; never NULL itself."""
-    return c.isNull() | (c == F.lit(""))
+def has_text(c: Column) -> Column:
+    """Neither NULL nor empty; never NULL itself."""
+    return F.coalesce(c != F.lit(""), F.lit(False))

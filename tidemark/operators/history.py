@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.hashing import version_hash
 from tidemark.model import DELETE, INSERT, UPDATE, Cut, TableSpec
 from tidemark.operators.keys import assign_keys_apart
-from tidemark.operators.merge import version_struct
+from tidemark.operators.merge import version_columns
 from tidemark.operators.ranking import HEAVY_ROWS, Heavy
 
 
@@ -75,19 +75,20 @@ def _versions(staged: DataFrame, spec: TableSpec, days: DataFrame,
     rows = rows.selectExpr("*", "_gone IS NOT NULL AND (_reopened IS NULL "
                                 "OR _gone.day <= _reopened) AS _ends")
     row = {c: c for c in spec.row_columns}
-    until = "CASE WHEN _ends THEN _gone.day ELSE _reopened END"
-    opened = version_struct(spec, {
-        **row, "change_type": "change_type", "is_deleted": "false",
-        "valid_from": "_cut_date", "valid_to": until, "is_current": f"({until}) IS NULL",
-        "source_file": "_source_file", "cut_label": "_cut_label", "load_ts": "_load_ts",
-        "prev_attr_hash": "prev_attr_hash"}, opened=True)
-    tombstone = version_struct(spec, {
-        **row, "change_type": f"'{DELETE}'", "is_deleted": "true",
-        "valid_from": "_gone.day", "valid_to": "_reopened", "is_current": "_reopened IS NULL",
-        "source_file": "_source_file", "cut_label": "_gone.label",
-        "load_ts": "current_timestamp()", "prev_attr_hash": "attr_hash"}, opened=True)
-    return (rows.selectExpr(f"inline(array({opened}, CASE WHEN _ends THEN {tombstone} END))")
-            .filter("movement_key IS NOT NULL").drop("opened"))
+    return (rows.selectExpr("*", "explode(CASE WHEN _ends THEN array(false, true) "
+                                 "ELSE array(false) END) AS _buried")
+            .selectExpr(
+                "*", "CASE WHEN _ends AND NOT _buried THEN _gone.day ELSE _reopened END AS _until")
+            .selectExpr(*version_columns(spec, {
+                **row,
+                "change_type": f"CASE WHEN _buried THEN '{DELETE}' ELSE change_type END",
+                "is_current": "_until IS NULL", "is_deleted": "_buried",
+                "valid_from": "CASE WHEN _buried THEN _gone.day ELSE _cut_date END",
+                "valid_to": "_until", "source_file": "_source_file",
+                "cut_label": "CASE WHEN _buried THEN _gone.label ELSE _cut_label END",
+                "load_ts": "CASE WHEN _buried THEN current_timestamp() ELSE _load_ts END",
+                "prev_attr_hash": "CASE WHEN _buried THEN attr_hash ELSE prev_attr_hash END",
+            })))
 
 
 def with_version_id(history: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Compare a cut with the open versions: one full outer join, one generator.
+"""Compare a cut with the open versions: one full outer join, then one explode.
 
 Both sides are unique on the identity joined on. The movement key, an md5, gives even
 tasks whatever the distribution of the business columns. (business key, occurrence) names
@@ -46,33 +46,45 @@ def classify(live: DataFrame, staged: DataFrame,
         AS closes""")
 
 
-def version_struct(spec: TableSpec, values: Mapping[str, str], opened: bool) -> str:
-    """SQL for a version row, field by field in schema order, plus the ``opened`` mark."""
-    fields = [f"'{f.name}', CAST({values[f.name]} AS {f.dataType.simpleString()})"
-              for f in spec.version_schema]
-    return f"named_struct({', '.join(fields)}, 'opened', {str(opened).lower()})"
+def version_columns(spec: TableSpec, values: Mapping[str, str]) -> list[str]:
+    """Select list of a version row: each column's SQL under its declared name and type."""
+    return [f"CAST({values[f.name]} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in spec.version_schema]
 
 
-def _old(spec: TableSpec, opened: bool, **changed: str) -> str:
-    values = {c: f"old.{c}" for c in spec.version_schema.fieldNames()}
-    return version_struct(spec, {**values, **changed}, opened)
-
-
-def _opened(spec: TableSpec, day: str) -> str:
-    """The version a staged row opens."""
-    return version_struct(spec, {
-        **{c: f"new.{c}" for c in spec.row_columns},
-        "change_type": "action", "is_current": "true", "is_deleted": "false",
-        "valid_from": day, "valid_to": "NULL", "source_file": "new._source_file",
-        "cut_label": "new._cut_label", "load_ts": "new._load_ts",
-        "prev_attr_hash": "old.attr_hash"}, opened=True)
+def versions(classified: DataFrame, spec: TableSpec, cut: Cut) -> DataFrame:
+    """Version rows after the cut: untouched, closed and opened ones.
 
+    A key yields its open version, kept or closed, and the version it opens, which holds
+    the cut's row or, for a deletion, buries the last known one. ``part`` says where each
+    row belongs (live, tombstone, closed) and ``opened`` marks those this cut opened.
+    """
+    slots = f"""CASE
+        WHEN action IN ('{UNCHANGED}', '{NOOP}') THEN array('kept')
+        WHEN action = '{DELETE}' THEN array('closed', 'buried')
+        WHEN closes THEN array('closed', 'opened')
+        ELSE array('opened') END"""
+    day = f"DATE'{cut.cut_date.isoformat()}'"
 
-def _tombstone(spec: TableSpec, cut: Cut, day: str) -> str:
-    """The version that records a deletion: the last known row, marked deleted."""
-    return _old(spec, True, change_type=f"'{DELETE}'", is_current="true", is_deleted="true",
-                valid_from=day, valid_to="NULL", cut_label=sql_text(cut.label),
-                load_ts="current_timestamp()", prev_attr_hash="old.attr_hash")
+    def by_slot(opened: str, buried: str, otherwise: str) -> str:
+        return (f"CASE slot WHEN 'opened' THEN {opened} WHEN 'buried' THEN {buried} "
+                f"ELSE {otherwise} END")
+
+    rows = {c: by_slot(f"new.{c}", f"old.{c}", f"old.{c}") for c in spec.row_columns}
+    return (classified.selectExpr("new", "old", "action", f"explode({slots}) AS slot")
+            .selectExpr(*version_columns(spec, {
+                **rows,
+                "change_type": by_slot("action", "action", "old.change_type"),
+                "is_current": "slot <> 'closed'",
+                "is_deleted": by_slot("false", "true", "old.is_deleted"),
+                "valid_from": by_slot(day, day, "old.valid_from"),
+                "valid_to": f"CASE WHEN slot = 'closed' THEN {day} END",
+                "source_file": by_slot("new._source_file", "old.source_file", "old.source_file"),
+                "cut_label": by_slot("new._cut_label", sql_text(cut.label), "old.cut_label"),
+                "load_ts": by_slot("new._load_ts", "current_timestamp()", "old.load_ts"),
+                "prev_attr_hash": by_slot("old.attr_hash", "old.attr_hash", "old.prev_attr_hash"),
+            }), "slot IN ('opened', 'buried') AS opened")
+            .withColumn("part", part_of()))
 
 
 def sql_text(value: str) -> str:
@@ -80,23 +92,6 @@ def sql_text(value: str) -> str:
     return f"'{escaped}'"
 
 
-def versions(classified: DataFrame, spec: TableSpec, cut: Cut) -> DataFrame:
-    """Version rows after the cut: untouched, closed and opened ones.
-
-    ``part`` says where each belongs (live, tombstone, closed) and ``opened`` marks
-    those this cut opened. One pass over the joined rows yields all of them: each key
-    fills up to two slots, the version it keeps or closes and the one it opens.
-    """
-    day = f"DATE'{cut.cut_date.isoformat()}'"
-    slots = f"""inline(array(
-        CASE WHEN closes THEN {_old(spec, False, is_current="false", valid_to=day)}
-             WHEN action IN ('{UNCHANGED}', '{NOOP}') THEN {_old(spec, False)} END,
-        CASE WHEN action IN ('{INSERT}', '{UPDATE}') THEN {_opened(spec, day)}
-             WHEN action = '{DELETE}' THEN {_tombstone(spec, cut, day)} END))"""
-    return (classified.selectExpr(slots).filter("movement_key IS NOT NULL")
-            .withColumn("part", part_of()))
-
-
 def part_of() -> Column:
     return F.expr(f"CASE WHEN NOT is_current THEN '{CLOSED}' "
                   f"WHEN is_deleted THEN '{TOMBSTONE}' ELSE '{LIVE}' END")

@@ -48,15 +48,15 @@ def normalize(raw: DataFrame, spec: TableSpec) -> DataFrame:
     return raw.select(*normalized_columns(spec), *lineage)
 
 
-def _unusable(k: KeyColumn, spec: TableSpec) -> Column:
+def _present(k: KeyColumn, spec: TableSpec) -> Column:
     c = F.col(k.name)
     is_text = isinstance(spec.version_schema[k.name].dataType, T.StringType)
-    return text.is_blank(c) if is_text else c.isNull()
+    return text.has_text(c) if is_text else c.isNotNull()
 
 
 def usable(spec: TableSpec) -> Column:
     """True where every identity column is present. Never NULL, so it splits cleanly."""
-    return ~reduce(lambda a, b: a | b, [_unusable(k, spec) for k in spec.key])
+    return reduce(lambda a, b: a & b, [_present(k, spec) for k in spec.key])
 
 
 def split(normalized: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
@@ -67,7 +67,11 @@ def split(normalized: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]
 
 def quarantine(normalized: DataFrame, spec: TableSpec) -> DataFrame:
     """Unusable rows under their source column names, with every reason spelled out."""
-    _, bad = split(normalized, spec)
+    return with_reasons(split(normalized, spec)[1], spec)
+
+
+def with_reasons(bad: DataFrame, spec: TableSpec) -> DataFrame:
+    """Quarantine rows for normalised rows already known to be unusable."""
     by_source = {k.source: k for k in spec.key}
     shown = []
     for f in spec.source.fields:
@@ -75,7 +79,7 @@ def quarantine(normalized: DataFrame, spec: TableSpec) -> DataFrame:
         c = F.col(k.name if k else f.name)
         shown.append((c.cast("string") if k and k.kind == "date" else c).alias(f.name))
     reasons = F.concat_ws(
-        "; ", *[F.when(_unusable(k, spec), F.lit(k.reason or f"{k.name} missing"))
+        "; ", *[F.when(~_present(k, spec), F.lit(k.reason or f"{k.name} missing"))
                 for k in spec.key])
-    lineage = [c for c in LINEAGE_COLUMNS if c != "_row_num" and c in normalized.columns]
+    lineage = [c for c in LINEAGE_COLUMNS if c != "_row_num" and c in bad.columns]
     return bad.select(*shown, reasons.alias("_reasons"), *lineage)

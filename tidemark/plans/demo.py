@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.model import MOVEMENTS, Attribute, Cut, KeyColumn, TableSpec
-from tidemark.operators import history, merge, normalize, ranking
+from tidemark.operators import history, merge, normalize
 from tidemark.operators.keys import assign_keys
+from tidemark.plans import pipeline
 from tidemark.sources.scratch import scratch_path
+from tidemark.sources.store import USABLE, Head, Store
 
 CUTS = (Cut("T", "T.parquet", date(2024, 11, 1)), Cut("T1", "T1.parquet", date(2024, 11, 2)),
         Cut("T2", "T2.parquet", date(2024, 11, 3)))
@@ -68,19 +69,28 @@ def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.normalize(movements_raw(spark, sf_dir), MOVEMENTS)
 
 
-def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize.split(normalized(spark, sf_dir), MOVEMENTS)[0]
+_LANDED: dict[tuple[str, str], tuple[Store, dict[int, int]]] = {}
+
 
+def landed(spark: SparkSession, sf_dir: str) -> tuple[Store, dict[int, int]]:
+    """A store with every cut landed, made once per session, and the heavy business keys
+    that landing found."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _LANDED:
+        store = Store(spark, scratch_path(spark, "landed"), MOVEMENTS)
+        found = pipeline.land_rows(store, movements_raw(spark, sf_dir))
+        _LANDED[at] = store, found.heavy
+    return _LANDED[at]
 
-_HEAVY: dict[tuple[str, str], dict[int, int]] = {}
+
+def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The usable rows of all cuts, normalised from where they were landed."""
+    store, _ = landed(spark, sf_dir)
+    return normalize.normalize(store.landed().filter(USABLE), MOVEMENTS)
 
 
 def heavy(spark: SparkSession, sf_dir: str) -> dict[int, int]:
-    """Oversized business keys, looked for once per session as landing would."""
-    at = (spark.sparkContext.applicationId, sf_dir)
-    if at not in _HEAVY:
-        _HEAVY[at] = ranking.heavy_groups(valid(spark, sf_dir), MOVEMENTS.key_names)
-    return _HEAVY[at]
+    return landed(spark, sf_dir)[1]
 
 
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,15 +102,24 @@ def full_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         valid(spark, sf_dir), MOVEMENTS, CUTS, heavy(spark, sf_dir))
 
 
-def folded(spark: SparkSession, sf_dir: str, cuts: Sequence[Cut] = CUTS) -> list[DataFrame]:
-    """The classified cuts, each against the state the ones before it left."""
-    rows, live, out = staged(spark, sf_dir), None, []
-    for cut in cuts:
-        part = rows.filter(F.col("_cut_date") == F.lit(cut.cut_date))
-        live = merge.no_versions(part, MOVEMENTS) if live is None else live
-        out.append(merge.classify(live, part))
-        live = merge.open_versions(merge.versions(out[-1], MOVEMENTS, cut), MOVEMENTS)
-    return out
+_PUBLISHED: dict[tuple[str, str], Store] = {}
+
+
+def published(spark: SparkSession, sf_dir: str) -> Store:
+    """A store with the cuts processed one after the other, made once per session."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _PUBLISHED:
+        store = Store(spark, scratch_path(spark, "published"), MOVEMENTS)
+        for cut in write_cuts(spark, sf_dir):
+            pipeline.process_cut(spark, store, cut)
+        _PUBLISHED[at] = store
+    return _PUBLISHED[at]
+
+
+def classified(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """The n-th cut (from 1) against the open versions that the one before it published."""
+    rows = staged(spark, sf_dir).filter(F.col("_cut_date") == F.lit(CUTS[n - 1].cut_date))
+    return merge.classify(published(spark, sf_dir).open_versions(Head(n - 1)), rows)
 
 
 def write_cuts(spark: SparkSession, sf_dir: str, folder: str | None = None) -> list[Cut]:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.model import Cut, TableSpec
@@ -15,7 +15,7 @@ from tidemark.operators import history, merge, normalize, ranking
 from tidemark.operators.keys import assign_keys
 from tidemark.plans import reports
 from tidemark.sources import cuts as source
-from tidemark.sources.store import Head, Store
+from tidemark.sources.store import USABLE, Head, Store
 
 
 class DeleteRatioError(RuntimeError):
@@ -24,9 +24,8 @@ class DeleteRatioError(RuntimeError):
 
 @dataclass(frozen=True)
 class Landed:
-    """What one pass over a cut's file found out."""
+    """What one pass over landed rows found out."""
 
-    cut: Cut
     source_rows: int
     rows_valid: int
     checksum: str
@@ -43,26 +42,32 @@ class Landed:
 
 def land(spark: SparkSession, store: Store, cut: Cut,
          heavy_rows: int = ranking.HEAVY_ROWS) -> Landed:
-    """Writes a cut to raw, replacing an earlier landing of it.
+    """Writes a cut to raw, replacing an earlier landing of it."""
+    scanned = source.scan_cut(spark, cut.path, store.spec)
+    return land_rows(store, source.with_lineage(scanned, cut), heavy_rows)
 
-    The same pass counts source and usable rows, checksums the content and looks for
+
+def land_rows(store: Store, rows: DataFrame,
+              heavy_rows: int = ranking.HEAVY_ROWS) -> Landed:
+    """Writes rows with their lineage to raw, replacing the slices they belong to.
+
+    The same pass marks usable rows, counts them, checksums the content and looks for
     oversized business keys, so none of these costs a scan of its own. The observed
-    rows are in the writing stage; a lost executor cannot count them twice.
+    rows are in the writing stage; a lost executor cannot count them twice. Later steps
+    filter on the stored mark instead of judging every row again.
     """
     spec, seen = store.spec, Observation()
-    landed = source.with_lineage(source.scan_cut(spark, cut.path, spec), cut)
     # raw and normalised names overlap, so the raw row is set aside in a struct
-    clean = landed.select(F.struct(*landed.columns).alias("raw"),
-                          *normalize.key_columns(spec))
-    ok = normalize.usable(spec)
-    metrics = [F.count_if(ok).alias("rows_valid")]
+    clean = rows.select(F.struct(*rows.columns).alias("raw"), *normalize.key_columns(spec))
+    clean = clean.withColumn(USABLE, normalize.usable(spec))
+    metrics = [F.count_if(USABLE).alias("rows_valid")]
     if not spec.natural:
         metrics.append(ranking.heavy_sketch(
-            ranking.group_id(spec.key_names), ok).alias("top"))
+            ranking.group_id(spec.key_names), F.col(USABLE)).alias("top"))
     observed = clean.observe(seen, *metrics, *source.fingerprint_columns(spec, "raw."))
-    store.write_raw(observed.select("raw.*"))
+    store.write_raw(observed.select("raw.*", USABLE))
     got = seen.get
-    return Landed(cut, got["source_rows"], got["rows_valid"], got["checksum"],
+    return Landed(got["source_rows"], got["rows_valid"], got["checksum"],
                   ranking.heavy_from_sketch(got.get("top"), got["rows_valid"], heavy_rows))
 
 
@@ -91,11 +96,8 @@ def process_cut(spark: SparkSession, store: Store, cut: Cut, *,
 
     landed = land(spark, store, cut, heavy_rows)
     commit, run_id = head.commit + 1, uuid.uuid4().hex[:12]
-    normalized = normalize.normalize(store.raw(cut), spec)
-    if landed.rows_quarantined:
-        store.write_quarantine(normalize.quarantine(normalized, spec), commit)
-
-    valid, _ = normalize.split(normalized, spec)
+    _write_quarantine(store, store.landed(cut), landed.rows_quarantined, commit)
+    valid = normalize.normalize(store.landed(cut).filter(USABLE), spec)
     # a business key heavy in an earlier cut may still be among the open versions
     even = not landed.heavy and not _had_heavy_keys(store, base)
     staged = assign_keys(valid, spec, landed.heavy, heavy_rows, colocate=even)
@@ -111,11 +113,17 @@ def process_cut(spark: SparkSession, store: Store, cut: Cut, *,
     events = (merge.events(store.opened_by(commit, cut))
               .withColumn("run_id", F.lit(run_id)).withColumn("ts", F.current_timestamp()))
     store.write_change_log(events, commit)
-    record = _record(commit, (*base.lineage, commit), run_id, landed, counts, started)
+    record = _record(cut, commit, (*base.lineage, commit), run_id, landed, counts, started)
     store.publish([record])
     return record
 
 
+def _write_quarantine(store: Store, landed: DataFrame, rows: int, commit: int) -> None:
+    if rows:
+        bad = normalize.normalize(landed.filter(~F.col(USABLE)), store.spec)
+        store.write_quarantine(normalize.with_reasons(bad, store.spec), commit)
+
+
 def _had_heavy_keys(store: Store, base: Head) -> bool:
     found = store.ledger(base).agg(F.max("heavy_keys").alias("n")).first()["n"]
     return bool(found)
@@ -145,12 +153,12 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def _record(commit: int, lineage: Sequence[int], run_id: str, landed: Landed,
+def _record(cut: Cut, commit: int, lineage: Sequence[int], run_id: str, landed: Landed,
             counts: dict, started: datetime) -> dict:
     return {
         "commit": commit, "lineage": list(lineage), "run_id": run_id,
-        "cut_label": landed.cut.label, "cut_date": landed.cut.cut_date,
-        "source_file": landed.cut.path.rsplit("/", 1)[-1],
+        "cut_label": cut.label, "cut_date": cut.cut_date,
+        "source_file": cut.path.rsplit("/", 1)[-1],
         "fingerprint": landed.fingerprint, "source_rows": landed.source_rows,
         "rows_valid": landed.rows_valid, "rows_quarantined": landed.rows_quarantined,
         **{k: counts[k] for k in
@@ -173,14 +181,13 @@ def rebuild(spark: SparkSession, store: Store, cuts: Sequence[Cut], *,
     landings = [land(spark, store, c, max(1, heavy_rows // len(ordered))) for c in ordered]
     wanted = F.struct("_cut_date", "_cut_label").isin(
         *[F.struct(F.lit(c.cut_date), F.lit(c.label)) for c in ordered])
-    normalized = normalize.normalize(store.raw().filter(wanted), spec)
-    if any(x.rows_quarantined for x in landings):
-        store.write_quarantine(normalize.quarantine(normalized, spec), commit)
+    rows = store.landed().filter(wanted)
+    _write_quarantine(store, rows, sum(x.rows_quarantined for x in landings), commit)
     heavy: dict[int, int] = {}
     for x in landings:
         for group, rows in x.heavy.items():
             heavy[group] = heavy.get(group, 0) + rows
-    valid, _ = normalize.split(normalized, spec)
+    valid = normalize.normalize(rows.filter(USABLE), spec)
     versions = history.bulk_history(valid, spec, ordered, heavy, heavy_rows)
     store.write_versions(versions.withColumn("part", merge.part_of()), commit)
 
@@ -190,14 +197,14 @@ def rebuild(spark: SparkSession, store: Store, cuts: Sequence[Cut], *,
     log = {(r["cut_label"], r["cut_date"]): r for r in reports.event_counts(
         store.opened_by(commit)).collect()}  # one row per cut
     records, live = [], 0
-    for x in landings:
-        found = log.get((x.cut.label, x.cut.cut_date))
+    for cut, x in zip(ordered, landings):
+        found = log.get((cut.label, cut.cut_date))
         n, u, d = ((found["rows_new"], found["rows_changed"], found["rows_deleted"])
                    if found else (0, 0, 0))
         counts = {"rows_new": n, "rows_changed": u, "rows_deleted": d,
                   "rows_unchanged": live - u - d}
         live += n - d
-        records.append(_record(commit, (commit,), run_id, x, counts, started))
+        records.append(_record(cut, commit, (commit,), run_id, x, counts, started))
     store.publish(records)
     return records
 

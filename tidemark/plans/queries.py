@@ -116,20 +116,6 @@ def order_guard(spark: SparkSession, sf: str) -> DataFrame:
         "cut_label", "cut_date")
 
 
-_PUBLISHED: dict[tuple[str, str], Store] = {}
-
-
-def _published(spark: SparkSession, sf: str) -> Store:
-    """A store with the three cuts processed one after the other, made once per session."""
-    at = (spark.sparkContext.applicationId, sf)
-    if at not in _PUBLISHED:
-        store = Store(spark, scratch_path(spark, "store"), MOVEMENTS)
-        for cut in demo.write_cuts(spark, sf):
-            pipeline.process_cut(spark, store, cut)
-        _PUBLISHED[at] = store
-    return _PUBLISHED[at]
-
-
 @query("single_cut")
 def single_cut(spark: SparkSession, sf: str) -> DataFrame:
     """The live state after one ad-hoc cut."""
@@ -140,12 +126,12 @@ def single_cut(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("ledger_append")
 def ledger_append(spark: SparkSession, sf: str) -> DataFrame:
-    return _published(spark, sf).ledger().select("commit", "cut_label", "cut_date", "status")
+    return demo.published(spark, sf).ledger().select("commit", "cut_label", "cut_date", "status")
 
 
 @query("run_metrics")
 def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return _published(spark, sf).ledger().select(
+    return demo.published(spark, sf).ledger().select(
         "cut_label", "cut_date", "source_rows", "rows_valid", "rows_quarantined",
         "rows_new", "rows_changed", "rows_deleted", "rows_unchanged", "status")
 
@@ -153,7 +139,7 @@ def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
 @query("history_publish")
 def history_publish(spark: SparkSession, sf: str) -> DataFrame:
     """The published history, as a reader of the store sees it."""
-    return _history_columns(_published(spark, sf).history())
+    return _history_columns(demo.published(spark, sf).history())
 
 
 @query("rebuild")
@@ -315,7 +301,7 @@ def tombstones(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- change capture: the third cut against the state the first two left ---------------------
 def _last(spark: SparkSession, sf: str) -> DataFrame:
-    return demo.folded(spark, sf)[-1]
+    return demo.classified(spark, sf, len(demo.CUTS))
 
 
 def _last_versions(spark: SparkSession, sf: str) -> DataFrame:
@@ -384,23 +370,23 @@ def change_log(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("change_log_stored")
 def change_log_stored(spark: SparkSession, sf: str) -> DataFrame:
-    return _published(spark, sf).change_log().drop("run_id", "ts")
+    return demo.published(spark, sf).change_log().drop("run_id", "ts")
 
 
 @query("merge_counts")
 def merge_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return _union([c.agg(*merge.action_counts()).select(F.lit(cut.label).alias("cut_label"), "*")
-                   for cut, c in zip(demo.CUTS, demo.folded(spark, sf))])
+    return _union([
+        demo.classified(spark, sf, n).agg(*merge.action_counts())
+        .select(F.lit(cut.label).alias("cut_label"), "*")
+        for n, cut in enumerate(demo.CUTS, start=1)])
 
 
 @query("merge_idempotent")
 def merge_idempotent(spark: SparkSession, sf: str) -> DataFrame:
-    """Counts of merging the last cut again, with itself as the open state."""
-    cut = demo.CUTS[-1]
-    staged = demo.staged(spark, sf).filter(F.col("_cut_date") == F.lit(cut.cut_date))
-    live = merge.open_versions(
-        merge.merge(merge.no_versions(staged, MOVEMENTS), staged, MOVEMENTS, cut), MOVEMENTS)
-    return merge.classify(live, staged).agg(*merge.action_counts())
+    """Counts of merging the last cut again, with itself already published."""
+    rows = demo.staged(spark, sf).filter(F.col("_cut_date") == F.lit(demo.CUTS[-1].cut_date))
+    live = demo.published(spark, sf).open_versions()
+    return merge.classify(live, rows).agg(*merge.action_counts())
 
 
 @query("version_id")
@@ -494,7 +480,7 @@ _ITEM = {"cdc_por_corte": "cut_label", "flujo_por_producto": "product", "por_tip
 @query("insights")
 def insights(spark: SparkSession, sf: str) -> DataFrame:
     """The whole bundle, one row per number."""
-    results = reports.store_insights(_published(spark, sf))
+    results = reports.store_insights(demo.published(spark, sf))
     return _union([_long(n, df, _ITEM.get(n)) for n, df in results.items()])
 
 
@@ -502,7 +488,7 @@ def insights(spark: SparkSession, sf: str) -> DataFrame:
 def insights_export(spark: SparkSession, sf: str) -> DataFrame:
     """The exported top-client JSON, read back."""
     paths = reports.export_insights(
-        reports.store_insights(_published(spark, sf)), scratch_path(spark, "insights"))
+        reports.store_insights(demo.published(spark, sf)), scratch_path(spark, "insights"))
     return spark.read.schema("id_cliente string, n_movimientos bigint, volumen double").json(
         paths["top_clientes"])
 
@@ -510,7 +496,7 @@ def insights_export(spark: SparkSession, sf: str) -> DataFrame:
 # -- quality ----------------------------------------------------------------------------
 def _copies(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The published history, and a damaged copy in which most assertions find something."""
-    clean = _published(spark, sf).history()
+    clean = demo.published(spark, sf).history()
     return {"clean": clean, "corrupted": corrupted(clean)}
 
 
@@ -604,10 +590,9 @@ def as_of_state(spark: SparkSession, sf: str) -> DataFrame:
 def mart_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """The product mart kept up to date from each cut's changes alone."""
     state = None
-    for cut, classified in zip(demo.CUTS, demo.folded(spark, sf)):
-        delta = marts.flow_state(
-            marts.merge_delta(merge.versions(classified, MOVEMENTS, cut)),
-            "product", F.col("_sign"))
+    for n, cut in enumerate(demo.CUTS, start=1):
+        merged = merge.versions(demo.classified(spark, sf, n), MOVEMENTS, cut)
+        delta = marts.flow_state(marts.merge_delta(merged), "product", F.col("_sign"))
         state = delta if state is None else marts.add_flow(state, delta, "product")
     return marts.finish_flow(state, "product")
 

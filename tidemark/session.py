@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a join on (business key, occurrence) may keep rows distributed by business key alone
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # HotSpot does not compile methods above 8000 bytes; let wide projections be split
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # folders per part without sorting the rows by part first
     "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
@@ -27,6 +29,7 @@ def local_session(cpus: int = 8, memory: str = "8g", name: str = "tidemark") ->
     spark = (configure(SparkSession.builder.master(f"local[{cpus}]").appName(name))
              .config("spark.sql.shuffle.partitions", str(cpus))
              .config("spark.driver.memory", memory)
+             .config("spark.ui.showConsoleProgress", "false")
              .config("spark.ui.enabled", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -28,6 +28,9 @@ from tidemark.model import (
 from tidemark.operators.history import as_of, with_version_id
 
 
+USABLE = "_usable"
+
+
 @dataclass(frozen=True)
 class Head:
     """A published state: its commit number and the commits readable from it."""
@@ -67,13 +70,17 @@ class Store:
          .option("partitionOverwriteMode", "dynamic").mode("overwrite")
          .parquet(self.path("raw")))
 
-    def raw(self, cut: Cut | None = None) -> DataFrame:
+    def landed(self, cut: Cut | None = None) -> DataFrame:
+        """Landed rows with the mark that landing put on those with a usable identity."""
         keys = ("_cut_date", "_cut_label")
         body = T.StructType([f for f in self.spec.raw_schema if f.name not in keys])
-        df = self._read("raw", body, "_cut_date date, _cut_label string").select(
-            *self.spec.raw_schema.fieldNames())
+        body = body.add(USABLE, T.BooleanType())
+        df = self._read("raw", body, "_cut_date date, _cut_label string")
         return df if cut is None else cut_slice(df, cut)
 
+    def raw(self, cut: Cut | None = None) -> DataFrame:
+        return self.landed(cut).select(*self.spec.raw_schema.fieldNames())
+
     # -- ledger ----------------------------------------------------------------------
     def _records(self) -> DataFrame:
         if not self._exists("ledger"):
