@@ -11,8 +11,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a join on (business key, occurrence) may keep rows distributed by business key alone
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
-    # HotSpot does not compile methods above 8000 bytes; let wide projections be split
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     # folders per part without sorting the rows by part first
     "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
