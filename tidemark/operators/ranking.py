@@ -25,6 +25,8 @@ SKETCH_TOP = 1_000
 HEAVY_SHARE = 1 / SKETCH_TOP
 # Below this many rows a group fits one task whatever its share.
 HEAVY_ROWS = 2_000_000
+# More slices than this would cost the shuffle more than larger, spilling sorts do.
+MAX_SLICES = 20_000
 
 Heavy = Mapping[int, int]
 
@@ -48,6 +50,17 @@ def heavy_from_sketch(top, rows: int, heavy_rows: int = HEAVY_ROWS) -> dict[int,
             if r["item"] is not None and r["count"] >= floor}
 
 
+def heavy_together(parts: Sequence[Heavy], rows: int,
+                   heavy_rows: int = HEAVY_ROWS) -> dict[int, int]:
+    """Heavy groups of several cuts taken together, from those of each cut."""
+    total: dict[int, int] = {}
+    for part in parts:
+        for group, n in part.items():
+            total[group] = total.get(group, 0) + n
+    floor = max(heavy_rows, rows * HEAVY_SHARE)
+    return {group: n for group, n in total.items() if n >= floor}
+
+
 def heavy_groups(df: DataFrame, columns: Sequence[str],
                  heavy_rows: int = HEAVY_ROWS) -> dict[int, int]:
     """One pass over the group columns only; returns a bounded number of groups."""
@@ -75,7 +88,7 @@ def number_heavy_rows(df: DataFrame, partition: Sequence[str], order: Sequence[C
     comes from the exchange, so the sliced rows are checkpointed: a recomputed range
     partitioning could pick other bounds and the offsets would no longer fit.
     """
-    slices = max(2, math.ceil(2 * sum(heavy.values()) / slice_rows))
+    slices = min(MAX_SLICES, max(2, math.ceil(2 * sum(heavy.values()) / slice_rows)))
     use_checkpoint_dir(df.sparkSession)
     sliced = (df.repartitionByRange(slices, *[F.col(c) for c in partition], *order)
               .withColumn("_slice", F.spark_partition_id())
@@ -83,11 +96,12 @@ def number_heavy_rows(df: DataFrame, partition: Sequence[str], order: Sequence[C
     keys = [*partition, "_slice"]
     before = Window.partitionBy(*partition).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1)
-    # A group covers neighbouring slices, so this has at most slices + groups rows.
+    # A group covers neighbouring slices, so this has at most slices + groups rows. Joining
+    # it back finds the numbered rows already distributed by the same columns.
     offsets = (sliced.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
                .withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
                .drop("_rows"))
     local = number_rows(sliced, keys, order, "_local")
-    return (local.join(F.broadcast(offsets), keys)
+    return (local.join(offsets, keys)
             .withColumn(name, F.col("_local") + F.col("_before"))
             .drop("_slice", "_local", "_before"))

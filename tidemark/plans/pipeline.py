@@ -183,10 +183,8 @@ def rebuild(spark: SparkSession, store: Store, cuts: Sequence[Cut], *,
         *[F.struct(F.lit(c.cut_date), F.lit(c.label)) for c in ordered])
     rows = store.landed().filter(wanted)
     _write_quarantine(store, rows, sum(x.rows_quarantined for x in landings), commit)
-    heavy: dict[int, int] = {}
-    for x in landings:
-        for group, rows in x.heavy.items():
-            heavy[group] = heavy.get(group, 0) + rows
+    heavy = ranking.heavy_together(
+        [x.heavy for x in landings], sum(x.rows_valid for x in landings), heavy_rows)
     valid = normalize.normalize(rows.filter(USABLE), spec)
     versions = history.bulk_history(valid, spec, ordered, heavy, heavy_rows)
     store.write_versions(versions.withColumn("part", merge.part_of()), commit)
