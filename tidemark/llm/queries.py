@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, langid, licenses
+from tidemark.llm import bpe, decontam, langid, licenses, url_filter
 
 QUERIES = {
     "op4_byte_bpe": bpe.op4_byte_bpe,
+    "op5_decontamination": decontam.op5_decontamination,
     "op6_language_id": langid.op6_language_id,
     "op7_license_scan": licenses.op7_license_scan,
+    "op9_url_filter": url_filter.op9_url_filter,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_decontamination": decontam.ORACLE,
+    "op9_url_filter": url_filter.ORACLE,
+}
