@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, decontam, langid, licenses, url_filter
+from tidemark.llm import ann, bpe, decontam, langid, licenses, secrets, url_filter
 
 QUERIES = {
     "op4_byte_bpe": bpe.op4_byte_bpe,
     "op5_decontamination": decontam.op5_decontamination,
     "op6_language_id": langid.op6_language_id,
     "op7_license_scan": licenses.op7_license_scan,
+    "op8_secret_scan": secrets.op8_secret_scan,
     "op9_url_filter": url_filter.op9_url_filter,
+    "op10_nearest_neighbours": ann.op10_nearest_neighbours,
 }
 
 ORACLE: dict[str, str] = {
