@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import ann, bpe, decontam, langid, licenses, secrets, url_filter
+from tidemark.llm import ann, bpe, decontam, langid, licenses, pii, secrets, url_filter
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
     "op4_byte_bpe": bpe.op4_byte_bpe,
     "op5_decontamination": decontam.op5_decontamination,
     "op6_language_id": langid.op6_language_id,
