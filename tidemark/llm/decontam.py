@@ -170,6 +170,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
 
 
+def keep_clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` without the rows that hold a window of an item."""
+    hits = stored(exact_matches(token_table(docs), items, window)
+                  .select("doc_id", "h").distinct(), "hits")
+    h = row_hash(docs["doc_id"], docs["text"])
+    return docs.join(hits, docs["doc_id"].eqNullSafe(hits["doc_id"]) & (h == hits["h"]),
+                     "left_anti")
+
+
 def _same_row(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["h"] == b["h"])
 

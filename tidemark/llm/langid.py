@@ -153,6 +153,22 @@ def identify(docs: DataFrame) -> DataFrame:
                         "lang_pred", "score")
 
 
+def keep_known(docs: DataFrame, least: float = 0.5) -> DataFrame:
+    """``docs`` without the rows whose language cannot be told: ``und``, or no language with
+    a probability of ``least``. Learnt from the rows that are not held out."""
+    taught = docs.filter(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
+    own = docs.sparkSession.sparkContext.broadcast(train(taught))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            pred, score = own.value.predict(batch.column(at).to_pylist())
+            yield batch.filter(pa.array([p != UNDETERMINED and s >= least
+                                         for p, s in zip(pred, score)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole text."""
     return identify(table(spark, sf_dir, "documents"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import ann, bpe, decontam, langid, licenses, pii, secrets, url_filter
+from tidemark.llm import (ann, bagminhash, bpe, decontam, langid, licenses, pii, secrets,
+                          suffix_dedup, url_filter)
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
+    "op2_near_duplicates": bagminhash.op2_near_duplicates,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op4_byte_bpe": bpe.op4_byte_bpe,
     "op5_decontamination": decontam.op5_decontamination,
     "op6_language_id": langid.op6_language_id,
