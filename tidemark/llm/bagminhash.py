@@ -17,9 +17,11 @@ Bands. ``BANDS`` groups of ``ROWS`` registers make bucket keys; with 32 by 4 a p
 threshold meets in no bucket with probability (1 - 0.8^4)^32 < 5e-8.
 
 Links. Copies of one text are one node from the start. In every bucket all texts are
-compared with its smallest one, so a bucket of n texts costs n checks. Components of the
-verified links follow; buckets that still hold texts of different components then have
-those pairs checked that lie in different components, all of them. No bucket is capped.
+compared with its smallest one, so a bucket of n texts costs n checks, and components of
+the verified links follow. Nearly all buckets then hold one component. Those that hold
+several form clusters, and in a cluster all texts are compared in blocks, by products of
+shingle matrices inside the tasks: a task has two blocks at most, and reports one link per
+text. So no pair that shares a bucket goes unchecked, and no bucket is capped.
 
 Null texts are alone in their class. Texts without words are linked to equal texts only.
 Repeated rows are copies. Other columns are not read.
@@ -41,6 +43,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
+# Texts of a cluster that are compared with each other at a time.
+BLOCK = 512
 _U = np.uint64
 _GOLD, _MUL1, _MUL2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 _BASE = _U(0x2545F4914F6CDD1D)  # any odd number does
@@ -233,23 +237,76 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts = stored(docs.withColumn("content", F.md5("text")).join(asked, "content")
                    .groupBy("content").agg(F.first("text").alias("text")), "texts")
     links = stored(verified(first, texts, similarity), "links")
-    second = stored(_across(full, components(links, "a", "b"), first), "pairs")
-    more = stored(verified(second, texts, similarity), "links")
+    more = stored(_links_across(full, components(links, "a", "b"), texts, similarity), "links")
     roots = components(links.union(more), "a", "b").toDF("content", "root")
     return _with_classes(rows, roots)
 
 
-def _across(full: DataFrame, roots: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs that share a bucket, lie in different components and were not checked yet."""
+def overlaps(texts: list[str | None], size: int = SHINGLE) -> np.ndarray:
+    """[n, n] similarities of all pairs. The k-th copy of a shingle counts as a shingle of
+    its own, so that multisets become sets and overlaps products of 0/1 matrices."""
+    n = len(texts)
+    text, value, count = shingles(texts, size)
+    copy = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    text, value = np.repeat(text, count), mix(np.repeat(value, count) + copy.astype(_U) * _GOLD)
+    total = np.bincount(text, minlength=n)
+    _, column, times = np.unique(value, return_inverse=True, return_counts=True)
+    shared = times > 1
+    number = np.cumsum(shared) - 1
+    use = shared[column]
+    text, column = text[use], number[column[use]]
+    order = np.argsort(column, kind="stable")
+    text, column = text[order], column[order]
+    both = np.zeros((n, n), np.float32)
+    for low in range(0, int(shared.sum()), 4096):
+        a, b = np.searchsorted(column, [low, low + 4096])
+        part = np.zeros((n, 4096), np.float32)
+        part[text[a:b], column[a:b] - low] = 1
+        both += part @ part.T
+    return both / np.maximum(total[:, None] + total[None, :] - both, 1)
+
+
+def _links_across(full: DataFrame, roots: DataFrame, texts: DataFrame,
+                  similarity: float) -> DataFrame:
+    """Links between texts that share a bucket and lie in different components. Buckets
+    with several components fall into clusters, by the texts they share; all pairs of a
+    cluster are compared, a pair of blocks at a time. Of what is linked inside such a pair
+    of blocks only the smallest text is reported to each, which says the same."""
     labelled = (full.join(roots.toDF("content", "root"), "content", "left")
                 .select("key", "content", F.coalesce("root", "content").alias("root")))
-    split = (labelled.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-             .filter(F.col("x") != F.col("y")).select("key"))
-    mixed = stored(labelled.join(split, "key"), "mixed")
-    other = mixed.select("key", F.col("content").alias("b"), F.col("root").alias("root_b"))
-    return (mixed.join(other, "key").filter((F.col("root") != F.col("root_b"))
-                                            & (F.col("content") > F.col("b")))
-            .select(F.col("content").alias("a"), "b").distinct().join(done, ["a", "b"], "left_anti"))
+    split = (labelled.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"),
+                                         F.min("content").alias("b"))
+             .filter(F.col("x") != F.col("y")).select("key", "b"))
+    mixed = stored(labelled.join(split, "key").select("content", "b").distinct(), "mixed")
+    clusters = stored(components(mixed, "content", "b").toDF("content", "cluster"), "clusters")
+    sizes = clusters.groupBy("cluster").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int")
+    members = (clusters.join(sizes, "cluster").select(
+        "cluster", "content", own.alias("own"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .select("cluster", "content", F.least("own", "other").alias("i"),
+                F.greatest("own", "other").alias("j")))
+
+    def run(rows: pa.Table) -> pa.Table:
+        names = np.array(rows.column("content").to_pylist(), dtype=object)
+        order = np.argsort(names)
+        names = names[order]
+        found = overlaps([rows.column("text")[int(i)].as_py() for i in order])
+        linked = found >= similarity
+        np.fill_diagonal(linked, True)
+        least = np.arange(len(names))
+        while True:
+            new = np.where(linked, least[None, :], len(names)).min(axis=1)
+            if (new == least).all():
+                break
+            least = new
+        at = np.flatnonzero(least != np.arange(len(names)))
+        return pa.table({"a": pa.array(names[at], pa.string()),
+                         "b": pa.array(names[least[at]], pa.string())})
+
+    return (members.join(texts, "content").select("cluster", "i", "j", "content", "text")
+            .groupBy("cluster", "i", "j").applyInArrow(run, "a string, b string"))
 
 
 def _with_classes(rows: DataFrame, roots: DataFrame) -> DataFrame:
