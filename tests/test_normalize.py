@@ -28,6 +28,7 @@ def test_dates(spark):
         "2024-01-02T10:00:00": "2024-01-02", "02/01/2024": "2024-01-02", "2/1/2024": "2024-01-02",
         "31/02/2024": None, "2024-02-30": None, "no-es-fecha": None, "": None, "2024": None,
         "2024-01": None, "2024/01/02": None, "02/01/24": None, "12/31/2024": None,
+        "2024-01-02 garbage": None, "2024-01-02Tx": None, "2024-01-02 10:00:00.5+02:00": "2024-01-02",
     }
     df = spark.createDataFrame([(k,) for k in want], "v string")
     got = df.select("v", dates.parsed_date(F.col("v"), ("d/M/yyyy",)).cast("string"),

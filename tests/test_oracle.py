@@ -5,7 +5,8 @@ import os
 import compare
 import pytest
 
-import __spark_entry__ as entry
+from tidemark.plans.oracle import ORACLE
+from tidemark.plans.queries import QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,16 +17,16 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"cut_fingerprint"}
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLE) == {"cut_fingerprint"}
+    assert set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query(spark, duck, name):
-    result = entry.queries()[name](spark, SF)
-    assert compare.difference(result, duck, entry.oracle_sql()[name]) is None
+    result = QUERIES[name](spark, SF)
+    assert compare.difference(result, duck, ORACLE[name]) is None
 
 
 def test_fingerprints_tell_cuts_apart(spark):
-    found = entry.queries()["cut_fingerprint"](spark, SF).collect()
+    found = QUERIES["cut_fingerprint"](spark, SF).collect()
     assert len({r["fingerprint"] for r in found}) == len(found) == 3

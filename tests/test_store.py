@@ -172,10 +172,37 @@ def test_dropping_old_open_versions_keeps_the_history(spark, store, tmp_path):
     for cut, rows in [(T, FIRST), (T1, SECOND), (T2, [row("A")])]:
         pipeline.process_cut(spark, store, write_cut(spark, tmp_path, rows, cut))
     before = compared(store.history())
-    assert store.drop_old_open_versions(keep=1) == [1, 2]
+    assert store.drop_old_open_versions() == [1]
     assert compared(store.history()) == before
 
 
+def test_the_base_of_a_replaced_date_cannot_be_dropped(spark, store):
+    with pytest.raises(ValueError):
+        store.drop_old_open_versions(keep=1)
+
+
+def test_a_refused_cut_leaves_no_quarantined_rows(spark, store, tmp_path):
+    pipeline.process_cut(spark, store, write_cut(spark, tmp_path, FIRST, T))
+    bad = [row("A"), row(client=" "), row(client="")]
+    with pytest.raises(pipeline.DeleteRatioError):
+        pipeline.process_cut(spark, store, write_cut(spark, tmp_path, bad, T1),
+                             max_delete_ratio=0.0)
+    record = pipeline.process_cut(spark, store, write_cut(spark, tmp_path, SECOND, T1))
+    assert record["rows_quarantined"] == 0
+    assert {r["_cut_label"] for r in store.quarantine().collect()} == {"T"}
+
+
+def test_a_crash_while_publishing_does_not_lock_the_store(spark, store, tmp_path):
+    pipeline.process_cut(spark, store, write_cut(spark, tmp_path, FIRST, T))
+    files, folder = store._folder("attempts", "crashed", "_temporary")
+    files.mkdirs(folder)
+    files.mkdirs(store._folder("ledger", "00000002", "_temporary")[1])
+    assert pipeline.process_cut(spark, store, write_cut(spark, tmp_path, SECOND, T1))
+    assert store.head().commit == 2
+    with pytest.raises(FileExistsError):
+        store.publish([{**store.ledger().orderBy("commit").first().asDict()}])
+
+
 def test_a_cut_may_be_a_folder_of_files(spark, store, tmp_path):
     folder = str(tmp_path / "parts.parquet")
     rows = [row(f"C{n % 5}", amount=float(n)) for n in range(40)]

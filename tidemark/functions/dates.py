@@ -10,17 +10,19 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import trimmed
 
 
+# Year, month, day; then nothing, or a time of day with an optional zone.
+ISO = (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+       r"([ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?( ?(Z|UTC|[+-][0-9]{2}(:?[0-9]{2})?))?)?$")
+
+
 def iso_date(c: Column) -> Column:
     """Year, month and day, with an optional time part.
 
     A bare cast also takes "2024" and "2024-01", completing a day the source never named,
-    and years of other lengths. The dashes tell: the first closes a four-digit year, the
-    second a month of one or two digits.
+    years of other lengths, and any text after the day. So the whole text has to fit.
     """
     text = trimmed(c)
-    dashes = (F.substring(text, 5, 1) == "-") & (
-        (F.substring(text, 8, 1) == "-") | (F.substring(text, 7, 1) == "-"))
-    return F.when(dashes, text.try_cast("date"))
+    return F.when(text.rlike(ISO), text.try_cast("date"))
 
 
 def parsed_date(c: Column, formats: Iterable[str]) -> Column:

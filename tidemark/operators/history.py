@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import version_hash
 from tidemark.model import DELETE, INSERT, UPDATE, Cut, TableSpec
-from tidemark.operators.keys import assign_keys_apart
+from tidemark.operators.keys import assign_keys_apart, require_unique
 from tidemark.operators.merge import version_columns
 from tidemark.operators.ranking import HEAVY_ROWS, Heavy
 
@@ -39,6 +39,8 @@ def bulk_history(valid: DataFrame, spec: TableSpec, cuts: Sequence[Cut],
     """
     days = calendar(valid.sparkSession, cuts)
     cold, hot = assign_keys_apart(valid, spec, heavy, heavy_rows, colocate=True)
+    if spec.natural:  # the numbering makes other keys unique
+        cold = require_unique(cold, ["business_key_hash", "_cut_date"])
     history = _versions(cold, spec, days, ["business_key_hash", "occurrence_seq"]
                         if not spec.natural else ["business_key_hash"])
     if hot is not None:

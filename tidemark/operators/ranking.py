@@ -18,15 +18,12 @@ from pyspark.sql import functions as F
 from tidemark.sources.scratch import use_checkpoint_dir
 
 # The sketch keeps SKETCH_ITEMS counters and miscounts a group by at most about
-# 3.5/SKETCH_ITEMS of all rows, so it cannot miss a group above HEAVY_SHARE of them, and
-# no more than SKETCH_TOP groups can be that large.
+# 3.5/SKETCH_ITEMS of all rows: groups above that share are found however many rows there
+# are. SKETCH_TOP groups of that share and more make up the whole table.
 SKETCH_ITEMS = 20_000
-SKETCH_TOP = 1_000
-HEAVY_SHARE = 1 / SKETCH_TOP
-# Below this many rows a group fits one task whatever its share.
+SKETCH_TOP = 5_000
+# Below this many rows a group fits one task. The limit does not follow the table's size.
 HEAVY_ROWS = 2_000_000
-# More slices than this would cost the shuffle more than larger, spilling sorts do.
-MAX_SLICES = 20_000
 
 Heavy = Mapping[int, int]
 
@@ -45,9 +42,8 @@ def heavy_sketch(group: Column, wanted: Column | None = None) -> Column:
 
 def heavy_from_sketch(top, rows: int, heavy_rows: int = HEAVY_ROWS) -> dict[int, int]:
     """{group id: approximate rows} of the groups worth slicing; at most SKETCH_TOP."""
-    floor = max(heavy_rows, rows * HEAVY_SHARE)
     return {r["item"]: r["count"] for r in (top or [])
-            if r["item"] is not None and r["count"] >= floor}
+            if r["item"] is not None and r["count"] >= heavy_rows}
 
 
 def heavy_together(parts: Sequence[Heavy], rows: int,
@@ -57,8 +53,7 @@ def heavy_together(parts: Sequence[Heavy], rows: int,
     for part in parts:
         for group, n in part.items():
             total[group] = total.get(group, 0) + n
-    floor = max(heavy_rows, rows * HEAVY_SHARE)
-    return {group: n for group, n in total.items() if n >= floor}
+    return {group: n for group, n in total.items() if n >= heavy_rows}
 
 
 def heavy_groups(df: DataFrame, columns: Sequence[str],
@@ -88,7 +83,7 @@ def number_heavy_rows(df: DataFrame, partition: Sequence[str], order: Sequence[C
     comes from the exchange, so the sliced rows are checkpointed: a recomputed range
     partitioning could pick other bounds and the offsets would no longer fit.
     """
-    slices = min(MAX_SLICES, max(2, math.ceil(2 * sum(heavy.values()) / slice_rows)))
+    slices = max(2, math.ceil(2 * sum(heavy.values()) / slice_rows))
     use_checkpoint_dir(df.sparkSession)
     sliced = (df.repartitionByRange(slices, *[F.col(c) for c in partition], *order)
               .withColumn("_slice", F.spark_partition_id())

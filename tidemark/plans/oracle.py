@@ -97,8 +97,8 @@ o0 AS (SELECT {row}, CAST(NULL AS VARCHAR) AS change_type, {blank},
         steps.append(f"""
 s{n} AS (SELECT * FROM staged WHERE _cut_label = '{label}'),
 a{n} AS MATERIALIZED (SELECT coalesce(s.movement_key, o.movement_key) AS movement_key,
-  s.movement_key IS NOT NULL AS in_stg, o.movement_key IS NOT NULL AS in_cur,
-  o.is_deleted AS cur_is_deleted, o.attr_hash AS cur_attr_hash, s.attr_hash AS stg_attr_hash,
+  s.movement_key IS NOT NULL AS has_new, o.movement_key IS NOT NULL AS has_old,
+  o.is_deleted AS old_is_deleted, o.attr_hash AS old_attr_hash, s.attr_hash AS new_attr_hash,
   CASE WHEN s.movement_key IS NULL THEN CASE WHEN o.is_deleted THEN 'NOOP' ELSE 'DELETE' END
        WHEN o.movement_key IS NULL OR o.is_deleted THEN 'INSERT'
        WHEN o.attr_hash = s.attr_hash THEN 'UNCHANGED' ELSE 'UPDATE' END AS action
@@ -109,7 +109,7 @@ c{n} AS MATERIALIZED (SELECT {copied}, o.change_type, false AS is_current, o.is_
   WHERE a.action IN ('INSERT','UPDATE','DELETE')),
 n{n} AS MATERIALIZED (SELECT {taken}, a.action AS change_type, true AS is_current,
   false AS is_deleted, DATE '{day}' AS valid_from, CAST(NULL AS DATE) AS valid_to,
-  s._source_file AS source_file, s._cut_label AS cut_label, a.cur_attr_hash AS prev_attr_hash
+  s._source_file AS source_file, s._cut_label AS cut_label, a.old_attr_hash AS prev_attr_hash
   FROM a{n} a JOIN s{n} s ON s.movement_key = a.movement_key
   WHERE a.action IN ('INSERT','UPDATE')),
 t{n} AS MATERIALIZED (SELECT {copied}, 'DELETE' AS change_type, true AS is_current,
@@ -274,7 +274,7 @@ snapshots AS (SELECT o_orderkey, o_custkey, CASE WHEN date_diff('day', CAST(o_or
     _cut_date) >= 90 THEN o_orderstatus ELSE 'O' END AS o_orderstatus,
   o_totalprice, o_orderpriority, 'orders.parquet' AS _source_file, _cut_label, _cut_date
   FROM orders, cuts WHERE CAST(o_orderdate AS DATE) < _cut_date
-  AND CAST(o_orderdate AS DATE) >= _cut_date - INTERVAL 24 MONTH),
+  AND CAST(o_orderdate AS DATE) >= _cut_date - INTERVAL 48 MONTH),
 staged AS MATERIALIZED (SELECT *, md5(CAST(o_orderkey AS VARCHAR)) AS movement_key,
   md5(CAST(o_orderkey AS VARCHAR)) AS business_key_hash, CAST(1 AS BIGINT) AS occurrence_seq,
   md5(concat_ws('||', coalesce(CAST(o_custkey AS VARCHAR), '<NULL>'),
@@ -369,17 +369,18 @@ ORACLE: dict[str, str] = {
     "open_versions": _hist(f"SELECT {_SHOWN} FROM history WHERE is_current"),
     "live_state": _hist(f"SELECT {_SHOWN} FROM live"),
     "tombstones": _hist(f"SELECT {_SHOWN} FROM history WHERE is_current AND is_deleted"),
-    "cdc_full_outer": _hist("SELECT movement_key, in_stg, in_cur, cur_is_deleted, "
-                            "cur_attr_hash, stg_attr_hash FROM a3"),
-    "cdc_classify": _hist("SELECT movement_key, action, in_cur AND action IN "
-                          "('INSERT','UPDATE','DELETE') AS close_current FROM a3"),
-    "cdc_reappeared": _hist("SELECT movement_key, cur_attr_hash AS prev_attr_hash, "
-                            "stg_attr_hash AS new_attr_hash FROM a3 "
-                            "WHERE in_stg AND in_cur AND cur_is_deleted"),
+    "cdc_full_outer": _hist("SELECT movement_key, has_new, has_old, old_is_deleted, "
+                            "old_attr_hash, new_attr_hash FROM a3"),
+    "cdc_classify": _hist("SELECT movement_key, action, has_old AND action IN "
+                          "('INSERT','UPDATE','DELETE') AS closes FROM a3"),
+    "cdc_reappeared": _hist("SELECT movement_key, old_attr_hash AS prev_attr_hash, "
+                            "new_attr_hash AS new_attr_hash FROM a3 "
+                            "WHERE has_new AND has_old AND old_is_deleted"),
     "cdc_new_rows": _hist(f"SELECT change_type AS action, {ROW_COLUMNS} FROM n3"),
     "cdc_tombstone_rows": _hist(f"SELECT {ROW_COLUMNS} FROM t3"),
-    "cdc_closed_rows": _hist("SELECT c.movement_key, c.valid_from, a.action FROM c3 c "
-                             "JOIN a3 a ON a.movement_key = c.movement_key"),
+    "cdc_closed_rows": _hist("SELECT a.movement_key, o.valid_from, a.action FROM a3 a "
+                             "JOIN o2 o ON a.movement_key = o.movement_key "
+                             "WHERE a.action IN ('INSERT','UPDATE','DELETE')"),
     "scd2_closed": _hist(f"SELECT {_SHOWN} FROM c3"),
     "scd2_new_versions": _hist(f"SELECT {_SHOWN} FROM n3"),
     "scd2_tombstones": _hist(f"SELECT {_SHOWN} FROM t3"),

@@ -119,6 +119,7 @@ def process_cut(spark: SparkSession, store: Store, cut: Cut, *,
 
 
 def _write_quarantine(store: Store, landed: DataFrame, rows: int, commit: int) -> None:
+    store.drop_quarantine(commit)
     if rows:
         bad = normalize.normalize(landed.filter(~F.col(USABLE)), store.spec)
         store.write_quarantine(normalize.with_reasons(bad, store.spec), commit)

@@ -311,16 +311,16 @@ def _last_versions(spark: SparkSession, sf: str) -> DataFrame:
 @query("cdc_full_outer")
 def cdc_full_outer(spark: SparkSession, sf: str) -> DataFrame:
     return _last(spark, sf).select(
-        "movement_key", F.col("new.attr_hash").isNotNull().alias("in_stg"),
-        F.col("old.attr_hash").isNotNull().alias("in_cur"),
-        F.col("old.is_deleted").alias("cur_is_deleted"),
-        F.col("old.attr_hash").alias("cur_attr_hash"),
-        F.col("new.attr_hash").alias("stg_attr_hash"))
+        "movement_key", F.col("new.attr_hash").isNotNull().alias("has_new"),
+        F.col("old.attr_hash").isNotNull().alias("has_old"),
+        F.col("old.is_deleted").alias("old_is_deleted"),
+        F.col("old.attr_hash").alias("old_attr_hash"),
+        F.col("new.attr_hash").alias("new_attr_hash"))
 
 
 @query("cdc_classify")
 def cdc_classify(spark: SparkSession, sf: str) -> DataFrame:
-    return _last(spark, sf).select("movement_key", "action", F.col("closes").alias("close_current"))
+    return _last(spark, sf).select("movement_key", "action", "closes")
 
 
 @query("cdc_reappeared")

@@ -13,6 +13,7 @@ replaced later, is never read. One writer at a time is assumed.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
@@ -98,11 +99,21 @@ class Store:
         return self._visible(self._records(), head)
 
     def publish(self, records: Iterable[dict[str, Any]]) -> None:
-        """Writes the records of one commit as a single file, which makes it visible."""
+        """Makes a commit visible: its records are written aside as one file, which is then
+        renamed into the ledger. A crash before the rename leaves nothing in the way."""
         rows = [tuple(r.get(f) for f in LEDGER_SCHEMA.fieldNames()) for r in records]
-        commit = rows[0][0]
+        commit, attempt = rows[0][0], uuid.uuid4().hex
         (self.spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1)
-         .write.mode("errorifexists").json(self.path("ledger", f"{commit:08d}")))
+         .write.json(self.path("attempts", attempt)))
+        files, aside = self._folder("attempts", attempt)
+        written = next(f.getPath() for f in files.listStatus(aside)
+                       if f.getPath().getName().startswith("part-"))
+        ledger = self._folder("ledger")[1]
+        files.mkdirs(ledger)
+        record = self._folder("ledger", f"{commit:08d}.json")[1]
+        if files.exists(record) or not files.rename(written, record):
+            raise FileExistsError(f"commit {commit} is already published")
+        files.delete(aside, True)
 
     def _visible(self, df: DataFrame, head: Head | None) -> DataFrame:
         lineage = (head or self.head()).lineage
@@ -167,6 +178,11 @@ class Store:
         df = self._read("change_log", CHANGE_LOG_SCHEMA, "commit bigint")
         return self._visible(df, head).select(*CHANGE_LOG_SCHEMA.fieldNames())
 
+    def drop_quarantine(self, commit: int) -> None:
+        """Removes what an earlier attempt at the commit may have left."""
+        files, folder = self._folder("quarantine", f"commit={commit}")
+        files.delete(folder, True)
+
     def write_quarantine(self, rows: DataFrame, commit: int) -> None:
         rows.write.mode("overwrite").parquet(self.path("quarantine", f"commit={commit}"))
 
@@ -185,10 +201,13 @@ class Store:
     def drop_old_open_versions(self, keep: int = 2) -> list[int]:
         """Deletes the open-version folders that newer commits made redundant.
 
-        Closed versions, logs and records stay; the history is unchanged.
+        Closed versions, logs and records stay; the history is unchanged. The newest two
+        are always kept, as replacing the newest date starts from the one before it.
         """
+        if keep < 2:
+            raise ValueError("at least two commits keep their open versions")
         head = self.head()
-        old = [c for c in head.lineage[:-keep]] if keep > 0 else []
+        old = list(head.lineage[:-keep])
         for commit in old:
             for part in (LIVE, TOMBSTONE):
                 files, folder = self._folder("versions", f"commit={commit}", f"part={part}")
