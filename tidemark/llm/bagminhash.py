@@ -328,9 +328,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     content = F.md5(docs["text"])
     worded = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"])
                        & (content == kept["content"]), "left_semi")
-    worded = worded.groupBy("doc_id", "text").agg(
-        *[F.first(c).alias(c) for c in docs.columns if c not in ("doc_id", "text")])
-    return worded.select(docs.columns).union(docs.filter(F.col("text").isNull()))
+    worded = worded.dropDuplicates(["doc_id", "text"])
+    return worded.union(docs.filter(F.col("text").isNull()))
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
