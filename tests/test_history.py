@@ -34,7 +34,7 @@ def bulk(spark, steps, **options):
 def test_one_pass_equals_cut_by_cut(spark, seed):
     steps = random_cuts(seed)
     folded, counts = run(spark, steps)
-    one_pass = bulk(spark, steps, heavy={})
+    one_pass = bulk(spark, steps)
     assert compared(folded) == compared(one_pass)
     live = 0
     for (_, rows), (new, changed, deleted, unchanged) in zip(steps, counts):
@@ -46,15 +46,15 @@ def test_one_pass_equals_cut_by_cut(spark, seed):
     assert quality.incoherent_validity(folded).count() == 0
 
 
-def test_one_pass_with_heavy_keys(spark):
+def test_one_pass_in_slices(spark):
     steps = random_cuts(4, clients=2)
-    assert compared(bulk(spark, steps, heavy={})) == compared(bulk(spark, steps, heavy_rows=5))
+    assert compared(bulk(spark, steps)) == compared(bulk(spark, steps, slices=9))
 
 
 def test_a_cut_without_rows_counts_as_a_cut(spark):
     steps = [(CUTS[0], [row("A")]), (CUTS[1], []), (CUTS[2], [row("A")]), (CUTS[3], [row("A")])]
     folded, _ = run(spark, steps)
-    assert compared(folded) == compared(bulk(spark, steps, heavy={}))
+    assert compared(folded) == compared(bulk(spark, steps))
     assert folded.count() == 3
 
 
@@ -65,7 +65,7 @@ def test_two_cuts_on_one_date_are_refused(spark):
 
 def test_as_of(spark):
     steps = random_cuts(5)
-    h = bulk(spark, steps, heavy={})
+    h = bulk(spark, steps)
     for cut, rows in steps:
         assert history.as_of(h, cut.cut_date).count() == len(rows)
     assert history.as_of(h, date(2024, 10, 1)).count() == 0
@@ -77,7 +77,7 @@ def test_as_of(spark):
 
 
 def test_version_ids_are_unique_and_repeatable(spark):
-    h = bulk(spark, random_cuts(6), heavy={})
+    h = bulk(spark, random_cuts(6))
     ids = [r[0] for r in history.with_version_id(h).select("version_id").collect()]
     again = [r[0] for r in history.with_version_id(h).select("version_id").collect()]
     assert len(set(ids)) == len(ids) and sorted(ids) == sorted(again)

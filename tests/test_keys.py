@@ -3,6 +3,7 @@ import random
 import pytest
 from conftest import normalized, row, staged, valid
 from pyspark.errors import PySparkException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.model import MOVEMENTS
@@ -46,36 +47,56 @@ def _skewed(n=3000):
     return rows
 
 
-def test_heavy_groups_are_found_and_bounded(spark):
-    df = valid(spark, _skewed())
-    heavy = ranking.heavy_groups(df, MOVEMENTS.key_names, heavy_rows=500)
-    assert list(heavy.values()) == [2000]
-    assert ranking.heavy_groups(df, MOVEMENTS.key_names) == {}
+def _plain(df, partition, order, name):
+    w = Window.partitionBy(*partition).orderBy(*order)
+    return df.withColumn(name, F.row_number().over(w).cast("bigint"))
 
 
+@pytest.mark.parametrize("slices", [None, 1, 7, 40])
 @pytest.mark.parametrize("same", [False, True])
-def test_heavy_keys_get_the_same_numbers_as_a_plain_window(spark, same):
+def test_slices_give_the_same_numbers_as_a_plain_window(spark, same, slices):
     rows = [row() for _ in range(2000)] if same else _skewed()
-    df = valid(spark, rows)
-    plain = keys.assign_keys(df, MOVEMENTS, heavy={})
-    split = keys.assign_keys(df, MOVEMENTS, heavy_rows=200)
-    cols = ["movement_key", "occurrence_seq", "attr_hash", "id_cliente"]
-    assert sorted(plain.select(cols).collect()) == sorted(split.select(cols).collect())
-
-
-def test_no_task_gets_a_whole_heavy_group(spark):
-    df = keys.with_hashes(valid(spark, _skewed()), MOVEMENTS).filter("id_cliente = 'HOT'")
-    heavy = ranking.heavy_groups(df, ["business_key_hash"], heavy_rows=100)
-    order = keys.occurrence_order(MOVEMENTS)
-    numbered = ranking.number_heavy_rows(
-        df, ["business_key_hash"], order, "n", heavy, slice_rows=200)
-    sizes = [r["c"] for r in numbered.groupBy(
-        F.floor((F.col("n") - 1) / 400).alias("g")).agg(F.count("*").alias("c")).collect()]
-    assert sum(sizes) == 2000
-    assert numbered.select("n").distinct().count() == 2000
-    sliced = (df.repartitionByRange(20, "business_key_hash", *order)
-              .groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0])
-    assert sliced < 1000
+    df = keys.with_hashes(valid(spark, rows), MOVEMENTS)
+    partition, order = ["_cut_date", "business_key_hash"], keys.occurrence_order(MOVEMENTS)
+    plain = _plain(df, partition, order, "n")
+    sliced = ranking.number_rows(df, partition, order, "n", slices)
+    assert sliced.schema["n"] == plain.schema["n"]
+    cols = ["_row_num", "business_key_hash", "n"]
+    assert sorted(plain.select(cols).collect()) == sorted(sliced.select(cols).collect())
+
+
+def test_groups_may_be_null_and_tables_empty(spark):
+    df = spark.createDataFrame([(None if i % 3 else 0, None if i % 7 else 1.0, i)
+                                for i in range(300)], "g int, h double, i int")
+    order = [F.col("i")]
+    for rows in (df, df.limit(0)):
+        got = ranking.number_rows(rows, ["g", "h"], order, "n", 9)
+        assert sorted(map(str, got.collect())) == sorted(
+            map(str, _plain(rows, ["g", "h"], order, "n").collect()))
+
+
+@pytest.mark.parametrize("share", [2, 2000])
+def test_no_slice_holds_a_whole_group(spark, share):
+    """One key with half of the rows, and one with a two-thousandth of them."""
+    total, slices = 40_000, 4_000 if share == 2000 else 20
+    df = spark.range(total).select(
+        F.when(F.col("id") % share == 0, -1).otherwise(F.col("id")).alias("g"), "id")
+    sliced = ranking.sliced_rows(df, ["g"], [F.col("id")], slices)
+    hot = sliced.filter("g = -1").groupBy("_slice").count()
+    assert hot.count() > 1
+    assert sliced.groupBy("_slice").count().agg(F.max("count")).first()[0] < 4 * total / slices + 10
+    assert ranking.rows_before(sliced, ["g"]).count() <= 2 * slices
+    numbered = ranking.number_rows(df, ["g"], [F.col("id")], "n", slices)
+    assert numbered.filter("g = -1 AND n <> id / %d + 1" % share).count() == 0
+    assert numbered.count() == total
+
+
+def test_numbering_has_one_shuffle_of_whole_rows_after_slicing(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS g", "id", "repeat('x', 50) AS wide")
+    plan = ranking.number_rows(df, ["g"], [F.col("id")], "n", 5)._jdf.queryExecution().toString()
+    physical = plan.split("== Physical Plan ==")[1]
+    assert physical.count("Exchange hashpartitioning(g") == 1
+    assert "SortMergeJoin" not in physical
 
 
 def test_a_repeated_key_stops_the_job(spark):

@@ -5,13 +5,13 @@ from tidemark.model import MOVEMENTS
 from tidemark.operators import marts, merge
 
 
-def run(spark, steps, on=merge.BY_MOVEMENT):
+def run(spark, steps):
     """Merges (cut, rows) steps; returns the history and the counts of each step."""
     live, closed, counts = None, [], []
     for cut, rows in steps:
         s = staged(spark, rows, cut)
         live = merge.no_versions(s, MOVEMENTS) if live is None else live
-        classified = merge.classify(live, s, on)
+        classified = merge.classify(live, s)
         counts.append(tuple(classified.agg(*merge.action_counts()).first()))
         out = merge.versions(classified, MOVEMENTS, cut).checkpoint()
         closed.append(out.filter("part = 'closed'"))
@@ -27,14 +27,13 @@ def checkpoints(spark, tmp_path):
     spark.sparkContext.setCheckpointDir(str(tmp_path))
 
 
-@pytest.mark.parametrize("on", [merge.BY_MOVEMENT, merge.BY_BUSINESS_KEY])
-def test_new_changed_deleted_unchanged(spark, on):
+def test_new_changed_deleted_unchanged(spark):
     first = [row("A", day="2024-03-01"), row("A", day="2024-03-02", kind="salida"),
              row("B", product="CDT", kind="IN"), row("B", description=None, name=None)]
     second = [row("a ", day="01/03/2024", kind="ENTRADA"),
               row("A", day="02/03/2024", kind="out", amount=250.0),
               row("B", description=" ", name=None), row("Z", kind="out")]
-    history, counts = run(spark, [(T, first), (T1, second)], on)
+    history, counts = run(spark, [(T, first), (T1, second)])
     assert counts == [(4, 0, 0, 0), (1, 1, 1, 2)]
     assert marts.live_state(history).count() == 4
     assert marts.tombstones(history).count() == 1

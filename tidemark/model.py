@@ -209,7 +209,6 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("rows_changed", T.LongType()),
     T.StructField("rows_deleted", T.LongType()),
     T.StructField("rows_unchanged", T.LongType()),
-    T.StructField("heavy_keys", T.LongType()),
     T.StructField("status", T.StringType()),
     T.StructField("started_at", T.TimestampType()),
     T.StructField("finished_at", T.TimestampType()),

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import version_hash
 from tidemark.model import DELETE, INSERT, UPDATE, Cut, TableSpec
-from tidemark.operators.keys import assign_keys_apart, require_unique
+from tidemark.operators.keys import assign_keys, require_unique
 from tidemark.operators.merge import version_columns
-from tidemark.operators.ranking import HEAVY_ROWS, Heavy
 
 
 def calendar(spark: SparkSession, cuts: Sequence[Cut]) -> DataFrame:
@@ -30,32 +29,27 @@ def calendar(spark: SparkSession, cuts: Sequence[Cut]) -> DataFrame:
 
 
 def bulk_history(valid: DataFrame, spec: TableSpec, cuts: Sequence[Cut],
-                 heavy: Heavy | None = None, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+                 slices: int | None = None) -> DataFrame:
     """All versions of all keys from the valid rows of every cut.
 
-    Equal to merging the cuts one by one. Rows are shuffled once, by business key: the
-    occurrence numbering and the version windows both use that distribution. Heavy
-    business keys are numbered in slices and then spread by movement key.
+    Equal to merging the cuts one by one. After the numbering, rows are spread by movement
+    key once, for all windows; a key has at most one row per cut.
     """
     days = calendar(valid.sparkSession, cuts)
-    cold, hot = assign_keys_apart(valid, spec, heavy, heavy_rows, colocate=True)
+    staged = assign_keys(valid, spec, slices)
     if spec.natural:  # the numbering makes other keys unique
-        cold = require_unique(cold, ["business_key_hash", "_cut_date"])
-    history = _versions(cold, spec, days, ["business_key_hash", "occurrence_seq"]
-                        if not spec.natural else ["business_key_hash"])
-    if hot is not None:
-        history = history.unionByName(_versions(hot, spec, days, ["movement_key"]))
-    return history
+        staged = require_unique(staged.repartition("movement_key"),
+                                ["movement_key", "_cut_date"])
+    return _versions(staged, spec, days)
 
 
-def _versions(staged: DataFrame, spec: TableSpec, days: DataFrame,
-              identity: Sequence[str]) -> DataFrame:
+def _versions(staged: DataFrame, spec: TableSpec, days: DataFrame) -> DataFrame:
     """Versions from presence: a key has one row per cut it appears in.
 
     All windows run from the newest cut to the oldest, over one sort; a group has at
     most one row per cut.
     """
-    w = f"PARTITION BY {', '.join(identity)} ORDER BY _cut_no DESC"
+    w = "PARTITION BY movement_key ORDER BY _cut_no DESC"
     up_to_here = f"({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     newer = f"({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     # one row per cut, so the calendar is as long as the list of cuts

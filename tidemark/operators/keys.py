@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tidemark.functions import hashing
 from tidemark.model import LINEAGE_COLUMNS, TableSpec
 from tidemark.operators import ranking
-from tidemark.operators.ranking import HEAVY_ROWS, Heavy
 
 
 def with_hashes(valid: DataFrame, spec: TableSpec) -> DataFrame:
@@ -38,46 +37,18 @@ def _staged(numbered: DataFrame, spec: TableSpec) -> DataFrame:
             .select(*spec.row_columns, *lineage))
 
 
-def assign_keys(valid: DataFrame, spec: TableSpec, heavy: Heavy | None = None,
-                heavy_rows: int = HEAVY_ROWS, colocate: bool = False) -> DataFrame:
+def assign_keys(valid: DataFrame, spec: TableSpec, slices: int | None = None) -> DataFrame:
     """Staged rows: hashes, occurrence number, movement key, measures, flags, lineage.
 
-    ``heavy`` holds the oversized business keys when the caller already knows them
-    (landing does); otherwise one narrow pass finds them.
+    Numbering cuts the rows into slices (``ranking.number_rows``); a table with a real key
+    needs none.
     """
-    cold, hot = assign_keys_apart(valid, spec, heavy, heavy_rows, colocate)
-    return cold if hot is None else cold.unionByName(hot)
-
-
-def assign_keys_apart(
-    valid: DataFrame, spec: TableSpec, heavy: Heavy | None = None,
-    heavy_rows: int = HEAVY_ROWS, colocate: bool = False,
-) -> tuple[DataFrame, DataFrame | None]:
-    """Staged rows of ordinary and of heavy business keys (None when there are none).
-
-    ``colocate`` spreads the ordinary rows by business key alone, which later windows and
-    joins over (business key, occurrence) reuse instead of shuffling again.
-    """
-    if spec.natural:
-        hashed = with_hashes(valid, spec).withColumn("occurrence_seq", F.lit(1).cast("bigint"))
-        if colocate:
-            hashed = hashed.repartition("business_key_hash")
-        return _staged(hashed, spec), None
-
-    if heavy is None:
-        heavy = ranking.heavy_groups(valid, spec.key_names, heavy_rows)
-    group, order = ["_cut_date", "_cut_label", "business_key_hash"], occurrence_order(spec)
-    hot = None
-    if heavy:
-        marked = ranking.is_heavy(spec.key_names, heavy)
-        hot_rows = with_hashes(valid.filter(marked), spec)
-        hot = _staged(ranking.number_heavy_rows(
-            hot_rows, group, order, "occurrence_seq", heavy, heavy_rows), spec)
-        valid = valid.filter(~marked)
     hashed = with_hashes(valid, spec)
-    if colocate:
-        hashed = hashed.repartition("business_key_hash")
-    return _staged(ranking.number_rows(hashed, group, order, "occurrence_seq"), spec), hot
+    if spec.natural:
+        return _staged(hashed.withColumn("occurrence_seq", F.lit(1).cast("bigint")), spec)
+    group = ["_cut_date", "_cut_label", "business_key_hash"]
+    return _staged(ranking.number_rows(
+        hashed, group, occurrence_order(spec), "occurrence_seq", slices), spec)
 
 
 def duplicate_keys(staged: DataFrame, key: str = "movement_key") -> DataFrame:

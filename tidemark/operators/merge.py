@@ -1,14 +1,12 @@
 """Compare a cut with the open versions: one full outer join, then one explode.
 
-Both sides are unique on the identity joined on. The movement key, an md5, gives even
-tasks whatever the distribution of the business columns. (business key, occurrence) names
-the same rows and lets the join reuse the distribution of the occurrence numbering, which
-saves a shuffle of the cut when no business key is heavy.
+Both sides are unique on the movement key, an md5, which gives even tasks whatever the
+distribution of the business columns.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,24 +16,18 @@ from tidemark.model import (
 )
 from tidemark.operators.keys import require_unique
 
-BY_MOVEMENT = ("movement_key",)
-BY_BUSINESS_KEY = ("business_key_hash", "occurrence_seq")
 
-
-def pair_up(live: DataFrame, staged: DataFrame,
-            on: Sequence[str] = BY_MOVEMENT) -> DataFrame:
+def pair_up(live: DataFrame, staged: DataFrame) -> DataFrame:
     """(new, old): the staged row and the open version of each key; either may be NULL."""
-    new = require_unique(staged, on).selectExpr(*on, "struct(*) AS new")
-    old = live.selectExpr(*on, "struct(*) AS old")
-    return new.join(old, list(on), "full_outer").selectExpr(
-        "coalesce(new.movement_key, old.movement_key) AS movement_key", "new", "old")
+    new = require_unique(staged, ["movement_key"]).selectExpr("movement_key", "struct(*) AS new")
+    old = live.selectExpr("movement_key", "struct(*) AS old")
+    return new.join(old, "movement_key", "full_outer")
 
 
-def classify(live: DataFrame, staged: DataFrame,
-             on: Sequence[str] = BY_MOVEMENT) -> DataFrame:
+def classify(live: DataFrame, staged: DataFrame) -> DataFrame:
     """Every key of either side with its action and whether its open version closes."""
     # the second INSERT is a deleted key coming back
-    return pair_up(live, staged, on).selectExpr("*", f"""CASE
+    return pair_up(live, staged).selectExpr("*", f"""CASE
         WHEN new.attr_hash IS NOT NULL AND old.attr_hash IS NULL THEN '{INSERT}'
         WHEN new.attr_hash IS NOT NULL AND old.is_deleted THEN '{INSERT}'
         WHEN new.attr_hash <> old.attr_hash THEN '{UPDATE}'

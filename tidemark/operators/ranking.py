@@ -1,102 +1,67 @@
-"""Row numbers inside groups, also when one group is a large share of all rows.
+"""Row numbers inside groups, whatever share of all rows a group holds.
 
-A window puts a whole group into one task. That is right for ordinary groups and wrong
-for a group holding a third of the table. Heavy groups are found with a bounded,
-mergeable frequent-items sketch; their rows are cut into ordered slices by a range
-partitioning on the group *and* the sort columns, numbered inside each slice, and
-shifted by the number of rows in the slices before.
+A plain window puts a whole group into one task. Here every row takes the same way: a range
+partitioning on the group *and* the sort columns cuts the table into ordered slices of about
+equal size, rows are numbered inside each slice, and a group that crosses from one slice into
+the next is shifted by its rows before. No group is looked for, so none can be missed.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.sources.scratch import use_checkpoint_dir
+from tidemark.sources.scratch import scratch_path
 
-# The sketch keeps SKETCH_ITEMS counters and miscounts a group by at most about
-# 3.5/SKETCH_ITEMS of all rows: groups above that share are found however many rows there
-# are. SKETCH_TOP groups of that share and more make up the whole table.
-SKETCH_ITEMS = 20_000
-SKETCH_TOP = 5_000
-# Below this many rows a group fits one task. The limit does not follow the table's size.
-HEAVY_ROWS = 2_000_000
 
-Heavy = Mapping[int, int]
-
-
-def group_id(columns: Sequence[str]) -> Column:
-    """Compact group number for the sketch. Two groups sharing one are merely both
-    treated as heavy, which changes the route and not the result."""
-    return F.xxhash64(*[F.col(c) for c in columns])
-
-
-def heavy_sketch(group: Column, wanted: Column | None = None) -> Column:
-    """Aggregate column holding the most frequent groups (usable in ``observe`` too)."""
-    item = group if wanted is None else F.when(wanted, group)
-    return F.call_function("approx_top_k", item, F.lit(SKETCH_TOP), F.lit(SKETCH_ITEMS))
-
-
-def heavy_from_sketch(top, rows: int, heavy_rows: int = HEAVY_ROWS) -> dict[int, int]:
-    """{group id: approximate rows} of the groups worth slicing; at most SKETCH_TOP."""
-    return {r["item"]: r["count"] for r in (top or [])
-            if r["item"] is not None and r["count"] >= heavy_rows}
-
-
-def heavy_together(parts: Sequence[Heavy], rows: int,
-                   heavy_rows: int = HEAVY_ROWS) -> dict[int, int]:
-    """Heavy groups of several cuts taken together, from those of each cut."""
-    total: dict[int, int] = {}
-    for part in parts:
-        for group, n in part.items():
-            total[group] = total.get(group, 0) + n
-    return {group: n for group, n in total.items() if n >= heavy_rows}
+def sliced_rows(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
+                slices: int | None = None) -> DataFrame:
+    """``df`` in ordered slices, numbered by ``_slice``; as many as the session has shuffle
+    partitions unless told otherwise.
 
+    ``order`` must be total within a group for the slices to be even. The slice number
+    comes from the exchange, so the rows are written to the shared work folder: a
+    recomputed range partitioning could pick other bounds.
+    """
+    columns = [*[F.col(c) for c in partition], *order]
+    spread = df.repartitionByRange(*([slices] if slices else []), *columns)
+    folder = scratch_path(df.sparkSession, "slices")
+    spread.withColumn("_slice", F.spark_partition_id()).write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
 
-def heavy_groups(df: DataFrame, columns: Sequence[str],
-                 heavy_rows: int = HEAVY_ROWS) -> dict[int, int]:
-    """One pass over the group columns only; returns a bounded number of groups."""
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 heavy_sketch(group_id(columns)).alias("top")).first()
-    return heavy_from_sketch(row["top"], row["n"], heavy_rows)
 
+def rows_before(sliced: DataFrame, partition: Sequence[str]) -> DataFrame:
+    """(_group, _slice, _before) of the groups that cross from one slice into another: their
+    rows in earlier slices.
 
-def is_heavy(columns: Sequence[str], heavy: Heavy) -> Column:
-    return group_id(columns).isin(*heavy) if heavy else F.lit(False)
+    Such a group is the first or the last of each slice it touches, so there are at most
+    two rows per slice.
+    """
+    group = F.struct(*partition)
+    ends = sliced.groupBy("_slice").agg(F.array_distinct(
+        F.array(F.min(group), F.max(group))).alias("ends"))
+    crossing = (ends.select(F.explode("ends").alias("_group"))
+                .groupBy("_group").agg(F.count(F.lit(1)).alias("n"))
+                .filter("n > 1").select("_group"))
+    earlier = Window.partitionBy("_group").orderBy("_slice").rowsBetween(
+        Window.unboundedPreceding, -1)
+    return (sliced.select(group.alias("_group"), "_slice")
+            .join(F.broadcast(crossing), "_group")  # at most two rows per slice
+            .groupBy("_group", "_slice").agg(F.count(F.lit(1)).alias("_rows"))
+            .withColumn("_before", F.sum("_rows").over(earlier))
+            .filter(F.col("_before").isNotNull()).drop("_rows"))
 
 
 def number_rows(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
-                name: str) -> DataFrame:
-    """Plain ``row_number``: one shuffle, one group per task at a time."""
-    w = Window.partitionBy(*partition).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-
-
-def number_heavy_rows(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
-                      name: str, heavy: Heavy, slice_rows: int = HEAVY_ROWS) -> DataFrame:
-    """``row_number`` for heavy groups only: no task holds more than about one slice.
-
-    ``order`` must be total within a group for the slices to be even. The slice number
-    comes from the exchange, so the sliced rows are checkpointed: a recomputed range
-    partitioning could pick other bounds and the offsets would no longer fit.
-    """
-    slices = max(2, math.ceil(2 * sum(heavy.values()) / slice_rows))
-    use_checkpoint_dir(df.sparkSession)
-    sliced = (df.repartitionByRange(slices, *[F.col(c) for c in partition], *order)
-              .withColumn("_slice", F.spark_partition_id())
-              .checkpoint())
-    keys = [*partition, "_slice"]
-    before = Window.partitionBy(*partition).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1)
-    # A group covers neighbouring slices, so this has at most slices + groups rows. Joining
-    # it back finds the numbered rows already distributed by the same columns.
-    offsets = (sliced.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-               .withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-               .drop("_rows"))
-    local = number_rows(sliced, keys, order, "_local")
-    return (local.join(offsets, keys)
-            .withColumn(name, F.col("_local") + F.col("_before"))
-            .drop("_slice", "_local", "_before"))
+                name: str, slices: int | None = None) -> DataFrame:
+    """``row_number`` in which no task holds more than about one slice."""
+    sliced = sliced_rows(df, partition, order, slices)
+    local = Window.partitionBy(*partition, "_slice").orderBy(*order)
+    return (sliced.withColumn("_local", F.row_number().over(local))
+            .withColumn("_group", F.struct(*partition))
+            # at most two rows per slice
+            .join(F.broadcast(rows_before(sliced, partition)), ["_group", "_slice"], "left")
+            .withColumn(name, F.col("_local") + F.coalesce("_before", F.lit(0).cast("bigint")))
+            .drop("_group", "_slice", "_local", "_before"))

@@ -69,37 +69,30 @@ def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.normalize(movements_raw(spark, sf_dir), MOVEMENTS)
 
 
-_LANDED: dict[tuple[str, str], tuple[Store, dict[int, int]]] = {}
+_LANDED: dict[tuple[str, str], Store] = {}
 
 
-def landed(spark: SparkSession, sf_dir: str) -> tuple[Store, dict[int, int]]:
-    """A store with every cut landed, made once per session, and the heavy business keys
-    that landing found."""
+def landed(spark: SparkSession, sf_dir: str) -> Store:
+    """A store with every cut landed, made once per session."""
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _LANDED:
         store = Store(spark, scratch_path(spark, "landed"), MOVEMENTS)
-        found = pipeline.land_rows(store, movements_raw(spark, sf_dir))
-        _LANDED[at] = store, found.heavy
+        pipeline.land_rows(store, movements_raw(spark, sf_dir))
+        _LANDED[at] = store
     return _LANDED[at]
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The usable rows of all cuts, normalised from where they were landed."""
-    store, _ = landed(spark, sf_dir)
-    return normalize.normalize(store.landed().filter(USABLE), MOVEMENTS)
-
-
-def heavy(spark: SparkSession, sf_dir: str) -> dict[int, int]:
-    return landed(spark, sf_dir)[1]
+    return normalize.normalize(landed(spark, sf_dir).landed().filter(USABLE), MOVEMENTS)
 
 
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign_keys(valid(spark, sf_dir), MOVEMENTS, heavy(spark, sf_dir))
+    return assign_keys(valid(spark, sf_dir), MOVEMENTS)
 
 
 def full_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.bulk_history(
-        valid(spark, sf_dir), MOVEMENTS, CUTS, heavy(spark, sf_dir))
+    return history.bulk_history(valid(spark, sf_dir), MOVEMENTS, CUTS)
 
 
 _PUBLISHED: dict[tuple[str, str], Store] = {}

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.model import Cut
-from tidemark.operators import history, merge, normalize, ranking
+from tidemark.operators import history, merge, normalize
 from tidemark.operators.keys import assign_keys
 from tidemark.plans import reports
 from tidemark.sources import cuts as source
@@ -29,7 +29,6 @@ class Landed:
     source_rows: int
     rows_valid: int
     checksum: str
-    heavy: dict[int, int]
 
     @property
     def fingerprint(self) -> str:
@@ -40,39 +39,32 @@ class Landed:
         return self.source_rows - self.rows_valid
 
 
-def land(spark: SparkSession, store: Store, cut: Cut,
-         heavy_rows: int = ranking.HEAVY_ROWS) -> Landed:
+def land(spark: SparkSession, store: Store, cut: Cut) -> Landed:
     """Writes a cut to raw, replacing an earlier landing of it."""
     scanned = source.scan_cut(spark, cut.path, store.spec)
-    return land_rows(store, source.with_lineage(scanned, cut), heavy_rows)
+    return land_rows(store, source.with_lineage(scanned, cut))
 
 
-def land_rows(store: Store, rows: DataFrame,
-              heavy_rows: int = ranking.HEAVY_ROWS) -> Landed:
+def land_rows(store: Store, rows: DataFrame) -> Landed:
     """Writes rows with their lineage to raw, replacing the slices they belong to.
 
-    The same pass marks usable rows, counts them, checksums the content and looks for
-    oversized business keys, so none of these costs a scan of its own. The observed
-    rows are in the writing stage; a lost executor cannot count them twice. Later steps
-    filter on the stored mark instead of judging every row again.
+    The same pass marks usable rows, counts them and checksums the content, so none of
+    these costs a scan of its own. The observed rows are in the writing stage; a lost
+    executor cannot count them twice. Later steps filter on the stored mark instead of
+    judging every row again.
     """
     spec, seen = store.spec, Observation()
     # raw and normalised names overlap, so the raw row is set aside in a struct
     clean = rows.select(F.struct(*rows.columns).alias("raw"), *normalize.key_columns(spec))
     clean = clean.withColumn(USABLE, normalize.usable(spec))
-    metrics = [F.count_if(USABLE).alias("rows_valid")]
-    if not spec.natural:
-        metrics.append(ranking.heavy_sketch(
-            ranking.group_id(spec.key_names), F.col(USABLE)).alias("top"))
-    observed = clean.observe(seen, *metrics, *source.fingerprint_columns(spec, "raw."))
+    observed = clean.observe(seen, F.count_if(USABLE).alias("rows_valid"),
+                             *source.fingerprint_columns(spec, "raw."))
     store.write_raw(observed.select("raw.*", USABLE))
     got = seen.get
-    return Landed(got["source_rows"], got["rows_valid"], got["checksum"],
-                  ranking.heavy_from_sketch(got.get("top"), got["rows_valid"], heavy_rows))
+    return Landed(got["source_rows"], got["rows_valid"], got["checksum"])
 
 
 def process_cut(spark: SparkSession, store: Store, cut: Cut, *,
-                heavy_rows: int = ranking.HEAVY_ROWS,
                 max_delete_ratio: float | None = None, reset: bool = False) -> dict | None:
     """Processes one cut and publishes it; returns its run record.
 
@@ -94,17 +86,12 @@ def process_cut(spark: SparkSession, store: Store, cut: Cut, *,
                 return None
             base = _before(store, done, min(r["commit"] for r in same_date), cut)
 
-    landed = land(spark, store, cut, heavy_rows)
+    landed = land(spark, store, cut)
     commit, run_id = head.commit + 1, uuid.uuid4().hex[:12]
     _write_quarantine(store, store.landed(cut), landed.rows_quarantined, commit)
     valid = normalize.normalize(store.landed(cut).filter(USABLE), spec)
-    # a business key heavy in an earlier cut may still be among the open versions
-    even = not landed.heavy and not _had_heavy_keys(store, base)
-    staged = assign_keys(valid, spec, landed.heavy, heavy_rows, colocate=even)
     counted = Observation()
-    classified = merge.classify(
-        store.open_versions(base), staged,
-        merge.BY_BUSINESS_KEY if even else merge.BY_MOVEMENT)
+    classified = merge.classify(store.open_versions(base), assign_keys(valid, spec))
     classified = classified.observe(counted, *merge.action_counts())
     store.write_versions(merge.versions(classified, spec, cut), commit)
     counts = counted.get
@@ -125,11 +112,6 @@ def _write_quarantine(store: Store, landed: DataFrame, rows: int, commit: int) -
         store.write_quarantine(normalize.with_reasons(bad, store.spec), commit)
 
 
-def _had_heavy_keys(store: Store, base: Head) -> bool:
-    found = store.ledger(base).agg(F.max("heavy_keys").alias("n")).first()["n"]
-    return bool(found)
-
-
 def _before(store: Store, done, commit: int, cut: Cut) -> Head:
     """The state before a date that is being replaced."""
     row = done.filter(F.col("commit") == commit).select("lineage").first()
@@ -164,13 +146,11 @@ def _record(cut: Cut, commit: int, lineage: Sequence[int], run_id: str, landed:
         "rows_valid": landed.rows_valid, "rows_quarantined": landed.rows_quarantined,
         **{k: counts[k] for k in
            ("rows_new", "rows_changed", "rows_deleted", "rows_unchanged")},
-        "heavy_keys": len(landed.heavy),
         "status": "SUCCESS", "started_at": started, "finished_at": _now(),
     }
 
 
-def rebuild(spark: SparkSession, store: Store, cuts: Sequence[Cut], *,
-            heavy_rows: int = ranking.HEAVY_ROWS) -> list[dict]:
+def rebuild(spark: SparkSession, store: Store, cuts: Sequence[Cut]) -> list[dict]:
     """Lands all cuts and publishes their whole history as one commit, from zero.
 
     The history comes from one pass over the landed rows instead of one merge per cut.
@@ -178,16 +158,13 @@ def rebuild(spark: SparkSession, store: Store, cuts: Sequence[Cut], *,
     spec, started = store.spec, _now()
     commit, run_id = store.head().commit + 1, uuid.uuid4().hex[:12]
     ordered = sorted(cuts, key=lambda c: c.cut_date)
-    # a business key meets all its cuts in one task, so its rows add up over the cuts
-    landings = [land(spark, store, c, max(1, heavy_rows // len(ordered))) for c in ordered]
+    landings = [land(spark, store, c) for c in ordered]
     wanted = F.struct("_cut_date", "_cut_label").isin(
         *[F.struct(F.lit(c.cut_date), F.lit(c.label)) for c in ordered])
     rows = store.landed().filter(wanted)
     _write_quarantine(store, rows, sum(x.rows_quarantined for x in landings), commit)
-    heavy = ranking.heavy_together(
-        [x.heavy for x in landings], sum(x.rows_valid for x in landings), heavy_rows)
     valid = normalize.normalize(rows.filter(USABLE), spec)
-    versions = history.bulk_history(valid, spec, ordered, heavy, heavy_rows)
+    versions = history.bulk_history(valid, spec, ordered)
     store.write_versions(versions.withColumn("part", merge.part_of()), commit)
 
     events = (merge.events(store.opened_by(commit))

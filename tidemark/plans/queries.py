@@ -249,14 +249,10 @@ LINEITEM_ORDER = ["l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_shi
 
 @query("occurrence_seq_heavy")
 def occurrence_seq_heavy(spark: SparkSession, sf: str) -> DataFrame:
-    """Occurrence numbers where a handful of keys hold the whole table: every group is
-    cut into slices, whatever the table's size."""
+    """Occurrence numbers where a handful of keys hold the whole table."""
     rows = demo.table(spark, sf, "lineitem").select(*LINEITEM_KEY, *LINEITEM_ORDER)
-    heavy = ranking.heavy_groups(rows, LINEITEM_KEY, heavy_rows=1)
     order = [F.col(c).asc_nulls_last() for c in LINEITEM_ORDER]
-    per_slice = max(1, min(ranking.HEAVY_ROWS, sum(heavy.values()) // 16))
-    return ranking.number_heavy_rows(
-        rows, LINEITEM_KEY, order, "occurrence_seq", heavy, per_slice)
+    return ranking.number_rows(rows, LINEITEM_KEY, order, "occurrence_seq")
 
 
 @query("movement_key")

@@ -9,16 +9,24 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # a join on (business key, occurrence) may keep rows distributed by business key alone
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # folders per part without sorting the rows by part first
     "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 
-def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
+# What a shuffle partition should hold at most; smaller ones are merged at run time.
+PARTITION_BYTES = 128 << 20
+
+
+def configure(builder: SparkSession.Builder,
+              input_bytes: int | None = None) -> SparkSession.Builder:
+    """The settings; with the size of the largest input, also the number of partitions that
+    shuffles start with (the run merges partitions, it never adds any)."""
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if input_bytes:
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                                 max(200, -(-input_bytes // PARTITION_BYTES)))
     return builder
 
 
