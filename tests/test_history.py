@@ -5,7 +5,7 @@ import pytest
 from conftest import CUTS, compared, row, valid
 from test_merge import run
 
-from tidemark.model import MOVEMENTS
+from tidemark.model import FLOW_BY_PRODUCT, MOVEMENTS
 from tidemark.operators import history, marts, merge, quality
 
 
@@ -91,10 +91,10 @@ def test_incremental_mart_equals_recomputed_mart(spark):
         s = staged(spark, rows, cut)
         live = merge.no_versions(s, MOVEMENTS) if live is None else live
         merged = merge.merge(live, s, MOVEMENTS, cut).checkpoint()
-        delta = marts.flow_state(marts.merge_delta(merged), "product", F.col("_sign"))
-        state = (delta if state is None else marts.add_flow(state, delta, "product")).checkpoint()
+        delta = marts.flow_state(marts.merge_delta(merged), FLOW_BY_PRODUCT, F.col("_sign"))
+        state = (delta if state is None else marts.add_flow(state, delta, FLOW_BY_PRODUCT)).checkpoint()
         live = merge.open_versions(merged, MOVEMENTS)
         fresh = marts.flow_by_product(marts.live_state(live))
-        got = marts.finish_flow(state, "product")
+        got = marts.finish_flow(state, FLOW_BY_PRODUCT)
         assert sorted(map(str, got.select(fresh.columns).collect())) == sorted(
             map(str, fresh.collect()))

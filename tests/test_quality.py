@@ -3,7 +3,8 @@ from datetime import date
 import pytest
 
 from tidemark.functions.money import exact_sum
-from tidemark.operators import quality
+from tidemark.model import Mart, Total
+from tidemark.operators import marts, quality
 from pyspark.sql import functions as F
 
 
@@ -52,3 +53,23 @@ def test_sums_do_not_depend_on_order_and_lose_nothing(spark):
     assert odd.select(exact_sum(F.col("v"))).first()[0] == 1e300
     empty = spark.createDataFrame([(None,)], "v double")
     assert empty.select(exact_sum(F.col("v"))).first()[0] is None
+
+
+@pytest.mark.parametrize("values, expected", [
+    ([4e-7, 4e-7], 8e-7), ([1e22, 1.0, -1e22], 1.0), ([1e23, 0.25], 1e23),
+    ([float("nan"), 1.0], float("nan")), ([float("inf"), 1.0], float("inf")),
+    ([float("inf"), float("-inf")], float("nan")), ([-0.1, -0.2], -0.3),
+    ([1e-30, 1e-30], 2e-30), ([1e18, 0.5, -1e18], 0.5)])
+def test_no_amount_is_rounded_or_left_out(spark, values, expected):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = df.select(exact_sum(F.col("v"))).first()[0]
+    assert got == expected or got != got and expected != expected
+
+
+def test_rows_can_be_taken_back_from_a_sum(spark):
+    mart = Mart("m", "k", (Total("t", "v"),))
+    odd = [(k, v) for k, v in enumerate([float("nan"), float("inf"), 1e300, 1e-30, 4e-7])]
+    rows = spark.createDataFrame([(k, w) for k, v in odd for w in (v, 0.1, 0.2)], "k int, v double")
+    gone = spark.createDataFrame(odd, "k int, v double")
+    left = marts.add_flow(marts.flow_state(rows, mart), marts.flow_state(gone, mart, F.lit(-1)), mart)
+    assert [r["t"] for r in marts.finish_flow(left, mart).collect()] == [0.3] * 5

@@ -253,3 +253,31 @@ def test_fixture_counts(spark, store):
     state = marts.state_summary(store.history()).first()
     assert tuple(state) == (831, 167, 1621, 15)
     assert tuple(marts.quality_profile(store.live()).first()) == (831, 30, 15, 19, 47, 333)
+
+
+def test_another_table_has_its_own_marts_and_gate(spark, tmp_path):
+    orders = Store(spark, str(tmp_path / "orders"), demo.ORDERS)
+    columns = demo.ORDERS.source.simpleString()[7:-1].replace(":", " ")
+    days = [[(1, 7, "O", 10.5, "H"), (2, 7, "F", 4e-7, "L")],
+            [(1, 7, "F", 10.5, "H"), (3, 8, "F", float("nan"), "L")],
+            [(1, 7, "F", 11.5, "H"), (4, 8, "O", 2.0, "L")]]
+    for n, (cut, rows) in enumerate(zip((T, T1, T2), days)):
+        path = str(tmp_path / f"day{n}")
+        spark.createDataFrame(rows, columns).write.parquet(path)
+        pipeline.run_cuts(spark, orders, [Cut(cut.label, path, cut.cut_date)])
+        fresh = marts.flow(orders.live(), demo.ORDERS.marts[0])
+        assert set(map(str, orders.mart("orders_by_status").collect())) == set(
+            map(str, fresh.collect()))
+
+
+def test_marts_of_a_failed_gate_are_not_shown(spark, store, tmp_path, monkeypatch):
+    pipeline.run_cuts(spark, store, [write_cut(spark, tmp_path, FIRST, T)])
+    before = store.mart("flujo_por_producto").collect()
+    with monkeypatch.context() as m:
+        m.setattr(quality, "suite", lambda spec: [quality.Accepted("live", "product", ("X",))])
+        with pytest.raises(quality.QualityGateError):
+            pipeline.run_cuts(spark, store, [write_cut(spark, tmp_path, SECOND, T1)])
+    assert store.mart("flujo_por_producto").collect() == before
+    reports.build_and_check(store)
+    assert store.mart("flujo_por_producto").collect() == marts.flow_by_product(
+        store.live()).collect() != before

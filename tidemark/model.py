@@ -74,6 +74,23 @@ class Derived:
     dtype: T.DataType
 
 
+@dataclass(frozen=True)
+class Total:
+    """A sum over a mart's rows, of a SQL expression."""
+
+    name: str
+    sql: str
+
+
+@dataclass(frozen=True)
+class Mart:
+    """Live rows counted and summed per value of a column, largest first total first."""
+
+    name: str
+    by: str
+    totals: tuple[Total, ...]
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """A snapshot table. ``natural`` means the key is already unique inside a cut."""
@@ -85,6 +102,7 @@ class TableSpec:
     measures: tuple[Derived, ...] = field(default=())
     flags: tuple[Derived, ...] = field(default=())
     natural: bool = False
+    marts: tuple[Mart, ...] = field(default=())
 
     # -- column lists ------------------------------------------------------------
     @property
@@ -214,6 +232,14 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("finished_at", T.TimestampType()),
 ])
 
+# The two directions, the marts and their columns.
+INFLOW, OUTFLOW = "ENTRADA", "SALIDA"
+_NET = Total("flujo_neto", "signed_amount")
+FLOW_BY_PRODUCT = Mart("flujo_por_producto", "product", (
+    _NET, Total("total_entradas", f"CASE WHEN type = '{INFLOW}' THEN amount END"),
+    Total("total_salidas", f"CASE WHEN type = '{OUTFLOW}' THEN amount END")))
+FLOW_BY_FUND = Mart("flujo_por_fondo", "fund", (_NET,))
+
 # The financial-movements table. Its identity columns describe the fact itself; its
 # attributes are what a later correction may edit.
 # Names, canonical directions, quarantine reasons, date format.
@@ -252,4 +278,5 @@ MOVEMENTS = TableSpec(
         Derived("dq_amount_zero", "amount = 0", T.BooleanType()),
         Derived("dq_amount_negative", "amount < 0", T.BooleanType()),
     ),
+    marts=(FLOW_BY_PRODUCT, FLOW_BY_FUND),
 )

@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import MONEY, exact_sum
-from tidemark.model import DELETE, INSERT, UPDATE
-
-# The two directions.
-INFLOW, OUTFLOW = "ENTRADA", "SALIDA"
+from tidemark.functions.money import add_parts, exact_sum, sum_parts, total
+from tidemark.model import DELETE, FLOW_BY_FUND, FLOW_BY_PRODUCT, INSERT, UPDATE, Mart
 
 
 def live_state(history: DataFrame) -> DataFrame:
@@ -20,26 +17,22 @@ def tombstones(history: DataFrame) -> DataFrame:
     return history.filter(F.col("is_current") & F.col("is_deleted"))
 
 
-def _directed(direction: str) -> Column:
-    return F.when(F.col("type") == direction, F.col("amount"))
+def flow(live: DataFrame, mart: Mart) -> DataFrame:
+    """A declared mart over the live rows."""
+    return (live.groupBy(mart.by).agg(
+        F.count(F.lit(1)).alias("n_movimientos"),
+        *[exact_sum(F.expr(t.sql)).alias(t.name) for t in mart.totals])
+        .orderBy(F.desc_nulls_last(mart.totals[0].name)))
 
 
 def flow_by_product(live: DataFrame) -> DataFrame:
     """Net flow and raw totals. The net uses magnitudes signed by direction, the totals
     the amounts as sent, so they need not reconcile when amounts are negative."""
-    return (live.groupBy("product").agg(
-        F.count(F.lit(1)).alias("n_movimientos"),
-        exact_sum(F.col("signed_amount")).alias("flujo_neto"),
-        exact_sum(_directed(INFLOW)).alias("total_entradas"),
-        exact_sum(_directed(OUTFLOW)).alias("total_salidas"))
-        .orderBy(F.desc_nulls_last("flujo_neto")))
+    return flow(live, FLOW_BY_PRODUCT)
 
 
 def flow_by_fund(live: DataFrame) -> DataFrame:
-    return (live.groupBy("fund").agg(
-        F.count(F.lit(1)).alias("n_movimientos"),
-        exact_sum(F.col("signed_amount")).alias("flujo_neto"))
-        .orderBy(F.desc_nulls_last("flujo_neto")))
+    return flow(live, FLOW_BY_FUND)
 
 
 def flow_by_type(live: DataFrame) -> DataFrame:
@@ -106,27 +99,16 @@ def run_summary(history: DataFrame, quarantined: DataFrame) -> DataFrame:
 
 
 # -- incremental marts ---------------------------------------------------------------
-# Sums are kept as decimals with the number of non-NULL terms beside them, so that adding
-# and taking away rows is exact and an empty sum turns back into NULL.
-
-_FLOWS = {"flujo_neto": "signed_amount", "total_entradas": INFLOW, "total_salidas": OUTFLOW}
-
-
-def _terms(name: str) -> Column:
-    source = _FLOWS[name]
-    c = F.col("signed_amount") if source == "signed_amount" else _directed(source)
-    return c.cast(MONEY)
+# The state of a mart holds the parts of its sums, so that rows can be added and taken away.
 
 
-def flow_state(versions: DataFrame, by: str, sign: Column) -> DataFrame:
-    """Partial mart per ``by`` value; ``sign`` is +1 for rows entering the live state,
-    -1 for rows leaving it."""
-    sums = []
-    for name in _FLOWS:
-        c = _terms(name)
-        sums += [F.sum(c * sign).cast("decimal(38,6)").alias(name),
-                 F.sum(F.when(c.isNotNull(), sign)).alias(f"_n_{name}")]
-    return versions.groupBy(by).agg(F.sum(sign).alias("n_movimientos"), *sums)
+def flow_state(versions: DataFrame, mart: Mart, sign: Column | None = None) -> DataFrame:
+    """Partial mart; ``sign`` is +1 for rows entering the live state, -1 for rows leaving
+    it."""
+    count = F.count(F.lit(1)) if sign is None else F.sum(sign).cast("bigint")
+    return versions.groupBy(mart.by).agg(
+        count.alias("n_movimientos"),
+        *[sum_parts(F.expr(t.sql), sign).alias(t.name) for t in mart.totals])
 
 
 def merge_delta(merged: DataFrame) -> DataFrame:
@@ -141,15 +123,15 @@ def merge_delta(merged: DataFrame) -> DataFrame:
             .withColumn("_sign", F.when(F.col("opened"), 1).otherwise(-1)))
 
 
-def add_flow(state: DataFrame, delta: DataFrame, by: str) -> DataFrame:
+def add_flow(state: DataFrame, delta: DataFrame, mart: Mart) -> DataFrame:
     """Partial mart after a cut = the one before + its delta; both are one row per value."""
-    totals = [c for c in state.columns if c != by]
-    return (state.unionByName(delta).groupBy(by)
-            .agg(*[F.sum(c).cast(state.schema[c].dataType).alias(c) for c in totals])
+    return (state.unionByName(delta).groupBy(mart.by)
+            .agg(F.sum("n_movimientos").alias("n_movimientos"),
+                 *[add_parts(t.name).alias(t.name) for t in mart.totals])
             .filter("n_movimientos > 0"))
 
 
-def finish_flow(state: DataFrame, by: str) -> DataFrame:
-    return state.select(
-        by, "n_movimientos",
-        *[F.when(F.col(f"_n_{n}") > 0, F.col(n).cast("double")).alias(n) for n in _FLOWS])
+def finish_flow(state: DataFrame, mart: Mart) -> DataFrame:
+    return (state.select(mart.by, "n_movimientos",
+                         *[total(F.col(t.name)).alias(t.name) for t in mart.totals])
+            .orderBy(F.desc_nulls_last(mart.totals[0].name)))

@@ -10,8 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.model import DELETE, INSERT, UPDATE
-from tidemark.operators.marts import INFLOW, OUTFLOW
+from tidemark.model import DELETE, INSERT, MOVEMENTS, UPDATE, TableSpec
 
 
 class QualityGateError(RuntimeError):
@@ -197,25 +196,32 @@ def gate(results: DataFrame) -> None:
 
 
 _CHANGES = (INSERT, UPDATE, DELETE)
-_DIRECTIONS = (INFLOW, OUTFLOW)
-
-MOVEMENTS_SUITE: tuple[Assertion, ...] = (
-    *[NotNull("history", c) for c in (
-        "movement_key", "business_key_hash", "id_cliente", "mov_date", "product", "type",
-        "fund", "change_type", "is_current", "is_deleted", "valid_from")],
-    Accepted("history", "type", _DIRECTIONS),
-    Accepted("history", "change_type", _CHANGES),
-    NotNull("change_log", "movement_key"),
-    NotNull("change_log", "change_type"),
-    Accepted("change_log", "change_type", _CHANGES),
-    Unique("live", "movement_key"),
-    NotNull("live", "movement_key"),
-    Accepted("live", "type", _DIRECTIONS),
-    Unique("flow_by_product", "product"),
-    NotNull("flow_by_product", "product"),
-    Unique("flow_by_fund", "fund"),
-    NotNull("flow_by_fund", "fund"),
-    OneOpenVersion("history"),
-    OneVersionPerCut("history"),
-    CoherentValidity("history"),
-)
+
+
+def suite(spec: TableSpec) -> tuple[Assertion, ...]:
+    """The assertions over a table's history, change log, live state and marts: what the
+    declarations promise holds in what is published."""
+    keys = spec.key_names
+    mapped = [(k.name, tuple(dict.fromkeys(v for _, v in k.mapping)))
+              for k in spec.key if k.kind == "mapped"]
+    return (
+        *[NotNull("history", c) for c in (
+            "movement_key", "business_key_hash", *keys, "change_type", "is_current",
+            "is_deleted", "valid_from")],
+        *[Accepted("history", name, values) for name, values in mapped],
+        Accepted("history", "change_type", _CHANGES),
+        NotNull("change_log", "movement_key"),
+        NotNull("change_log", "change_type"),
+        Accepted("change_log", "change_type", _CHANGES),
+        Unique("live", "movement_key"),
+        NotNull("live", "movement_key"),
+        *[Accepted("live", name, values) for name, values in mapped],
+        *[Unique(m.name, m.by) for m in spec.marts],
+        *[NotNull(m.name, m.by) for m in spec.marts if m.by in keys],
+        OneOpenVersion("history"),
+        OneVersionPerCut("history"),
+        CoherentValidity("history"),
+    )
+
+
+MOVEMENTS_SUITE = suite(MOVEMENTS)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.model import MOVEMENTS, Attribute, Cut, KeyColumn, TableSpec
+from tidemark.model import MOVEMENTS, Attribute, Cut, KeyColumn, Mart, TableSpec, Total
 from tidemark.operators import history, merge, normalize
 from tidemark.operators.keys import assign_keys
 from tidemark.plans import pipeline
@@ -138,6 +138,7 @@ ORDERS = TableSpec(
     attributes=(Attribute("o_custkey"), Attribute("o_orderstatus"),
                 Attribute("o_totalprice"), Attribute("o_orderpriority")),
     natural=True,
+    marts=(Mart("orders_by_status", "o_orderstatus", (Total("total", "o_totalprice"),)),),
 )
 
 ORDER_CUTS = (Cut("Y1998", "orders", date(1998, 1, 1)), Cut("Y2000", "orders", date(2000, 1, 1)),

@@ -129,23 +129,31 @@ o{n} AS MATERIALIZED (SELECT {row}, {tail} FROM n{n} UNION ALL SELECT {row}, {ta
 
 _DAYS = [(c.label, c.cut_date.isoformat()) for c in demo.CUTS]
 _HISTORY = _merge_steps(MOVEMENTS.row_columns, _DAYS)
-_VIEWS = """
+
+
+def _sum(x: str) -> str:
+    """A sum of doubles by their shortest decimal forms, rounded once."""
+    return (f"CAST(CAST(sum(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18))) AS VARCHAR) "
+            "AS DOUBLE)")
+
+
+_VIEWS = f"""
 live AS (SELECT * FROM history WHERE is_current AND NOT is_deleted),
 change_log AS (SELECT cut_label, valid_from AS cut_date, movement_key, change_type,
   prev_attr_hash, CASE WHEN change_type <> 'DELETE' THEN attr_hash END AS new_attr_hash
   FROM history),
 flow_by_product AS (SELECT product, count(*) AS n_movimientos,
-  CAST(sum(CAST(signed_amount AS DECIMAL(28,6))) AS DOUBLE) AS flujo_neto,
-  CAST(sum(CAST(CASE WHEN type='ENTRADA' THEN amount END AS DECIMAL(28,6))) AS DOUBLE)
+  {_sum("signed_amount")} AS flujo_neto,
+  {_sum("CASE WHEN type='ENTRADA' THEN amount END")}
     AS total_entradas,
-  CAST(sum(CAST(CASE WHEN type='SALIDA' THEN amount END AS DECIMAL(28,6))) AS DOUBLE)
+  {_sum("CASE WHEN type='SALIDA' THEN amount END")}
     AS total_salidas
   FROM live GROUP BY product),
 flow_by_fund AS (SELECT fund, count(*) AS n_movimientos,
-  CAST(sum(CAST(signed_amount AS DECIMAL(28,6))) AS DOUBLE) AS flujo_neto
+  {_sum("signed_amount")} AS flujo_neto
   FROM live GROUP BY fund),
 flow_by_type AS (SELECT type, count(*) AS n_movimientos,
-  CAST(sum(CAST(amount AS DECIMAL(28,6))) AS DOUBLE) AS total_monto FROM live GROUP BY type),
+  {_sum("amount")} AS total_monto FROM live GROUP BY type),
 cdc_summary AS (SELECT cut_label, CAST(cut_date AS VARCHAR) AS cut_date,
   count(*) FILTER (WHERE change_type='INSERT') AS nuevos,
   count(*) FILTER (WHERE change_type='UPDATE') AS corregidos,
@@ -162,7 +170,7 @@ dq_profile AS (SELECT count(*) AS total, CAST(sum(dq_amount_null::INT) AS BIGINT
   CAST(sum(dq_type_recoded::INT) AS BIGINT) AS type_recodificado FROM live),
 quarantine_total AS (SELECT count(*) AS cuarentena_total FROM judged WHERE NOT usable),
 top_clients AS (SELECT id_cliente, count(*) AS n_movimientos,
-  CAST(sum(CAST(abs(amount) AS DECIMAL(28,6))) AS DOUBLE) AS volumen
+  {_sum("abs(amount)")} AS volumen
   FROM live GROUP BY id_cliente ORDER BY volumen DESC NULLS LAST, id_cliente LIMIT 10)"""
 
 _CORRUPTED = """
@@ -197,6 +205,14 @@ def _checked(body: str) -> str:
     return _hist(body, "," + _CORRUPTED)
 
 
+def _cuts(body: str) -> str:
+    """A statement over every merge; ``{n}`` is its number, ``{before}`` the one before."""
+    return _hist("\nUNION ALL ".join(
+        body.format(n=n, before=n - 1, cut=f"'{label}' AS cut_label",
+                    merged=f"'{label}' AS merged_cut")
+        for n, (label, _) in enumerate(_DAYS, start=1)))
+
+
 _SHOWN = ROW_COLUMNS + (", change_type, is_current, is_deleted, valid_from, valid_to, "
                         "cut_label, prev_attr_hash")
 
@@ -205,9 +221,9 @@ _CHECKED_TABLES = {
     "history": "(SELECT * FROM copies WHERE copy = '{copy}')",
     "change_log": "(SELECT * FROM copies WHERE copy = '{copy}')",
     "live": "(SELECT * FROM copies WHERE copy = '{copy}' AND is_current AND NOT is_deleted)",
-    "flow_by_product": "(SELECT DISTINCT product FROM copies WHERE copy = '{copy}' "
+    "flujo_por_producto": "(SELECT DISTINCT product FROM copies WHERE copy = '{copy}' "
                        "AND is_current AND NOT is_deleted)",
-    "flow_by_fund": "(SELECT DISTINCT fund FROM copies WHERE copy = '{copy}' "
+    "flujo_por_fondo": "(SELECT DISTINCT fund FROM copies WHERE copy = '{copy}' "
                     "AND is_current AND NOT is_deleted)",
 }
 
@@ -300,6 +316,16 @@ FROM cuts c JOIN (SELECT _cut_label, count(*) AS source_rows,
     count(*) FILTER (WHERE usable) AS rows_valid FROM judged GROUP BY 1) r
   ON r._cut_label = c.cut_label JOIN ({_COUNTS}) m ON m.cut_label = c.cut_label"""
 
+_QUARANTINE = (
+    "SELECT id_cliente, CAST(mov_date AS VARCHAR) AS date, product, type, fund, amount, "
+    "description, commercial_name, concat_ws('; ', "
+    "CASE WHEN coalesce(id_cliente,'')='' THEN 'id_cliente vacio' END, "
+    "CASE WHEN mov_date IS NULL THEN 'date no parseable' END, "
+    "CASE WHEN coalesce(product,'')='' THEN 'product vacio' END, "
+    "CASE WHEN type IS NULL THEN 'type no mapeable' END, "
+    "CASE WHEN coalesce(fund,'')='' THEN 'fund vacio' END) AS _reasons, "
+    "{more}_cut_label, _cut_date FROM judged WHERE NOT usable")
+
 ORACLE: dict[str, str] = {
     "scan_cut": _raw("SELECT id_cliente, date, product, type, fund, amount, description, "
                      "commercial_name FROM raw WHERE _cut_label = 'T'"),
@@ -340,15 +366,8 @@ ORACLE: dict[str, str] = {
     "flag_amount": _norm("SELECT _cut_label, _row_num, dq_amount_null, dq_amount_zero, "
                          "dq_amount_negative FROM valid"),
     "split_valid": _norm("SELECT _cut_label, _row_num, usable FROM judged"),
-    "quarantine": _norm(
-        "SELECT id_cliente, CAST(mov_date AS VARCHAR) AS date, product, type, fund, amount, "
-        "description, commercial_name, concat_ws('; ', "
-        "CASE WHEN coalesce(id_cliente,'')='' THEN 'id_cliente vacio' END, "
-        "CASE WHEN mov_date IS NULL THEN 'date no parseable' END, "
-        "CASE WHEN coalesce(product,'')='' THEN 'product vacio' END, "
-        "CASE WHEN type IS NULL THEN 'type no mapeable' END, "
-        "CASE WHEN coalesce(fund,'')='' THEN 'fund vacio' END) AS _reasons, "
-        "_source_file, _cut_label, _cut_date FROM judged WHERE NOT usable"),
+    "quarantine": _norm(_QUARANTINE.format(more="_source_file, ")),
+    "quarantine_stored": _norm(_QUARANTINE.format(more="")),
     "key_hash": _norm("SELECT _cut_label, _row_num, business_key_hash FROM valid"),
     "attr_hash": _norm("SELECT _cut_label, _row_num, attr_hash FROM valid"),
     "signed_amount": _norm("SELECT _cut_label, _row_num, type, amount, signed_amount FROM valid"),
@@ -369,21 +388,21 @@ ORACLE: dict[str, str] = {
     "open_versions": _hist(f"SELECT {_SHOWN} FROM history WHERE is_current"),
     "live_state": _hist(f"SELECT {_SHOWN} FROM live"),
     "tombstones": _hist(f"SELECT {_SHOWN} FROM history WHERE is_current AND is_deleted"),
-    "cdc_full_outer": _hist("SELECT movement_key, has_new, has_old, old_is_deleted, "
-                            "old_attr_hash, new_attr_hash FROM a3"),
-    "cdc_classify": _hist("SELECT movement_key, action, has_old AND action IN "
-                          "('INSERT','UPDATE','DELETE') AS closes FROM a3"),
-    "cdc_reappeared": _hist("SELECT movement_key, old_attr_hash AS prev_attr_hash, "
-                            "new_attr_hash AS new_attr_hash FROM a3 "
+    "cdc_full_outer": _cuts("SELECT {cut}, movement_key, has_new, has_old, old_is_deleted, "
+                            "old_attr_hash, new_attr_hash FROM a{n}"),
+    "cdc_classify": _cuts("SELECT {cut}, movement_key, action, has_old AND action IN "
+                          "('INSERT','UPDATE','DELETE') AS closes FROM a{n}"),
+    "cdc_reappeared": _cuts("SELECT {cut}, movement_key, old_attr_hash AS prev_attr_hash, "
+                            "new_attr_hash AS new_attr_hash FROM a{n} "
                             "WHERE has_new AND has_old AND old_is_deleted"),
-    "cdc_new_rows": _hist(f"SELECT change_type AS action, {ROW_COLUMNS} FROM n3"),
-    "cdc_tombstone_rows": _hist(f"SELECT {ROW_COLUMNS} FROM t3"),
-    "cdc_closed_rows": _hist("SELECT a.movement_key, o.valid_from, a.action FROM a3 a "
-                             "JOIN o2 o ON a.movement_key = o.movement_key "
+    "cdc_new_rows": _cuts("SELECT {cut}, change_type AS action, " + ROW_COLUMNS + " FROM n{n}"),
+    "cdc_tombstone_rows": _cuts("SELECT {cut}, " + ROW_COLUMNS + " FROM t{n}"),
+    "cdc_closed_rows": _cuts("SELECT {cut}, a.movement_key, o.valid_from, a.action "
+                             "FROM a{n} a JOIN o{before} o ON a.movement_key = o.movement_key "
                              "WHERE a.action IN ('INSERT','UPDATE','DELETE')"),
-    "scd2_closed": _hist(f"SELECT {_SHOWN} FROM c3"),
-    "scd2_new_versions": _hist(f"SELECT {_SHOWN} FROM n3"),
-    "scd2_tombstones": _hist(f"SELECT {_SHOWN} FROM t3"),
+    "scd2_closed": _cuts("SELECT {merged}, " + _SHOWN + " FROM c{n}"),
+    "scd2_new_versions": _cuts("SELECT {merged}, " + _SHOWN + " FROM n{n}"),
+    "scd2_tombstones": _cuts("SELECT {merged}, " + _SHOWN + " FROM t{n}"),
     "change_log": _hist("SELECT * FROM change_log"),
     "change_log_stored": _hist("SELECT * FROM change_log"),
     "merge_counts": _hist(_COUNTS),
@@ -409,7 +428,7 @@ ORACLE: dict[str, str] = {
     "run_summary": _hist("SELECT s.*, q.cuarentena_total FROM state_summary s, "
                          "quarantine_total q"),
     "insights": _hist(_INSIGHTS),
-    "insights_export": _hist("SELECT * FROM top_clients"),
+    "insights_export": _hist(_INSIGHTS),
     "assert_not_null": _suite(quality.NotNull),
     "assert_accepted_values": _suite(quality.Accepted),
     "assert_unique": _suite(quality.Unique),
@@ -435,6 +454,10 @@ ORACLE: dict[str, str] = {
         "JOIN (VALUES (DATE '2024-10-31'), (DATE '2024-11-01'), (DATE '2024-11-02'), "
         "(DATE '2024-11-03'), (DATE '2024-12-31')) v(day) ON valid_from <= day "
         "AND (valid_to IS NULL OR valid_to > day) WHERE NOT is_deleted"),
+    "marts_stored": _hist("\nUNION ALL ".join([
+        *_long("flujo_por_producto", "flow_by_product", "product",
+               ["n_movimientos", "flujo_neto", "total_entradas", "total_salidas"]),
+        *_long("flujo_por_fondo", "flow_by_fund", "fund", ["n_movimientos", "flujo_neto"])])),
     "mart_incremental": _hist("SELECT * FROM flow_by_product"),
     "natural_key_cdc": _ORDERS,
 }

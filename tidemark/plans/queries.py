@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, hashing, text
-from tidemark.model import DELETE, INSERT, MOVEMENTS, UPDATE
+from tidemark.model import DELETE, FLOW_BY_PRODUCT, INSERT, MOVEMENTS, UPDATE, Cut
 from tidemark.operators import history, keys, marts, merge, normalize, quality, ranking
 from tidemark.plans import demo, pipeline, reports
 from tidemark.sources import cuts as source
@@ -217,6 +217,17 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return normalize.quarantine(demo.normalized(spark, sf), MOVEMENTS).drop("_load_ts")
 
 
+@query("quarantine_stored")
+def quarantine_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The published quarantine, after a newest cut that came twice: first with the rows of
+    another day, then with its own."""
+    store = Store(spark, scratch_path(spark, "store"), MOVEMENTS)
+    first, second, third = demo.write_cuts(spark, sf)
+    for cut in (first, second, Cut(third.label, first.path, third.cut_date), third):
+        pipeline.process_cut(spark, store, cut)
+    return store.quarantine().drop("_load_ts", "_source_file")
+
+
 @query("key_hash")
 def key_hash(spark: SparkSession, sf: str) -> DataFrame:
     return demo.valid(spark, sf).select(
@@ -295,68 +306,74 @@ def tombstones(spark: SparkSession, sf: str) -> DataFrame:
     return _history_columns(marts.tombstones(demo.full_history(spark, sf)))
 
 
-# -- change capture: the third cut against the state the first two left ---------------------
-def _last(spark: SparkSession, sf: str) -> DataFrame:
-    return demo.classified(spark, sf, len(demo.CUTS))
+# -- change capture: every cut against the state that the one before left ---------------
+def _each_cut(spark: SparkSession, sf: str, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    return _union([fn(demo.classified(spark, sf, n)).select(F.lit(c.label).alias("cut_label"), "*")
+                   for n, c in enumerate(demo.CUTS, start=1)])
 
 
-def _last_versions(spark: SparkSession, sf: str) -> DataFrame:
-    return merge.versions(_last(spark, sf), MOVEMENTS, demo.CUTS[-1])
+def _each_merge(spark: SparkSession, sf: str, condition: str) -> DataFrame:
+    return _union([
+        _history_columns(merge.versions(demo.classified(spark, sf, n), MOVEMENTS, c)
+                         .filter(condition)).select(F.lit(c.label).alias("merged_cut"), "*")
+        for n, c in enumerate(demo.CUTS, start=1)])
 
 
 @query("cdc_full_outer")
 def cdc_full_outer(spark: SparkSession, sf: str) -> DataFrame:
-    return _last(spark, sf).select(
+    return _each_cut(spark, sf, lambda rows: rows.select(
         "movement_key", F.col("new.attr_hash").isNotNull().alias("has_new"),
         F.col("old.attr_hash").isNotNull().alias("has_old"),
         F.col("old.is_deleted").alias("old_is_deleted"),
         F.col("old.attr_hash").alias("old_attr_hash"),
-        F.col("new.attr_hash").alias("new_attr_hash"))
+        F.col("new.attr_hash").alias("new_attr_hash")))
 
 
 @query("cdc_classify")
 def cdc_classify(spark: SparkSession, sf: str) -> DataFrame:
-    return _last(spark, sf).select("movement_key", "action", "closes")
+    return _each_cut(spark, sf, lambda rows: rows.select("movement_key", "action", "closes"))
 
 
 @query("cdc_reappeared")
 def cdc_reappeared(spark: SparkSession, sf: str) -> DataFrame:
-    return _last(spark, sf).filter(F.col("old.is_deleted") & (F.col("action") == INSERT)).select(
+    return _each_cut(spark, sf, lambda rows: rows.filter(
+        F.col("old.is_deleted") & (F.col("action") == INSERT)).select(
         "movement_key", F.col("old.attr_hash").alias("prev_attr_hash"),
-        F.col("new.attr_hash").alias("new_attr_hash"))
+        F.col("new.attr_hash").alias("new_attr_hash")))
 
 
 @query("cdc_new_rows")
 def cdc_new_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return _last(spark, sf).filter(F.col("action").isin(INSERT, UPDATE)).select(
-        "action", *[F.col(f"new.{c}") for c in MOVEMENTS.row_columns])
+    return _each_cut(spark, sf, lambda rows: rows.filter(
+        F.col("action").isin(INSERT, UPDATE)).select(
+        "action", *[F.col(f"new.{c}") for c in MOVEMENTS.row_columns]))
 
 
 @query("cdc_tombstone_rows")
 def cdc_tombstone_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return _last(spark, sf).filter(F.col("action") == DELETE).select(
-        *[F.col(f"old.{c}") for c in MOVEMENTS.row_columns])
+    return _each_cut(spark, sf, lambda rows: rows.filter(F.col("action") == DELETE).select(
+        *[F.col(f"old.{c}") for c in MOVEMENTS.row_columns]))
 
 
 @query("cdc_closed_rows")
 def cdc_closed_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return _last(spark, sf).filter("closes").select(
-        "movement_key", F.col("old.valid_from").alias("valid_from"), "action")
+    return _each_cut(spark, sf, lambda rows: rows.filter("closes").select(
+        "movement_key", F.col("old.valid_from").alias("valid_from"), "action"))
 
 
 @query("scd2_closed")
 def scd2_closed(spark: SparkSession, sf: str) -> DataFrame:
-    return _history_columns(_last_versions(spark, sf).filter("part = 'closed'"))
+    return _each_merge(spark, sf, "part = 'closed'")
 
 
 @query("scd2_new_versions")
 def scd2_new_versions(spark: SparkSession, sf: str) -> DataFrame:
-    return _history_columns(_last_versions(spark, sf).filter("opened AND NOT is_deleted"))
+    return _each_merge(spark, sf, "opened AND NOT is_deleted")
 
 
 @query("scd2_tombstones")
 def scd2_tombstones(spark: SparkSession, sf: str) -> DataFrame:
-    return _history_columns(_last_versions(spark, sf).filter("opened AND is_deleted"))
+    return _each_merge(spark, sf, "opened AND is_deleted")
 
 
 @query("change_log")
@@ -482,11 +499,21 @@ def insights(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("insights_export")
 def insights_export(spark: SparkSession, sf: str) -> DataFrame:
-    """The exported top-client JSON, read back."""
-    paths = reports.export_insights(
-        reports.store_insights(demo.published(spark, sf)), scratch_path(spark, "insights"))
-    return spark.read.schema("id_cliente string, n_movimientos bigint, volumen double").json(
-        paths["top_clientes"])
+    """The exported JSON of every result, read back."""
+    results = reports.store_insights(demo.published(spark, sf))
+    paths = reports.export_insights(results, scratch_path(spark, "insights"))
+    return _union([_long(n, spark.read.schema(df.schema).json(paths[n]), _ITEM.get(n))
+                   for n, df in results.items()])
+
+
+@query("marts_stored")
+def marts_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The marts as a reader finds them after runs of one cut each: the first is summed from
+    the live state, each further one from the rows that came and went."""
+    store = Store(spark, scratch_path(spark, "store"), MOVEMENTS)
+    for cut in demo.write_cuts(spark, sf):
+        pipeline.run_cuts(spark, store, [cut])
+    return _union([_long(m.name, store.mart(m.name), m.by) for m in MOVEMENTS.marts])
 
 
 # -- quality ----------------------------------------------------------------------------
@@ -588,9 +615,9 @@ def mart_incremental(spark: SparkSession, sf: str) -> DataFrame:
     state = None
     for n, cut in enumerate(demo.CUTS, start=1):
         merged = merge.versions(demo.classified(spark, sf, n), MOVEMENTS, cut)
-        delta = marts.flow_state(marts.merge_delta(merged), "product", F.col("_sign"))
-        state = delta if state is None else marts.add_flow(state, delta, "product")
-    return marts.finish_flow(state, "product")
+        delta = marts.flow_state(marts.merge_delta(merged), FLOW_BY_PRODUCT, F.col("_sign"))
+        state = delta if state is None else marts.add_flow(state, delta, FLOW_BY_PRODUCT)
+    return marts.finish_flow(state, FLOW_BY_PRODUCT)
 
 
 @query("natural_key_cdc")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.model import DELETE, INSERT, UPDATE
+from tidemark.model import DELETE, INSERT, MOVEMENTS, UPDATE, TableSpec
 from tidemark.operators import marts, merge, quality
-from tidemark.sources.store import Store
+from tidemark.sources.store import Head, Store
 
 
 def event_counts(opened: DataFrame) -> DataFrame:
@@ -19,37 +19,48 @@ def event_counts(opened: DataFrame) -> DataFrame:
         n(DELETE).alias("rows_deleted"))
 
 
-# The names of the marts.
-LIVE_VIEW, BY_PRODUCT, BY_FUND = "movimientos_vigentes", "flujo_por_producto", "flujo_por_fondo"
+# The name of the live state's view.
+LIVE_VIEW = "movimientos_vigentes"
 
 
-def build_marts(store: Store) -> dict[str, DataFrame]:
-    """The live state as a temporary view, the two flows as written tables."""
-    live = store.live()
+def build_marts(store: Store, head: Head) -> dict[str, DataFrame]:
+    """The live state as a temporary view, the declared marts as written tables.
+
+    A mart is the last checked one of an earlier commit plus the rows that entered or left
+    the live state since; without one it is summed from the live state.
+    """
+    live = store.live(head)
     live.createOrReplaceTempView(LIVE_VIEW)
-    return {
-        "live": live,
-        "flow_by_product": store.write_mart(BY_PRODUCT, marts.flow_by_product(live)),
-        "flow_by_fund": store.write_mart(BY_FUND, marts.flow_by_fund(live)),
-    }
+    built, base = {"live": live}, store.checked_commit(head.lineage[:-1])
+    changes = None if base is None else store.changes_since(base, head)
+    for mart in store.spec.marts:
+        before = None if base is None else store.mart_state(mart, base)
+        if before is None:
+            state = marts.flow_state(live, mart)
+        else:
+            delta = marts.flow_state(changes, mart, F.col("_sign"))
+            state = marts.add_flow(before, delta, mart)
+        store.write_mart(mart, state, head.commit)
+        built[mart.name] = marts.finish_flow(store.mart_state(mart, head.commit), mart)
+    return built
 
 
 def build_and_check(store: Store) -> None:
-    """Builds the marts, then runs the quality gate over them and the published tables."""
+    """Builds the marts, then runs the quality gate over them and the published tables.
+    Readers see the new marts once the gate is passed."""
     head = store.head()
     tables = {"history": store.history(head), "change_log": store.change_log(head),
-              **build_marts(store)}
-    quality.gate(quality.run_suite(tables, quality.MOVEMENTS_SUITE))
+              **build_marts(store, head)}
+    quality.gate(quality.run_suite(tables, quality.suite(store.spec)))
+    store.mark_checked(head.commit)
 
 
-def checked_tables(history: DataFrame, change_log: DataFrame) -> dict[str, DataFrame]:
+def checked_tables(history: DataFrame, change_log: DataFrame,
+                   spec: TableSpec = MOVEMENTS) -> dict[str, DataFrame]:
     """The tables of the suite, for a history that is not published."""
     live = marts.live_state(history)
-    return {
-        "history": history, "change_log": change_log, "live": live,
-        "flow_by_product": marts.flow_by_product(live),
-        "flow_by_fund": marts.flow_by_fund(live),
-    }
+    return {"history": history, "change_log": change_log, "live": live,
+            **{m.name: marts.flow(live, m) for m in spec.marts}}
 
 
 def insights(history: DataFrame, change_log: DataFrame, quarantined: DataFrame,

@@ -4,6 +4,7 @@
 ``versions/commit=/part=``            per commit: open versions (live, tombstone) in full,
                                       and the versions it closed
 ``change_log/commit=``, ``quarantine/commit=``
+``marts/commit=/<name>``              the marts' states, shown once the gate is passed
 ``ledger/<commit>``                   one small record per cut, written last
 
 A commit's record lists the commits it stands on (``lineage``). Readers start from the
@@ -14,7 +15,7 @@ replaced later, is never read. One writer at a time is assumed.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
 from typing import Any
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.model import (
-    CHANGE_LOG_SCHEMA, CLOSED, LEDGER_SCHEMA, LIVE, TOMBSTONE, Cut, TableSpec,
+    CHANGE_LOG_SCHEMA, CLOSED, LEDGER_SCHEMA, LIVE, TOMBSTONE, Cut, Mart, TableSpec,
 )
 from tidemark.operators.history import as_of, with_version_id
+from tidemark.operators.marts import finish_flow
 
 
 USABLE = "_usable"
@@ -192,10 +194,44 @@ class Store:
         return self._visible(df, head).select(*schema.fieldNames())
 
     # -- marts -----------------------------------------------------------------------
-    def write_mart(self, name: str, df: DataFrame) -> DataFrame:
-        """Replaces a mart and returns it as read back."""
-        df.write.mode("overwrite").parquet(self.path("marts", name))
-        return self.spark.read.schema(df.schema).parquet(self.path("marts", name))
+    def write_mart(self, mart: Mart, state: DataFrame, commit: int) -> None:
+        state.write.mode("overwrite").parquet(self.path("marts", f"commit={commit}", mart.name))
+
+    def mart_state(self, mart: Mart, commit: int) -> DataFrame | None:
+        at = ("marts", f"commit={commit}", mart.name)
+        return self.spark.read.parquet(self.path(*at)) if self._exists(*at) else None
+
+    def mark_checked(self, commit: int) -> None:
+        """Shows a commit's marts to readers."""
+        files, mark = self._folder("marts", f"commit={commit}", "checked")
+        files.mkdirs(mark)
+
+    def checked_commit(self, commits: Sequence[int]) -> int | None:
+        """The last of the commits whose marts passed the gate."""
+        return next((c for c in reversed(commits)
+                     if self._exists("marts", f"commit={c}", "checked")), None)
+
+    def mart(self, name: str, head: Head | None = None) -> DataFrame:
+        """A mart as of the last commit whose marts passed the gate."""
+        mart = next(m for m in self.spec.marts if m.name == name)
+        commit = self.checked_commit((head or self.head()).lineage)
+        state = None if commit is None else self.mart_state(mart, commit)
+        if state is None:
+            raise LookupError(f"{name} was not built yet")
+        return finish_flow(state, mart)
+
+    def changes_since(self, base: int, head: Head) -> DataFrame:
+        """Rows that entered (``_sign`` 1) or left (-1) the live state after a commit of the
+        head's lineage. What came and went in between is left out, as it adds nothing."""
+        newest = self.ledger(head).filter(F.col("commit") == base).agg(
+            F.max("cut_date")).first()[0]
+        later = head.lineage[head.lineage.index(base) + 1:]
+        entered = self.live(head).filter(F.col("valid_from") > F.lit(newest))
+        left = self.versions().filter(
+            F.col("commit").isin(*later) & (F.col("part") == CLOSED)
+            & ~F.col("is_deleted") & (F.col("valid_from") <= F.lit(newest)))
+        return (self._version_rows(entered).withColumn("_sign", F.lit(1))
+                .unionByName(self._version_rows(left).withColumn("_sign", F.lit(-1))))
 
     # -- housekeeping ----------------------------------------------------------------
     def drop_old_open_versions(self, keep: int = 2) -> list[int]:
