@@ -106,6 +106,9 @@ def test_too_many_deletions_stop_a_cut(spark, store, tmp_path):
     with pytest.raises(pipeline.DeleteRatioError):
         pipeline.process_cut(spark, store, empty, max_delete_ratio=0.5)
     assert store.live().count() == 2
+    failed = store.failures().collect()
+    assert [(r["cut_label"], r["status"]) for r in failed] == [("T1", "FAILED")]
+    assert failed[0]["error"].startswith("DeleteRatioError: ")
     assert counts(pipeline.process_cut(spark, store, empty)) == (0, 0, 0, 0, 0, 2, 0)
 
 

@@ -232,6 +232,12 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("finished_at", T.TimestampType()),
 ])
 
+FAILURE_SCHEMA = T.StructType([
+    *[LEDGER_SCHEMA[c] for c in ("run_id", "cut_label", "cut_date", "source_file", "status")],
+    T.StructField("error", T.StringType()),
+    *[LEDGER_SCHEMA[c] for c in ("started_at", "finished_at")],
+])
+
 # The two directions, the marts and their columns.
 INFLOW, OUTFLOW = "ENTRADA", "SALIDA"
 _NET = Total("flujo_neto", "signed_amount")

@@ -71,8 +71,23 @@ def process_cut(spark: SparkSession, store: Store, cut: Cut, *,
     Returns None when the same content was already processed for that date. A cut older
     than the newest one is refused. A new content for the newest date replaces it. With
     ``max_delete_ratio`` a cut that deletes a larger share of the live rows is refused.
+    A run that is refused or fails leaves a record in ``store.failures()``.
     """
-    spec, started = store.spec, _now()
+    run_id, started = uuid.uuid4().hex[:12], _now()
+    try:
+        return _process(spark, store, cut, run_id, started, max_delete_ratio, reset)
+    except Exception as error:
+        store.write_failure({
+            "run_id": run_id, "cut_label": cut.label, "cut_date": cut.cut_date,
+            "source_file": cut.path.rsplit("/", 1)[-1], "status": "FAILED",
+            "error": f"{type(error).__name__}: {error}".splitlines()[0],
+            "started_at": started, "finished_at": _now()})
+        raise
+
+
+def _process(spark: SparkSession, store: Store, cut: Cut, run_id: str, started: datetime,
+             max_delete_ratio: float | None, reset: bool) -> dict | None:
+    spec = store.spec
     head = store.head()
     base, done = (Head(), None) if reset else (head, store.ledger(head))
     if done is not None and base.commit:
@@ -87,7 +102,7 @@ def process_cut(spark: SparkSession, store: Store, cut: Cut, *,
             base = _before(store, done, min(r["commit"] for r in same_date), cut)
 
     landed = land(spark, store, cut)
-    commit, run_id = head.commit + 1, uuid.uuid4().hex[:12]
+    commit = head.commit + 1
     _write_quarantine(store, store.landed(cut), landed.rows_quarantined, commit)
     valid = normalize.normalize(store.landed(cut).filter(USABLE), spec)
     counted = Observation()

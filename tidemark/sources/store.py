@@ -5,6 +5,7 @@
                                       and the versions it closed
 ``change_log/commit=``, ``quarantine/commit=``
 ``marts/commit=/<name>``              the marts' states, shown once the gate is passed
+``failures/<run>``                    one small record per run that failed
 ``ledger/<commit>``                   one small record per cut, written last
 
 A commit's record lists the commits it stands on (``lineage``). Readers start from the
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.model import (
-    CHANGE_LOG_SCHEMA, CLOSED, LEDGER_SCHEMA, LIVE, TOMBSTONE, Cut, Mart, TableSpec,
+    CHANGE_LOG_SCHEMA, CLOSED, FAILURE_SCHEMA, LEDGER_SCHEMA, LIVE, TOMBSTONE, Cut, Mart,
+    TableSpec,
 )
 from tidemark.operators.history import as_of, with_version_id
 from tidemark.operators.marts import finish_flow
@@ -100,6 +102,18 @@ class Store:
         """Run records of the visible commits."""
         return self._visible(self._records(), head)
 
+    def write_failure(self, record: dict[str, Any]) -> None:
+        row = tuple(record[f] for f in FAILURE_SCHEMA.fieldNames())
+        (self.spark.createDataFrame([row], FAILURE_SCHEMA).coalesce(1)
+         .write.json(self.path("failures", record["run_id"])))
+
+    def failures(self) -> DataFrame:
+        """Runs that were refused or broke off; they published nothing."""
+        if not self._exists("failures"):
+            return self.spark.createDataFrame([], FAILURE_SCHEMA)
+        return (self.spark.read.schema(FAILURE_SCHEMA)
+                .option("recursiveFileLookup", "true").json(self.path("failures")))
+
     def publish(self, records: Iterable[dict[str, Any]]) -> None:
         """Makes a commit visible: its records are written aside as one file, which is then
         renamed into the ledger. A crash before the rename leaves nothing in the way."""
