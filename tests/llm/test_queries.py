@@ -161,6 +161,17 @@ def test_repeated_strings(spark, folder):
     assert by_doc(found, "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
 
 
+@pytest.mark.parametrize("period", [168, 169, 170])
+def test_lines_repeated_in_one_document_only(spark, period):
+    rng = np.random.default_rng(period)
+    line = "".join(rng.choice(list("abcdefghij"), period - 1)) + "\n"
+    df = spark.createDataFrame([(1, line * 3)], "doc_id long, text string")
+    found = suffix_dedup.remaining(df).collect()
+    want = plain_cut([line * 3])[0]
+    assert [(r["n_bytes"], r["n_bytes"] - len(r["kept"]), r["n_spans"], sha(bytes(r["kept"])))
+            for r in found] == [want]
+
+
 def test_hot_anchors_are_dealt_out_again(spark):
     rng = np.random.default_rng(3)
     letters = np.array(list("abcdefghij"))

@@ -93,8 +93,9 @@ def segments(data: list[bytes], level: int = 0) -> tuple[np.ndarray, ...]:
     around = np.zeros(len(value) + width - 1, _U)
     around[width - 1:width - 1 + len(least)] = np.where(valid, least, _U(0))
     stands = np.flatnonzero(_sliding(around, width, np.maximum)[:len(value)] == value)
+    # at a distance of width a string holds one of the two, and the run goes on unbroken
     twice = np.flatnonzero((value[stands][1:] == value[stands][:-1])
-                           & (np.diff(stands) < width))
+                           & (np.diff(stands) <= width))
     double = np.isin(anchor, np.unique(value[stands[twice]]))
 
     pieces = -(-(stop - begin) // MOST_PLACES)
