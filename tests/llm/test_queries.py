@@ -255,6 +255,24 @@ def test_aliases(spark, folder):
     assert url_filter.RULES and secrets.RULES
 
 
+def verdicts(spark, pages):
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    return {r["page_id"]: (r["rule"], r["verdict"], r["alias_of"]) for r in url_filter.judge(df).collect()}
+
+
+def test_rules_reach_pages_through_links_to_pages_that_are_no_rows(spark):
+    found = verdicts(spark, [
+        (1, "http://b.net/p", '<meta http-equiv="refresh" content="0; url=http://x.com/de/1">'),
+        (2, "http://www.b.net/p?ref=2", None), (3, "http://c.net/", '<link rel=canonical href="http://b.net/p">'),
+        (4, "http://y.com/fr/", '<link rel=canonical href="http://b.net/p">'), (5, "http://d.net/", None),
+        (6, "no scheme", '<link rel=canonical href="http://d.net/">'),
+        (7, "http://e.net/", '<link rel=canonical href="http://x.com/fr/1">')])
+    assert found[1] == found[2] == found[3] == (None, "block", "b.net/p")
+    assert found[4] == ("com/fr/", "allow", "b.net/p")
+    assert found[5] == (None, "allow", "d.net/") and found[6] == (None, "allow", None)
+    assert found[7] == (None, "allow", "e.net/")
+
+
 def test_neighbours(spark, folder):
     vectors = [r for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
     good = [(r[0], np.array(r[1], float)) for r in vectors

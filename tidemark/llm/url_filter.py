@@ -4,8 +4,8 @@ Rules name a host and the beginning of a path; a rule fits its host and all subd
 of those that fit the longest decides. Addresses that lead to the same page are aliases:
 an address without scheme, ``www.``, fragment and tracking parameters is one node, and
 canonical links and refresh redirects found in the pages are edges between nodes. A block
-rule that decides any page of a connected component blocks every page of it that no rule
-decides; an explicit allow rule on a page always outweighs what its component says. Pages
+rule that decides any page of a connected component, also one that only a link names, blocks
+every page of it that no rule decides; an explicit allow rule on a page always outweighs what its component says. Pages
 that neither a rule nor a blocked component reaches are allowed.
 
 Rules are a policy, given as a list and held in the plan. Null urls and urls without
@@ -96,11 +96,17 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     url = F.col("url")
     rows = pages.select(
         "page_id", host_of(url).alias("host"), path_of(url).alias("path"),
-        node_of(url).alias("node"), node_of(link_of(url, F.col("html"))).alias("to"))
+        node_of(url).alias("node"), link_of(url, F.col("html")).alias("goal"))
     name, verdict = decided(F.col("host"), F.col("path"), rules)
     rows = stored(rows.withColumns({"rule": name, "ruled": verdict}), "pages")
-    roots = components(rows.select("node", "to"), "node", "to")
-    nodes = (rows.filter(F.col("node").isNotNull()).groupBy("node")
+    goal = F.col("goal")
+    links = rows.filter(F.col("node").isNotNull()).select("node", "goal")
+    ends = links.select(node_of(goal).alias("node"),
+                        decided(host_of(goal), path_of(goal), rules)[1].alias("ruled"))
+    roots = components(links.select("node", node_of(goal).alias("to")), "node", "to")
+    # rules hold for the pages that links lead to, whether they are rows or not
+    nodes = (rows.select("node", "ruled").union(ends).filter(F.col("node").isNotNull())
+             .groupBy("node")
              .agg(F.max(F.coalesce(F.col("ruled") == "block", F.lit(False))).alias("blocked"))
              .join(roots, "node", "left")
              .withColumn("alias_of", F.coalesce("root", "node")))
