@@ -273,6 +273,27 @@ def test_rules_reach_pages_through_links_to_pages_that_are_no_rows(spark):
     assert found[7] == (None, "allow", "e.net/")
 
 
+def test_all_links_of_a_page_are_edges(spark):
+    def to(n):
+        return f'<meta http-equiv="refresh" content="0; url={n}">'
+
+    links = ["login.php", "./login.php#a", "../a/login.php", "/a/login.php", "/b/../a/login.php",
+             "//h.net/a/login.php", "http://h.net/a/login.php"]
+    pages = [(0, "http://h.net/a/login.php", None), (1, "http://h.net/?p=2", None),
+             (2, "http://i.net", None), (3, "http://j.net/a", None), (4, "http://h.net/a/k?p=2", None),
+             (20, "http://h.net", to("?p=2")), (21, "http://h.net/a/k?p=1", to("?p=2")),
+             (22, "http://h.net/a/z", to("#top")), (23, "http://h.net/a/y", to("mailto:x")),
+             (24, "http://h.net/b/x?u=1", to("/a/?u=http://i.net")),
+             (25, "http://l.net", to("http://i.net") + '<link rel="canonical" href="http://j.net/a">')]
+    pages += [(100 + i, f"http://h.net/a/{i}", to(x)) for i, x in enumerate(links)]
+    alias = {i: a for i, (_, _, a) in verdicts(spark, pages).items()}
+    assert {alias[100 + i] for i in range(len(links))} == {alias[0]} == {"h.net/a/0"}
+    assert alias[20] == alias[1] == "h.net/" and alias[21] == alias[4] == "h.net/a/k?p=1"
+    assert alias[22] == "h.net/a/z" and alias[23] == "h.net/a/y"
+    assert alias[24] == "h.net/a/?u=http://i.net"
+    assert alias[25] == alias[2] == alias[3] == "i.net/"
+
+
 def test_neighbours(spark, folder):
     vectors = [r for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
     good = [(r[0], np.array(r[1], float)) for r in vectors

@@ -10,7 +10,10 @@ that neither a rule nor a blocked component reaches are allowed.
 
 Rules are a policy, given as a list and held in the plan. Null urls and urls without
 ``://`` have an empty host and path, no rule and no aliases. Repeated rows are judged
-alike. Null html has no links. Other columns are not read.
+alike. Null html has no links. Every refresh and canonical tag of a page counts. Relative
+links are resolved against the page's own url, without regard to a ``base`` tag. The SQL
+twin reads one absolute or rooted link per page and applies rules to rows only; it tells the
+same for pages without other links. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -69,15 +72,38 @@ def node_of(url: Column) -> Column:
     return F.when(F.locate("://", url) > 0, F.concat(host, path, query))
 
 
-def link_of(url: Column, html: Column) -> Column:
-    """Where a page says it is really found: refresh first, then the canonical link."""
-    found = F.coalesce(
-        F.nullif(F.regexp_extract(F.regexp_extract(html, REFRESH, 0), TARGET, 1), F.lit("")),
-        F.nullif(F.regexp_extract(F.regexp_extract(html, CANONICAL, 0), HREF, 1), F.lit("")))
-    scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
-    return (F.when(F.locate("://", found) > 0, found)
-            .when(found.startswith("//"), F.concat(scheme, F.lit(":"), found))
-            .when(found.startswith("/"), F.concat(scheme, F.lit("://"), host_of(url), found)))
+def resolved(url: Column, link: Column) -> Column:
+    """The address that a link on the page ``url`` means; null for schemes without ``//``."""
+    scheme = F.concat(F.regexp_extract(url, r"(?s)^(.*?)://", 1), F.lit(":"))
+    path = F.regexp_extract(link, r"(?s)^[^?#]*", 0)
+    rest = link.substr(F.length(path) + 1, F.length(link))
+    folder = F.concat(F.lit("/"), F.regexp_extract(path_of(url), r"(?s)^/(.*/)", 1))
+    parts = F.split(F.when(link.startswith("/"), path).otherwise(F.concat(folder, path)), "/")
+    kept = F.aggregate(
+        parts, F.array().cast("array<string>"),
+        lambda done, x: F.when(x == ".", done)
+        .when(x == "..", F.slice(done, 1, F.greatest(F.lit(1), F.size(done) - 1)))
+        .otherwise(F.concat(done, F.array(x))))
+    kept = F.when(F.element_at(parts, -1).isin(".", ".."),
+                  F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    page = F.concat(scheme, F.lit("//"), host_of(url))
+    return (F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+            .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | (F.locate("://", url) == 0),
+                  F.lit(None))
+            .when(link.startswith("//"), F.concat(scheme, link))
+            .when(link.startswith("#"), url)
+            .when(link.startswith("?"), F.concat(page, path_of(url), link))
+            .otherwise(F.concat(page, F.array_join(kept, "/"), rest)))
+
+
+def links_of(url: Column, html: Column) -> Column:
+    """Where a page says it is really found: all its refresh and canonical links."""
+    def named(tag: str, value: str) -> Column:
+        return F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(0)),
+                           lambda x: F.regexp_extract(x, value, 1))
+
+    found = F.filter(F.concat(named(REFRESH, TARGET), named(CANONICAL, HREF)), lambda x: x != "")
+    return F.array_distinct(F.transform(found, lambda x: resolved(url, x)))
 
 
 def decided(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[Column, Column]:
@@ -96,11 +122,12 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     url = F.col("url")
     rows = pages.select(
         "page_id", host_of(url).alias("host"), path_of(url).alias("path"),
-        node_of(url).alias("node"), link_of(url, F.col("html")).alias("goal"))
+        node_of(url).alias("node"), links_of(url, F.col("html")).alias("goals"))
     name, verdict = decided(F.col("host"), F.col("path"), rules)
     rows = stored(rows.withColumns({"rule": name, "ruled": verdict}), "pages")
     goal = F.col("goal")
-    links = rows.filter(F.col("node").isNotNull()).select("node", "goal")
+    links = rows.filter(F.col("node").isNotNull()).select(
+        "node", F.explode("goals").alias("goal"))
     ends = links.select(node_of(goal).alias("node"),
                         decided(host_of(goal), path_of(goal), rules)[1].alias("ruled"))
     roots = components(links.select("node", node_of(goal).alias("to")), "node", "to")
