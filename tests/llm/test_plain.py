@@ -207,3 +207,17 @@ def test_neighbours_of_one_shard():
         hits += len({i for i, _ in got} & {i for _, i in want})
     assert hits >= 0.95 * 20 * 30
     assert abs(ann.chi_square(ann.stop_ratio(16, 0.02), 16) - 0.98) < 1e-9
+
+
+def test_rows_of_the_query_itself_take_no_place_from_others():
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((300, 8)).astype(np.float32)
+    scale = np.float32(1 + np.arange(30) / 100)
+    for own, others in ((np.repeat(base[7:8], 30, axis=0), [400, 401]),
+                        (base[7] * 5 * scale[:, None], [])):
+        points = np.concatenate([base, own, np.repeat(base[7:8], len(others), axis=0)])
+        ids = np.array([*range(300), *[7] * 30, *others])
+        greatest = float(np.linalg.norm(points.astype(float), axis=1).max())
+        got = [i for i, _ in ann.Shard(ids, points, greatest, leaf=8).search(
+            7, base[7].astype(float), 20)]
+        assert len(got) == 20 and 7 not in got and set(others) <= set(got)

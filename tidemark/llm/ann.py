@@ -105,14 +105,16 @@ class Shard:
         self.points = points[self.tree.order]  # leaves lie one after the other
         starts = np.searchsorted(same[by_point], np.arange(len(first)))
         ends = np.append(starts[1:], len(ids))
-        self.ids = [ids[by_point[starts[p]:ends[p]]] for p in self.tree.order]
+        self.ids = [ids[by_point[starts[p]:ends[p]]] for p in self.tree.order]  # each sorted
+        self.first_id = np.array([x[0] for x in self.ids])
+        self.last_id = np.array([x[-1] for x in self.ids])
         self.ratio = stop_ratio(m, miss)
 
     def search(self, query_id: int, query: np.ndarray, k: int) -> list[tuple[int, float]]:
         """(id, score) of up to ``k`` nearest rows of other ids, ties by smaller id."""
         frontier = self.tree.frontier(np.append(query, 0.0) @ self.axes)
         leaves = np.argsort(frontier, kind="stable")
-        # k + 1 points: one may hold nothing but the query's own id
+        # one more than needed; points with nothing but the query's own id do not count
         want, done, step = k + 1, 0, 4
         found: list[np.ndarray] = []
         scores: list[np.ndarray] = []
@@ -125,6 +127,7 @@ class Shard:
                     break
             batch = leaves[done:done + step]
             at = np.concatenate([np.arange(self.tree.starts[x], self.tree.ends[x]) for x in batch])
+            at = at[(self.first_id[at] != query_id) | (self.last_id[at] != query_id)]
             found.append(at)
             scores.append(self.points[at] @ query)
             best = np.concatenate([best, scores[-1]])
@@ -140,9 +143,17 @@ class Shard:
             at = at[score >= least - 1e-9 * max(1.0, norm)]
         exact = np.cumsum(self.points[at] * query, axis=1)[:, -1]
         rows = [(-s, int(i)) for p, s in zip(at, exact.tolist())
-                for i in self.ids[p][:k + 1] if i != query_id]
+                for i in self._others(p, query_id, k)]
         return [(i, -s) for s, i in sorted(rows)[:k]]
 
+    def _others(self, p: int, query_id: int, k: int) -> np.ndarray:
+        """The ``k`` smallest ids at a point, without the query's own."""
+        ids = self.ids[p]
+        if not self.first_id[p] <= query_id <= self.last_id[p]:
+            return ids[:k]
+        a, b = np.searchsorted(ids, query_id, "left"), np.searchsorted(ids, query_id, "right")
+        return np.concatenate([ids[:a][:k], ids[b:b + k]])[:k]
+
 
 def usable(vector: Column) -> Column:
     values = vector.cast("array<double>")
