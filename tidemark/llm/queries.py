@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm import (ann, bagminhash, bpe, decontam, langid, licenses, pii, secrets,
-                          suffix_dedup, url_filter)
+                          suffix_dedup, token_files, url_filter)
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_secret_scan": secrets.op8_secret_scan,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_nearest_neighbours": ann.op10_nearest_neighbours,
+    "op11_token_files": token_files.op11_token_files,
 }
 
 ORACLE: dict[str, str] = {
