@@ -21,7 +21,9 @@ columns are not read.
 from __future__ import annotations
 
 import functools
+import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -43,15 +45,20 @@ VOCABULARY = "word_bpe_49k.json"
 END = 1
 FILE_IDS = 1 << 24  # a file is closed after the document that reaches this
 SLICE_IDS = 1 << 19  # encoded or decoded at a time
-# Words kept per Python worker, about 250 bytes each; when full, the store starts anew.
-WORDS = 400_000
-WORD_CHARS = 200  # longer ones are encoded but not kept
+# Words kept per Python worker, about 220 bytes each; when there are more words or more
+# characters in them, the store starts anew.
+WORDS, WORD_CHARS = 1_000_000, 20_000_000
 
 _MAGIC = b"TDPF0001"
 _FOOTER = struct.Struct("<5Q8s")
 _FILES = ("part int, file int, path string, n_docs long, n_ids long, n_bytes long")
 
 
+# Words of letters that composition leaves alone, with punctuation behind them or none. Where
+# a letter and one of these marks meet, a match of the pre-tokenizer's pattern ends.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+
+
 class Encoder:
     """Ids of whole texts.
 
@@ -59,31 +66,59 @@ class Encoder:
     composition nor lower-casing looks across it. So a text's ids are those of its words one
     after the other; each is encoded once while it recurs. Only the four commonest white
     space characters divide words here; the library sees the others.
+
+    A word of common letters is lower-cased and needs neither the normaliser nor the pattern:
+    the library encodes it as one match. All other words take the vocabulary's whole way.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has one task per core
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(words, found)}
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        whole = spec["pre_tokenizer"]["pretokenizers"]
+        one_match = {**spec, "normalizer": None, "added_tokens": [], "pre_tokenizer": next(
+            step for step in whole if step["type"] == "ByteLevel")}
+        self.whole = Tokenizer.from_file(path)
+        self.one_match = Tokenizer.from_str(json.dumps(one_match))
+        self.known: dict[str, bytes] = {"": b""}
+        self.chars = 0
+
+    def _learn(self, words: set[str], tokenizer) -> None:
+        new = list(words.difference(self.known))
+        found = tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found))
+        self.chars += sum(map(len, new))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The texts' ids as little-endian unsigned 32-bit integers."""
-        if len(self.known) > WORDS:
-            self.known.clear()
-        split = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-                 for t in texts]
-        new = set().union(*split).difference(self.known)
-        found = self._learn(list(new))
-        self.known.update((w, i) for w, i in found.items() if len(w) <= WORD_CHARS)
-        long = {w: i for w, i in found.items() if len(w) > WORD_CHARS}
-        own = {**self.known, **long} if long else self.known
-        return [b"".join(map(own.__getitem__, words)) for words in split]
+        if len(self.known) > WORDS or self.chars > WORD_CHARS:
+            self.known, self.chars = {"": b""}, 0
+        known, missing, out = self.known, [], []
+        for t in texts:
+            words = ((t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ")
+                     .split(" "))
+            ids = list(map(known.get, words))
+            if None in ids:
+                missing += [(ids, i, words[i]) for i, x in enumerate(ids) if x is None]
+            out.append(ids)
+        plain, rest = {}, set()
+        for word in {word for _, _, word in missing}:
+            match = _PLAIN.fullmatch(word)
+            if match:
+                plain[word] = match[1].lower(), match[2]
+                rest.add(match[2])
+            else:
+                rest.add(word)
+        self._learn(rest, self.whole)
+        self._learn({letters for letters, _ in plain.values()}, self.one_match)
+        for word, (letters, marks) in plain.items():
+            known[word] = known[letters] + known[marks]
+        self.chars += sum(map(len, plain))
+        for ids, i, word in missing:
+            ids[i] = known[word]
+        return list(map(b"".join, out))
 
 
 @functools.lru_cache(maxsize=2)
