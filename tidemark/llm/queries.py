@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import (alignment, ann, bagminhash, bpe, decontam, langid, licenses, pii,
-                          secrets, suffix_dedup, token_files, url_filter)
+from tidemark.llm import (alignment, ann, bagminhash, bpe, collocations, decontam, langid, licenses,
+                          pii, secrets, suffix_dedup, token_files, url_filter)
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -18,9 +18,11 @@ QUERIES = {
     "op10_nearest_neighbours": ann.op10_nearest_neighbours,
     "op11_token_files": token_files.op11_token_files,
     "op12_token_alignment": alignment.op12_token_alignment,
+    "op13_collocations": collocations.op13_collocations,
 }
 
 ORACLE: dict[str, str] = {
     "op5_decontamination": decontam.ORACLE,
     "op9_url_filter": url_filter.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
