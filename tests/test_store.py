@@ -1,3 +1,5 @@
+from datetime import date
+
 import pytest
 from conftest import T, T1, T2, compared, row, write_cut
 from pyspark.errors import AnalysisException
@@ -53,10 +55,58 @@ def test_the_same_content_is_skipped_and_an_older_cut_refused(spark, store, tmp_
     pipeline.process_cut(spark, store, second)
     before = compared(store.history())
     assert pipeline.process_cut(spark, store, second) is None
+    assert pipeline.process_cut(spark, store, first) is None
+    other = write_cut(spark, tmp_path, [*FIRST, row("E")], T)
     with pytest.raises(source.OutOfOrderError):
-        pipeline.process_cut(spark, store, first)
+        pipeline.process_cut(spark, store, other)
+    with pytest.raises(source.OutOfOrderError):
+        pipeline.process_cut(spark, store, Cut("earlier", first.path, date(2024, 10, 1)))
     assert compared(store.history()) == before
     assert store.ledger().count() == 2
+    assert {r["status"] for r in store.failures().collect()} == {"REFUSED"}
+
+
+def test_running_all_cuts_again_changes_nothing(spark, store, tmp_path):
+    cuts = [write_cut(spark, tmp_path, rows, c) for rows, c in
+            [(FIRST, T), (SECOND, T1), ([row("B"), row("D", amount=3.0)], T2)]]
+    assert None not in pipeline.run_cuts(spark, store, cuts)
+    before, records = compared(store.history()), store.records().collect()
+    top = store.top_actors().collect()
+    assert pipeline.run_cuts(spark, store, cuts) == [None] * 3
+    assert compared(store.history()) == before and store.records().collect() == records
+    assert store.failures().count() == 0 and store.top_actors().collect() == top
+
+
+def test_a_gate_that_finds_something_leaves_a_record(spark, store, tmp_path):
+    cut = write_cut(spark, tmp_path, FIRST, T)
+
+    def check(_store):
+        raise quality.QualityGateError("not_null_history_type: 1")
+
+    with pytest.raises(quality.QualityGateError):
+        pipeline.run_cuts(spark, store, [cut], check=check)
+    [failed] = store.failures().collect()
+    assert failed["status"] == "FAILED" and "not_null_history_type" in failed["error"]
+    with pytest.raises(AnalysisException):
+        pipeline.rebuild(spark, store, [Cut("T1", str(tmp_path / "missing"), T1.cut_date)])
+    assert store.failures().count() == 2
+
+
+def test_equal_rows_have_an_equal_fingerprint(spark, tmp_path):
+    rows = [(*row(f"C{n % 7}", amount=None if n % 5 == 0 else n / 4),) for n in range(40)]
+    schema = MOVEMENTS.source.simpleString()[7:-1].replace(":", " ")
+
+    def print_of(given, parts, at):
+        spark.createDataFrame(given, schema).repartition(parts).write.parquet(f"{tmp_path}/{at}")
+        scanned = source.scan_cut(spark, f"{tmp_path}/{at}", MOVEMENTS)
+        return source.fingerprint(scanned, MOVEMENTS).first()["fingerprint"]
+
+    same = print_of(rows, 1, "a")
+    assert print_of(rows[::-1], 5, "b") == same
+    assert print_of([*rows, rows[0]], 1, "c") != same  # a repeated row counts
+    blank = [(*rows[0][:6], "", rows[0][7]), *rows[1:]]
+    missing = [(*rows[0][:6], None, rows[0][7]), *rows[1:]]
+    assert len({same, print_of(blank, 1, "d"), print_of(missing, 1, "e")}) == 3
 
 
 def test_other_content_for_the_newest_date_replaces_it(spark, store, tmp_path):

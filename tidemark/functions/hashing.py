@@ -30,7 +30,10 @@ def version_hash(key: Column, valid_from: Column) -> Column:
     return F.md5(F.concat(key, F.lit(OCCURRENCE_MARK), valid_from.cast("string")))
 
 
-def row_checksum(columns: Iterable[Column]) -> Column:
-    """64-bit hash of a row. The NULL pattern is hashed too: xxhash64 skips NULLs."""
-    cols = list(columns)
-    return F.xxhash64(*cols, *[c.isNull() for c in cols])
+def multiset_checksum(row_hash: Column) -> Column:
+    """Checksum of a set of rows, as text, from the md5 of each: its four 32-bit parts added up
+    apart. Neither the order of the rows nor how they are dealt out matters, every repeated
+    row does, and any engine with md5 can compute it."""
+    parts = [F.conv(F.substring(row_hash, 1 + 8 * k, 8), 16, 10).cast("decimal(20,0)")
+             for k in range(4)]
+    return F.concat_ws(":", *[F.coalesce(F.sum(p), F.lit(0)).cast("string") for p in parts])

@@ -103,6 +103,8 @@ class TableSpec:
     flags: tuple[Derived, ...] = field(default=())
     natural: bool = False
     marts: tuple[Mart, ...] = field(default=())
+    # whose live rows are counted and summed per value, kept as a state only
+    actors: Mart | None = None
 
     # -- column lists ------------------------------------------------------------
     @property
@@ -230,12 +232,18 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("status", T.StringType()),
     T.StructField("started_at", T.TimestampType()),
     T.StructField("finished_at", T.TimestampType()),
+    # the stream and its batch that brought the cut, if any
+    T.StructField("stream", T.StringType()),
+    T.StructField("batch", T.LongType()),
 ])
 
+# The states of a run. A refused cut stays refused when it comes again.
+SUCCESS, FAILED, REFUSED = "SUCCESS", "FAILED", "REFUSED"
+
 FAILURE_SCHEMA = T.StructType([
     *[LEDGER_SCHEMA[c] for c in ("run_id", "cut_label", "cut_date", "source_file", "status")],
     T.StructField("error", T.StringType()),
-    *[LEDGER_SCHEMA[c] for c in ("started_at", "finished_at")],
+    *[LEDGER_SCHEMA[c] for c in ("started_at", "finished_at", "stream", "batch")],
 ])
 
 # The two directions, the marts and their columns.
@@ -245,6 +253,7 @@ FLOW_BY_PRODUCT = Mart("flujo_por_producto", "product", (
     _NET, Total("total_entradas", f"CASE WHEN type = '{INFLOW}' THEN amount END"),
     Total("total_salidas", f"CASE WHEN type = '{OUTFLOW}' THEN amount END")))
 FLOW_BY_FUND = Mart("flujo_por_fondo", "fund", (_NET,))
+CLIENTS = Mart("clientes", "id_cliente", (Total("volumen", "abs(amount)"),))
 
 # The financial-movements table. Its identity columns describe the fact itself; its
 # attributes are what a later correction may edit.
@@ -285,4 +294,5 @@ MOVEMENTS = TableSpec(
         Derived("dq_amount_negative", "amount < 0", T.BooleanType()),
     ),
     marts=(FLOW_BY_PRODUCT, FLOW_BY_FUND),
+    actors=CLIENTS,
 )

@@ -29,22 +29,49 @@ def calendar(spark: SparkSession, cuts: Sequence[Cut]) -> DataFrame:
 
 
 def bulk_history(valid: DataFrame, spec: TableSpec, cuts: Sequence[Cut],
-                 slices: int | None = None) -> DataFrame:
+                 slices: int | None = None, before: DataFrame | None = None) -> DataFrame:
     """All versions of all keys from the valid rows of every cut.
 
     Equal to merging the cuts one by one. After the numbering, rows are spread by movement
     key once, for all windows; a key has at most one row per cut.
+
+    ``before`` are the open versions that an earlier history left. They come along as a cut
+    ahead of the first one, and leave as what the cuts make of them: open or closed.
     """
     days = calendar(valid.sparkSession, cuts)
     staged = assign_keys(valid, spec, slices)
     if spec.natural:  # the numbering makes other keys unique
         staged = require_unique(staged.repartition("movement_key"),
                                 ["movement_key", "_cut_date"])
-    return _versions(staged, spec, days)
+    # one row per cut, so the calendar is as long as the list of cuts
+    rows = staged.join(F.broadcast(days), ["_cut_label", "_cut_date"]).selectExpr(
+        "*", f"CAST(NULL AS {_kept_type(spec)}) AS _kept")
+    if before is not None:
+        rows = rows.unionByName(_carried(before, spec, cuts), allowMissingColumns=True)
+    return _versions(rows, spec)
+
+
+# What an open version keeps of its own beside the columns it shares with staged rows.
+_KEPT = ("change_type", "is_deleted", "valid_from", "source_file", "cut_label", "load_ts",
+         "prev_attr_hash")
+
+
+def _kept_type(spec: TableSpec) -> str:
+    fields = [f"{c}: {spec.version_schema[c].dataType.simpleString()}" for c in _KEPT]
+    return f"STRUCT<{', '.join(fields)}>"
+
 
+def _carried(before: DataFrame, spec: TableSpec, cuts: Sequence[Cut]) -> DataFrame:
+    """Open versions as rows of a cut ahead of the first one."""
+    first = min(cuts, key=lambda c: c.cut_date)
+    return before.select(
+        *spec.row_columns, F.struct(*_KEPT).alias("_kept"), F.lit(-1).alias("_cut_no"),
+        F.lit(first.cut_date).alias("_next_date"), F.lit(first.label).alias("_next_label"))
 
-def _versions(staged: DataFrame, spec: TableSpec, days: DataFrame) -> DataFrame:
-    """Versions from presence: a key has one row per cut it appears in.
+
+def _versions(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Versions from presence: a key has one row per cut it appears in, and may have one of
+    an open version ahead of them (``_kept``), live or buried.
 
     All windows run from the newest cut to the oldest, over one sort; a group has at
     most one row per cut.
@@ -52,15 +79,17 @@ def _versions(staged: DataFrame, spec: TableSpec, days: DataFrame) -> DataFrame:
     w = "PARTITION BY movement_key ORDER BY _cut_no DESC"
     up_to_here = f"({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     newer = f"({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    # one row per cut, so the calendar is as long as the list of cuts
-    rows = staged.join(F.broadcast(days), ["_cut_label", "_cut_date"]).selectExpr(
+    rows = rows.selectExpr(
         "*", f"lead(_cut_no) OVER ({w}) AS _seen_no",
+        f"lead(_kept.is_deleted) OVER ({w}) AS _seen_buried",
         f"lead(attr_hash) OVER ({w}) AS prev_attr_hash",
         f"lag(_cut_no) OVER ({w}) AS _newer_no")
     rows = rows.selectExpr("*", f"""CASE
-            WHEN _seen_no IS NULL OR _seen_no < _cut_no - 1 THEN '{INSERT}'
+            WHEN _kept IS NOT NULL THEN _kept.change_type
+            WHEN _seen_no IS NULL OR _seen_no < _cut_no - 1 OR _seen_buried THEN '{INSERT}'
             WHEN prev_attr_hash <> attr_hash THEN '{UPDATE}' END AS change_type""", """
         CASE WHEN _next_date IS NOT NULL AND (_newer_no IS NULL OR _newer_no > _cut_no + 1)
+                AND NOT coalesce(_kept.is_deleted, false)
             THEN named_struct('day', _next_date, 'label', _next_label) END AS _left""")
     rows = rows.selectExpr(
         *[c for c in rows.columns if c != "_left"],
@@ -78,12 +107,17 @@ def _versions(staged: DataFrame, spec: TableSpec, days: DataFrame) -> DataFrame:
             .selectExpr(*version_columns(spec, {
                 **row,
                 "change_type": f"CASE WHEN _buried THEN '{DELETE}' ELSE change_type END",
-                "is_current": "_until IS NULL", "is_deleted": "_buried",
-                "valid_from": "CASE WHEN _buried THEN _gone.day ELSE _cut_date END",
-                "valid_to": "_until", "source_file": "_source_file",
-                "cut_label": "CASE WHEN _buried THEN _gone.label ELSE _cut_label END",
-                "load_ts": "CASE WHEN _buried THEN current_timestamp() ELSE _load_ts END",
-                "prev_attr_hash": "CASE WHEN _buried THEN attr_hash ELSE prev_attr_hash END",
+                "is_current": "_until IS NULL",
+                "is_deleted": "_buried OR coalesce(_kept.is_deleted, false)",
+                "valid_from": "CASE WHEN _buried THEN _gone.day "
+                              "ELSE coalesce(_kept.valid_from, _cut_date) END",
+                "valid_to": "_until", "source_file": "coalesce(_kept.source_file, _source_file)",
+                "cut_label": "CASE WHEN _buried THEN _gone.label "
+                             "ELSE coalesce(_kept.cut_label, _cut_label) END",
+                "load_ts": "CASE WHEN _buried THEN current_timestamp() "
+                           "ELSE coalesce(_kept.load_ts, _load_ts) END",
+                "prev_attr_hash": "CASE WHEN _buried THEN attr_hash WHEN _kept IS NOT NULL "
+                                  "THEN _kept.prev_attr_hash ELSE prev_attr_hash END",
             })))
 
 
@@ -110,6 +144,25 @@ def as_of_many(history: DataFrame, days: Sequence[date]) -> DataFrame:
             .select(F.explode(covered).alias("as_of_date"), "*"))
 
 
+def as_of_join(probes: DataFrame, history: DataFrame, key: str = "movement_key",
+               day: str = "day") -> DataFrame:
+    """Every probe (key, day, ...) with the version that held on its day, as a struct
+    ``version``; NULL where the key had none, was deleted, or key or day are NULL.
+
+    An equi-join on the key with the interval as a further condition: at most one version of
+    a key holds on a day, so no row is repeated. Probes of a hot key are split over tasks by
+    the adaptive skew join, as they are the side that the left join preserves.
+    """
+    at = "_version"
+    versions = history.filter(~F.col("is_deleted")).select(
+        F.col(key).alias("_key"), F.struct(*history.columns).alias(at))
+    holds = ((F.col(f"{at}.valid_from") <= F.col(day))
+             & (F.col(f"{at}.valid_to").isNull() | (F.col(f"{at}.valid_to") > F.col(day))))
+    return (probes.drop("version")
+            .join(versions, (F.col(key) == F.col("_key")) & holds, "left")
+            .drop("_key").withColumnRenamed(at, "version"))
+
+
 def trace(history: DataFrame) -> DataFrame:
     """Every version of every key, in order."""
     return history.orderBy("movement_key", "valid_from")

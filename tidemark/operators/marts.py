@@ -131,6 +131,50 @@ def add_flow(state: DataFrame, delta: DataFrame, mart: Mart) -> DataFrame:
             .filter("n_movimientos > 0"))
 
 
+# -- state summary kept up to date ---------------------------------------------------
+# Counts of versions, live rows and tombstones, and the live rows of every client with the
+# parts of their sums (a mart's state). Both can be taken back, so neither the distinct
+# count of clients nor the list of the largest needs the live rows again.
+
+
+def counters(history: DataFrame) -> DataFrame:
+    """One row: live rows, standing tombstones, all versions."""
+    return history.agg(
+        F.count_if(F.col("is_current") & ~F.col("is_deleted")).alias("movimientos_vigentes"),
+        F.count_if(F.col("is_current") & F.col("is_deleted")).alias("eliminados_vigentes"),
+        F.count(F.lit(1)).alias("versiones_totales"))
+
+
+def counter_changes(changed: DataFrame) -> DataFrame:
+    """One row: by how much versions that a commit opened (``_sign`` 1) or closed (-1) move the
+    counters. A version opened and closed since counts as a version only."""
+    buried = F.col("is_deleted")
+
+    def net(hit: Column) -> Column:
+        return F.coalesce(F.sum(F.when(hit, F.col("_sign"))), F.lit(0)).cast("bigint")
+
+    return changed.agg(net(~buried).alias("movimientos_vigentes"),
+                       net(buried).alias("eliminados_vigentes"),
+                       F.count_if(F.col("_sign") > 0).alias("versiones_totales"))
+
+
+def add_counters(state: DataFrame, delta: DataFrame) -> DataFrame:
+    names = delta.columns
+    return state.unionByName(delta).agg(*[F.sum(c).alias(c) for c in names])
+
+
+def summary_of(counted: DataFrame, clients: DataFrame, by: str) -> DataFrame:
+    """The state summary from the counters and the clients' state."""
+    return counted.select("*", clients.agg(F.count(by)).scalar().alias("clientes_activos"))
+
+
+def top_of(clients: DataFrame, mart: Mart, n: int = 10) -> DataFrame:
+    """The clients with the largest total, from their state; ties go to the smaller id."""
+    name = mart.totals[0].name
+    return (clients.select(mart.by, "n_movimientos", total(F.col(name)).alias(name))
+            .orderBy(F.desc_nulls_last(name), mart.by).limit(n))
+
+
 def finish_flow(state: DataFrame, mart: Mart) -> DataFrame:
     return (state.select(mart.by, "n_movimientos",
                          *[total(F.col(t.name)).alias(t.name) for t in mart.totals])

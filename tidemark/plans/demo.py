@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,8 +88,12 @@ def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.normalize(landed(spark, sf_dir).landed().filter(USABLE), MOVEMENTS)
 
 
-def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign_keys(valid(spark, sf_dir), MOVEMENTS)
+def staged(spark: SparkSession, sf_dir: str, cut: Cut | None = None) -> DataFrame:
+    """The staged rows of all cuts or of one."""
+    rows = valid(spark, sf_dir)
+    if cut is not None:
+        rows = rows.filter(F.col("_cut_date") == F.lit(cut.cut_date))
+    return assign_keys(rows, MOVEMENTS)
 
 
 def full_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,10 +116,40 @@ def published(spark: SparkSession, sf_dir: str) -> Store:
 
 def classified(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
     """The n-th cut (from 1) against the open versions that the one before it published."""
-    rows = staged(spark, sf_dir).filter(F.col("_cut_date") == F.lit(CUTS[n - 1].cut_date))
+    rows = staged(spark, sf_dir, CUTS[n - 1])
     return merge.classify(published(spark, sf_dir).open_versions(Head(n - 1)), rows)
 
 
+_CHECKED: dict[tuple[str, str], Store] = {}
+
+
+def checked(spark: SparkSession, sf_dir: str) -> Store:
+    """A store after a run of one cut each, with marts and state summary kept from changes,
+    made once per session."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _CHECKED:
+        store = Store(spark, scratch_path(spark, "checked"), MOVEMENTS)
+        for cut in write_cuts(spark, sf_dir):
+            pipeline.run_cuts(spark, store, [cut])
+        _CHECKED[at] = store
+    return _CHECKED[at]
+
+
+def heads(store: Store) -> list[tuple[Cut, Head]]:
+    """The state that each of the fixture's cuts left."""
+    lineage = store.head().lineage
+    return [(cut, Head(commit, lineage[:n + 1]))
+            for n, (cut, commit) in enumerate(zip(CUTS, lineage))]
+
+
+def probes(spark: SparkSession, sf_dir: str, days: Sequence[date]) -> DataFrame:
+    """(movement_key, day): every key there ever was on each day, and a key there never was."""
+    keys = published(spark, sf_dir).history().select("movement_key").distinct()
+    unknown = spark.createDataFrame([("none",)], "movement_key string")
+    return keys.unionByName(unknown).select(
+        "movement_key", F.explode(F.array(*[F.lit(d) for d in days])).alias("day"))
+
+
 def write_cuts(spark: SparkSession, sf_dir: str, folder: str | None = None) -> list[Cut]:
     """The fixture's cuts as parquet folders, the way a source would deliver them."""
     folder = folder or scratch_path(spark, "cuts")

@@ -309,6 +309,31 @@ _COUNTS = "\nUNION ALL ".join(
     f"count(*) FILTER (WHERE action='UNCHANGED') AS rows_unchanged FROM a{n}"
     for n, (label, _) in enumerate(_DAYS, start=1))
 
+_PER_CUT = list(enumerate([label for label, _ in _DAYS], start=1))
+_SUMMARIES = "\nUNION ALL ".join(
+    f"SELECT '{label}' AS cut_label, (SELECT count(*) FROM o{n} WHERE NOT is_deleted) AS "
+    f"movimientos_vigentes, (SELECT count(*) FROM o{n} WHERE is_deleted) AS eliminados_vigentes, "
+    + " + ".join([f"(SELECT count(*) FROM o{n})",
+                  *[f"(SELECT count(*) FROM c{m})" for m in range(1, n + 1)]])
+    + f" AS versiones_totales, (SELECT count(DISTINCT id_cliente) FROM o{n} WHERE NOT is_deleted) "
+    "AS clientes_activos" for n, label in _PER_CUT)
+_TOPS = "\nUNION ALL ".join(
+    f"SELECT * FROM (SELECT '{label}' AS cut_label, id_cliente, count(*) AS n_movimientos, "
+    f"{_sum('abs(amount)')} AS volumen FROM o{n} WHERE NOT is_deleted GROUP BY id_cliente "
+    "ORDER BY volumen DESC NULLS LAST, id_cliente LIMIT 10)" for n, label in _PER_CUT)
+_AS_OF = """SELECT k.movement_key, day, h.valid_from, h.cut_label, h.attr_hash, h.signed_amount
+FROM (SELECT DISTINCT movement_key FROM history UNION ALL SELECT 'none') k
+JOIN (VALUES (DATE '2024-10-31'), (DATE '2024-11-01'), (DATE '2024-11-02'),
+  (DATE '2024-11-03'), (DATE '2024-12-31')) v(day) ON true
+LEFT JOIN history h ON h.movement_key = k.movement_key AND NOT h.is_deleted
+  AND h.valid_from <= day AND (h.valid_to IS NULL OR h.valid_to > day)"""
+_TEXTS = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '<NULL>')" for c in MOVEMENTS.source_columns)
+_FINGERPRINT = ("SELECT _cut_label AS cut_label, _cut_date AS cut_date, count(*) AS source_rows, "
+                "concat_ws(':', count(*), " + ", ".join(
+                    f"sum(CAST('0x' || substr(h, {1 + 8 * k}, 8) AS BIGINT))" for k in range(4))
+                + ") AS fingerprint FROM (SELECT _cut_label, _cut_date, "
+                f"md5(concat_ws('||', {_TEXTS})) AS h FROM raw) GROUP BY ALL")
+
 _METRICS = f"""SELECT c.cut_label, c.cut_date, r.source_rows, r.rows_valid,
   r.source_rows - r.rows_valid AS rows_quarantined, m.rows_new, m.rows_changed, m.rows_deleted,
   m.rows_unchanged, 'SUCCESS' AS status
@@ -340,6 +365,7 @@ ORACLE: dict[str, str] = {
     "manifest": _raw("SELECT c.cut_label, c.cut_label || '.parquet' AS file, c.cut_date, "
                      "(SELECT count(*) FROM raw WHERE _cut_date = c.cut_date) AS n_rows "
                      "FROM cuts c"),
+    "cut_fingerprint": _raw(_FINGERPRINT),
     "pending_cuts": _raw("SELECT _cut_label AS cut_label, _cut_date AS cut_date, "
                          "count(*) AS source_rows FROM raw WHERE _cut_label <> 'T' GROUP BY ALL"),
     "order_guard": _raw("SELECT DISTINCT _cut_label AS cut_label, _cut_date AS cut_date FROM raw "
@@ -355,6 +381,10 @@ ORACLE: dict[str, str] = {
     "rebuild": _hist(f"SELECT {_SHOWN} FROM history"),
     "stream_cuts": _hist("SELECT cut_label, change_type, count(*) AS n FROM change_log "
                          "GROUP BY ALL"),
+    "stream_replayed": _hist("SELECT cut_label, change_type, count(*) AS n FROM change_log "
+                             "GROUP BY ALL"),
+    "run_twice": _raw("SELECT CAST(i AS BIGINT) AS commit, cut_label, cut_date, 'SUCCESS' AS "
+                      "status FROM cuts WHERE cut_label IN (SELECT _cut_label FROM raw)"),
     "norm_text": _norm("SELECT _cut_label, _row_num, id_cliente, product, fund FROM norm"),
     "norm_optional": _norm("SELECT _cut_label, _row_num, description, commercial_name FROM norm"),
     "norm_type": _norm("SELECT n._cut_label, n._row_num, r.type AS type_raw, n.type FROM norm n "
@@ -412,6 +442,7 @@ ORACLE: dict[str, str] = {
     "version_id": _hist("SELECT md5(movement_key || '#' || CAST(valid_from AS VARCHAR)) AS "
                         "version_id, movement_key, valid_from FROM history"),
     "scd2_history": _hist("SELECT * FROM history"),
+    "bulk_from_state": _hist(f"SELECT {_SHOWN} FROM history"),
     "movement_trace": _hist("SELECT movement_key, change_type, is_current, is_deleted, "
                             "valid_from, valid_to, amount FROM history "
                             "ORDER BY movement_key, valid_from"),
@@ -422,6 +453,8 @@ ORACLE: dict[str, str] = {
     "change_counts": _hist("SELECT cut_label, change_type, count(*) AS n FROM change_log "
                            "GROUP BY ALL"),
     "state_summary": _hist("SELECT * FROM state_summary"),
+    "state_summary_incremental": _hist(_SUMMARIES),
+    "top_clients_incremental": _hist(_TOPS),
     "dq_profile": _hist("SELECT * FROM dq_profile"),
     "quarantine_total": _norm("SELECT count(*) AS cuarentena_total FROM judged WHERE NOT usable"),
     "top_clients": _hist("SELECT * FROM top_clients"),
@@ -454,6 +487,7 @@ ORACLE: dict[str, str] = {
         "JOIN (VALUES (DATE '2024-10-31'), (DATE '2024-11-01'), (DATE '2024-11-02'), "
         "(DATE '2024-11-03'), (DATE '2024-12-31')) v(day) ON valid_from <= day "
         "AND (valid_to IS NULL OR valid_to > day) WHERE NOT is_deleted"),
+    "as_of_join": _hist(_AS_OF),
     "marts_stored": _hist("\nUNION ALL ".join([
         *_long("flujo_por_producto", "flow_by_product", "product",
                ["n_movimientos", "flujo_neto", "total_entradas", "total_salidas"]),

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.model import Cut
+from tidemark.model import FAILED, REFUSED, SUCCESS, Cut
 from tidemark.operators import history, merge, normalize
 from tidemark.operators.keys import assign_keys
 from tidemark.plans import reports
@@ -64,41 +65,66 @@ def land_rows(store: Store, rows: DataFrame) -> Landed:
     return Landed(got["source_rows"], got["rows_valid"], got["checksum"])
 
 
-def process_cut(spark: SparkSession, store: Store, cut: Cut, *,
-                max_delete_ratio: float | None = None, reset: bool = False) -> dict | None:
-    """Processes one cut and publishes it; returns its run record.
+@dataclass(frozen=True)
+class Run:
+    """One attempt to process something, and the stream and batch that asked for it."""
 
-    Returns None when the same content was already processed for that date. A cut older
-    than the newest one is refused. A new content for the newest date replaces it. With
-    ``max_delete_ratio`` a cut that deletes a larger share of the live rows is refused.
-    A run that is refused or fails leaves a record in ``store.failures()``.
-    """
-    run_id, started = uuid.uuid4().hex[:12], _now()
+    run_id: str
+    started: datetime
+    stream: str | None = None
+    batch: int | None = None
+
+
+@contextmanager
+def recorded(store: Store, cut: Cut, stream: str | None = None,
+             batch: int | None = None) -> Iterator[Run]:
+    """A run that leaves a record in ``store.failures()`` when it is refused or fails."""
+    run = Run(uuid.uuid4().hex[:12], _now(), stream, batch)
     try:
-        return _process(spark, store, cut, run_id, started, max_delete_ratio, reset)
+        yield run
     except Exception as error:
+        refused = isinstance(error, source.OutOfOrderError)
         store.write_failure({
-            "run_id": run_id, "cut_label": cut.label, "cut_date": cut.cut_date,
-            "source_file": cut.path.rsplit("/", 1)[-1], "status": "FAILED",
+            "run_id": run.run_id, "cut_label": cut.label, "cut_date": cut.cut_date,
+            "source_file": cut.path.rsplit("/", 1)[-1],
+            "status": REFUSED if refused else FAILED,
             "error": f"{type(error).__name__}: {error}".splitlines()[0],
-            "started_at": started, "finished_at": _now()})
+            "started_at": run.started, "finished_at": _now(),
+            "stream": stream, "batch": batch})
         raise
 
 
-def _process(spark: SparkSession, store: Store, cut: Cut, run_id: str, started: datetime,
+def process_cut(spark: SparkSession, store: Store, cut: Cut, *,
+                max_delete_ratio: float | None = None, reset: bool = False,
+                stream: str | None = None, batch: int | None = None) -> dict | None:
+    """Processes one cut and publishes it; returns its run record.
+
+    Returns None when the same content was already processed for that date, whichever cuts
+    came after it. Any other cut older than the newest one is refused. A new content for the
+    newest date replaces it. With ``max_delete_ratio`` a cut that deletes a larger share of
+    the live rows is refused. A run that is refused or fails leaves a record in
+    ``store.failures()``. ``stream`` and ``batch`` are kept in the record.
+    """
+    with recorded(store, cut, stream, batch) as run:
+        return _process(spark, store, cut, run, max_delete_ratio, reset)
+
+
+def _process(spark: SparkSession, store: Store, cut: Cut, run: Run,
              max_delete_ratio: float | None, reset: bool) -> dict | None:
     spec = store.spec
     head = store.head()
     base, done = (Head(), None) if reset else (head, store.ledger(head))
     if done is not None and base.commit:
-        source.check_order(cut, done)
+        wanted = source.manifest(spark, [cut])
         same_date = (done.filter(F.col("cut_date") == F.lit(cut.cut_date))
-                     .select("commit", "fingerprint").collect())
-        if same_date:
-            scanned = source.scan_cut(spark, cut.path, spec)
-            found = source.fingerprint(scanned, spec).first()["fingerprint"]
-            if found in {r["fingerprint"] for r in same_date}:
+                     .select("commit").collect())
+        if same_date:  # what was processed is skipped before anything is refused
+            found = source.fingerprint(source.scan_cut(spark, cut.path, spec), spec).first()
+            wanted = wanted.withColumn("fingerprint", F.lit(found["fingerprint"]))
+            if source.pending_cuts(wanted, done).isEmpty():
                 return None
+        source.check_order(wanted, done)
+        if same_date:
             base = _before(store, done, min(r["commit"] for r in same_date), cut)
 
     landed = land(spark, store, cut)
@@ -113,9 +139,9 @@ def _process(spark: SparkSession, store: Store, cut: Cut, run_id: str, started:
     _check_deletes(counts, max_delete_ratio)
 
     events = (merge.events(store.opened_by(commit, cut))
-              .withColumn("run_id", F.lit(run_id)).withColumn("ts", F.current_timestamp()))
+              .withColumn("run_id", F.lit(run.run_id)).withColumn("ts", F.current_timestamp()))
     store.write_change_log(events, commit)
-    record = _record(cut, commit, (*base.lineage, commit), run_id, landed, counts, started)
+    record = _record(cut, commit, (*base.lineage, commit), run, landed, counts)
     store.publish([record])
     return record
 
@@ -151,17 +177,18 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def _record(cut: Cut, commit: int, lineage: Sequence[int], run_id: str, landed: Landed,
-            counts: dict, started: datetime) -> dict:
+def _record(cut: Cut, commit: int, lineage: Sequence[int], run: Run, landed: Landed,
+            counts: dict) -> dict:
     return {
-        "commit": commit, "lineage": list(lineage), "run_id": run_id,
+        "commit": commit, "lineage": list(lineage), "run_id": run.run_id,
         "cut_label": cut.label, "cut_date": cut.cut_date,
         "source_file": cut.path.rsplit("/", 1)[-1],
         "fingerprint": landed.fingerprint, "source_rows": landed.source_rows,
         "rows_valid": landed.rows_valid, "rows_quarantined": landed.rows_quarantined,
         **{k: counts[k] for k in
            ("rows_new", "rows_changed", "rows_deleted", "rows_unchanged")},
-        "status": "SUCCESS", "started_at": started, "finished_at": _now(),
+        "status": SUCCESS, "started_at": run.started, "finished_at": _now(),
+        "stream": run.stream, "batch": run.batch,
     }
 
 
@@ -170,34 +197,53 @@ def rebuild(spark: SparkSession, store: Store, cuts: Sequence[Cut]) -> list[dict
 
     The history comes from one pass over the landed rows instead of one merge per cut.
     """
-    spec, started = store.spec, _now()
-    commit, run_id = store.head().commit + 1, uuid.uuid4().hex[:12]
+    return _in_one_pass(spark, store, cuts, Head())
+
+
+def extend(spark: SparkSession, store: Store, cuts: Sequence[Cut]) -> list[dict]:
+    """Lands further cuts and publishes them as one commit: one pass over their rows and the
+    open versions, however many cuts there are. All must be newer than what is published."""
+    head = store.head()
+    ledger = store.ledger(head)
+    known = source.manifest(spark, cuts).join(
+        ledger.select("cut_date"), "cut_date", "left_semi").first()
+    if known:
+        raise source.OutOfOrderError(f"{known['cut_date']} was already processed")
+    source.check_order(source.manifest(spark, cuts), ledger)
+    return _in_one_pass(spark, store, cuts, head)
+
+
+def _in_one_pass(spark: SparkSession, store: Store, cuts: Sequence[Cut], base: Head) -> list[dict]:
     ordered = sorted(cuts, key=lambda c: c.cut_date)
-    landings = [land(spark, store, c) for c in ordered]
-    wanted = F.struct("_cut_date", "_cut_label").isin(
-        *[F.struct(F.lit(c.cut_date), F.lit(c.label)) for c in ordered])
-    rows = store.landed().filter(wanted)
-    _write_quarantine(store, rows, sum(x.rows_quarantined for x in landings), commit)
-    valid = normalize.normalize(rows.filter(USABLE), spec)
-    versions = history.bulk_history(valid, spec, ordered)
-    store.write_versions(versions.withColumn("part", merge.part_of()), commit)
-
-    events = (merge.events(store.opened_by(commit))
-              .withColumn("run_id", F.lit(run_id)).withColumn("ts", F.current_timestamp()))
-    store.write_change_log(events, commit)
-    log = {(r["cut_label"], r["cut_date"]): r for r in reports.event_counts(
-        store.opened_by(commit)).collect()}  # one row per cut
-    records, live = [], 0
-    for cut, x in zip(ordered, landings):
-        found = log.get((cut.label, cut.cut_date))
-        n, u, d = ((found["rows_new"], found["rows_changed"], found["rows_deleted"])
-                   if found else (0, 0, 0))
-        counts = {"rows_new": n, "rows_changed": u, "rows_deleted": d,
-                  "rows_unchanged": live - u - d}
-        live += n - d
-        records.append(_record(cut, commit, (commit,), run_id, x, counts, started))
-    store.publish(records)
-    return records
+    with recorded(store, ordered[-1]) as run:
+        spec, commit = store.spec, store.head().commit + 1
+        landings = [land(spark, store, c) for c in ordered]
+        wanted = F.struct("_cut_date", "_cut_label").isin(
+            *[F.struct(F.lit(c.cut_date), F.lit(c.label)) for c in ordered])
+        rows = store.landed().filter(wanted)
+        _write_quarantine(store, rows, sum(x.rows_quarantined for x in landings), commit)
+        valid = normalize.normalize(rows.filter(USABLE), spec)
+        before = store.open_versions(base) if base.commit else None
+        versions = history.bulk_history(valid, spec, ordered, before=before)
+        store.write_versions(versions.withColumn("part", merge.part_of()), commit)
+
+        opened = store.opened_by(commit).filter(F.col("valid_from") >= F.lit(ordered[0].cut_date))
+        events = (merge.events(opened).withColumn("run_id", F.lit(run.run_id))
+                  .withColumn("ts", F.current_timestamp()))
+        store.write_change_log(events, commit)
+        log = {(r["cut_label"], r["cut_date"]): r
+               for r in reports.event_counts(opened).collect()}  # one row per cut
+        records, live = [], store.live(base).count() if base.commit else 0
+        for cut, x in zip(ordered, landings):
+            found = log.get((cut.label, cut.cut_date))
+            n, u, d = ((found["rows_new"], found["rows_changed"], found["rows_deleted"])
+                       if found else (0, 0, 0))
+            counts = {"rows_new": n, "rows_changed": u, "rows_deleted": d,
+                      "rows_unchanged": live - u - d}
+            live += n - d
+            records.append(_record(cut, commit, (*base.lineage, commit), run, x, counts))
+        store.publish(records)
+        return records
 
 
 def run_cuts(spark: SparkSession, store: Store, cuts: Sequence[Cut], *,
@@ -205,7 +251,9 @@ def run_cuts(spark: SparkSession, store: Store, cuts: Sequence[Cut], *,
              check: Callable[[Store], None] | None = None, **options) -> list[dict | None]:
     """Processes cuts in date order, builds the marts and runs the quality gate.
 
-    ``reset`` starts from zero; with ``in_one_pass`` it does so as one bulk build.
+    ``reset`` starts from zero; with ``in_one_pass`` it does so as one bulk build. Cuts that
+    were processed before are skipped, so running the same cuts again changes nothing. A
+    gate that finds something leaves a record in ``store.failures()``.
     """
     if in_one_pass:
         done: list[dict | None] = list(rebuild(spark, store, cuts, **options))
@@ -213,5 +261,6 @@ def run_cuts(spark: SparkSession, store: Store, cuts: Sequence[Cut], *,
         done = []
         for n, cut in enumerate(sorted(cuts, key=lambda c: c.cut_date)):
             done.append(process_cut(spark, store, cut, reset=reset and n == 0, **options))
-    (check or reports.build_and_check)(store)
+    with recorded(store, max(cuts, key=lambda c: c.cut_date)):
+        (check or reports.build_and_check)(store)
     return done

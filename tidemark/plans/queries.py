@@ -16,7 +16,7 @@ from tidemark.plans import demo, pipeline, reports
 from tidemark.sources import cuts as source
 from tidemark.sources.scratch import scratch_path
 from tidemark.sources.store import Store, cut_slice
-from tidemark.streaming.cuts import stream_cuts
+from tidemark.streaming.cuts import process_manifest, stream_cuts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -160,6 +160,28 @@ def stream(spark: SparkSession, sf: str) -> DataFrame:
     return marts.change_counts(store.change_log())
 
 
+@query("stream_replayed")
+def stream_replayed(spark: SparkSession, sf: str) -> DataFrame:
+    """Events per cut when the first cut comes alone, all three with the next batch, that batch
+    once more after a break, and at last other content for the first date, too late."""
+    store = Store(spark, scratch_path(spark, "store"), MOVEMENTS)
+    cuts = demo.write_cuts(spark, sf)
+    late = Cut("late", cuts[2].path, cuts[0].cut_date)
+    for batch, wanted in ((0, cuts[:1]), (1, cuts), (1, cuts), (2, [late])):
+        process_manifest(spark, store, source.manifest(spark, wanted), "stream", batch)
+    return marts.change_counts(store.change_log())
+
+
+@query("run_twice")
+def run_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """The run records after all cuts were run, and then all of them again."""
+    store = Store(spark, scratch_path(spark, "store"), MOVEMENTS)
+    cuts = demo.write_cuts(spark, sf)
+    for _ in range(2):
+        pipeline.run_cuts(spark, store, cuts)
+    return store.records().select("commit", "cut_label", "cut_date", "status")
+
+
 # -- normalisation ----------------------------------------------------------------------
 @query("norm_text")
 def norm_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -397,7 +419,7 @@ def merge_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query("merge_idempotent")
 def merge_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     """Counts of merging the last cut again, with itself already published."""
-    rows = demo.staged(spark, sf).filter(F.col("_cut_date") == F.lit(demo.CUTS[-1].cut_date))
+    rows = demo.staged(spark, sf, demo.CUTS[-1])
     live = demo.published(spark, sf).open_versions()
     return merge.classify(live, rows).agg(*merge.action_counts())
 
@@ -413,6 +435,17 @@ def scd2_history(spark: SparkSession, sf: str) -> DataFrame:
     return demo.full_history(spark, sf).drop("load_ts")
 
 
+@query("bulk_from_state")
+def bulk_from_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The history when the first cut was merged and the others added to its open versions in
+    one pass."""
+    store = Store(spark, scratch_path(spark, "store"), MOVEMENTS)
+    first, *others = demo.write_cuts(spark, sf)
+    pipeline.process_cut(spark, store, first)
+    pipeline.extend(spark, store, others)
+    return _history_columns(store.history())
+
+
 @query("movement_trace")
 def movement_trace(spark: SparkSession, sf: str) -> DataFrame:
     return history.trace(demo.full_history(spark, sf)).select(
@@ -455,6 +488,22 @@ def state_summary(spark: SparkSession, sf: str) -> DataFrame:
     return marts.state_summary(demo.full_history(spark, sf))
 
 
+@query("state_summary_incremental")
+def state_summary_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The state summary after every cut, kept from the cuts' changes alone."""
+    store = demo.checked(spark, sf)
+    return _union([store.state_summary(head).select(F.lit(cut.label).alias("cut_label"), "*")
+                   for cut, head in demo.heads(store)])
+
+
+@query("top_clients_incremental")
+def top_clients_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The largest clients after every cut, kept from the cuts' changes alone."""
+    store = demo.checked(spark, sf)
+    return _union([store.top_actors(head=head).select(F.lit(cut.label).alias("cut_label"), "*")
+                   for cut, head in demo.heads(store)])
+
+
 @query("dq_profile")
 def dq_profile(spark: SparkSession, sf: str) -> DataFrame:
     return marts.quality_profile(_live(spark, sf))
@@ -510,9 +559,7 @@ def insights_export(spark: SparkSession, sf: str) -> DataFrame:
 def marts_stored(spark: SparkSession, sf: str) -> DataFrame:
     """The marts as a reader finds them after runs of one cut each: the first is summed from
     the live state, each further one from the rows that came and went."""
-    store = Store(spark, scratch_path(spark, "store"), MOVEMENTS)
-    for cut in demo.write_cuts(spark, sf):
-        pipeline.run_cuts(spark, store, [cut])
+    store = demo.checked(spark, sf)
     return _union([_long(m.name, store.mart(m.name), m.by) for m in MOVEMENTS.marts])
 
 
@@ -609,6 +656,16 @@ def as_of_state(spark: SparkSession, sf: str) -> DataFrame:
         "as_of_date", "movement_key", "product", "signed_amount", "cut_label")
 
 
+@query("as_of_join")
+def as_of_join(spark: SparkSession, sf: str) -> DataFrame:
+    """What held for every key on each of several days."""
+    found = history.as_of_join(demo.probes(spark, sf, AS_OF_DAYS),
+                               demo.published(spark, sf).history())
+    return found.select("movement_key", "day", *[
+        F.col(f"version.{c}").alias(c) for c in ("valid_from", "cut_label", "attr_hash",
+                                                 "signed_amount")])
+
+
 @query("mart_incremental")
 def mart_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """The product mart kept up to date from each cut's changes alone."""

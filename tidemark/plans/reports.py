@@ -33,7 +33,13 @@ def build_marts(store: Store, head: Head) -> dict[str, DataFrame]:
     live.createOrReplaceTempView(LIVE_VIEW)
     built, base = {"live": live}, store.checked_commit(head.lineage[:-1])
     changes = None if base is None else store.changes_since(base, head)
-    for mart in store.spec.marts:
+    actors = store.spec.actors
+    if actors:
+        counted = None if base is None else store.counters(base)
+        store.write_counters(
+            marts.counters(store.history(head)) if counted is None else marts.add_counters(
+                counted, marts.counter_changes(store.versions_since(base, head))), head.commit)
+    for mart in (*store.spec.marts, *((actors,) if actors else ())):
         before = None if base is None else store.mart_state(mart, base)
         if before is None:
             state = marts.flow_state(live, mart)
@@ -41,7 +47,8 @@ def build_marts(store: Store, head: Head) -> dict[str, DataFrame]:
             delta = marts.flow_state(changes, mart, F.col("_sign"))
             state = marts.add_flow(before, delta, mart)
         store.write_mart(mart, state, head.commit)
-        built[mart.name] = marts.finish_flow(store.mart_state(mart, head.commit), mart)
+        if mart is not actors:
+            built[mart.name] = marts.finish_flow(store.mart_state(mart, head.commit), mart)
     return built
 
 

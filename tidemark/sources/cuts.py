@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.hashing import row_checksum
+from tidemark.functions.hashing import attribute_hash, multiset_checksum
 from tidemark.model import LEDGER_SCHEMA, Cut, TableSpec
 
 
@@ -40,12 +40,12 @@ def with_lineage(scanned: DataFrame, cut: Cut) -> DataFrame:
 
 
 def fingerprint_columns(spec: TableSpec, of: str = "") -> list[Column]:
-    """Row count and a checksum over values and file positions, as aggregates.
-    ``of`` prefixes the column names, for rows held in a struct."""
-    checksum = row_checksum(F.col(of + c) for c in [*spec.source_columns, "_row_num"])
+    """Row count and a checksum over the rows' values, as aggregates. Equal rows in another
+    order or in other files have the same one. ``of`` prefixes the column names, for rows held
+    in a struct."""
+    row_hash = attribute_hash(of + c for c in spec.source_columns)
     return [F.count(F.lit(1)).alias("source_rows"),
-            F.coalesce(F.sum(checksum.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
-            .cast("string").alias("checksum")]
+            multiset_checksum(row_hash).alias("checksum")]
 
 
 def fingerprint_text(rows: Column, checksum: Column) -> Column:
@@ -77,11 +77,12 @@ def late_cuts(manifest_df: DataFrame, ledger: DataFrame) -> DataFrame:
     return manifest_df.filter(F.col("cut_date") < newest)
 
 
-def check_order(cut: Cut, ledger: DataFrame) -> None:
-    newest = ledger.agg(F.max("cut_date").alias("newest")).first()["newest"]
-    if newest is not None and cut.cut_date < newest:
+def check_order(wanted: DataFrame, ledger: DataFrame) -> None:
+    """Refuses cuts of a manifest that are older than the newest one processed."""
+    late = late_cuts(wanted, ledger).first()
+    if late:
         raise OutOfOrderError(
-            f"cut {cut.label} of {cut.cut_date} is older than {newest}, "
+            f"cut {late['cut_label']} of {late['cut_date']} is older than "
             "the newest one processed; cuts go in date order")
 
 

@@ -30,10 +30,12 @@ from tidemark.model import (
     TableSpec,
 )
 from tidemark.operators.history import as_of, with_version_id
-from tidemark.operators.marts import finish_flow
+from tidemark.operators.marts import finish_flow, summary_of, top_of
 
 
 USABLE = "_usable"
+# Fixed value: the folder of the counters beside the marts.
+COUNTERS = "estado"
 
 
 @dataclass(frozen=True)
@@ -87,23 +89,24 @@ class Store:
         return self.landed(cut).select(*self.spec.raw_schema.fieldNames())
 
     # -- ledger ----------------------------------------------------------------------
-    def _records(self) -> DataFrame:
+    def records(self) -> DataFrame:
+        """Run records of all commits, also of those that were replaced."""
         if not self._exists("ledger"):
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
         return (self.spark.read.schema(LEDGER_SCHEMA)
                 .option("recursiveFileLookup", "true").json(self.path("ledger")))
 
     def head(self) -> Head:
-        row = (self._records().select("commit", "lineage")
+        row = (self.records().select("commit", "lineage")
                .orderBy(F.desc("commit")).limit(1).collect())
         return Head(row[0]["commit"], tuple(row[0]["lineage"])) if row else Head()
 
     def ledger(self, head: Head | None = None) -> DataFrame:
         """Run records of the visible commits."""
-        return self._visible(self._records(), head)
+        return self._visible(self.records(), head)
 
     def write_failure(self, record: dict[str, Any]) -> None:
-        row = tuple(record[f] for f in FAILURE_SCHEMA.fieldNames())
+        row = tuple(record.get(f) for f in FAILURE_SCHEMA.fieldNames())
         (self.spark.createDataFrame([row], FAILURE_SCHEMA).coalesce(1)
          .write.json(self.path("failures", record["run_id"])))
 
@@ -215,6 +218,31 @@ class Store:
         at = ("marts", f"commit={commit}", mart.name)
         return self.spark.read.parquet(self.path(*at)) if self._exists(*at) else None
 
+    def write_counters(self, counted: DataFrame, commit: int) -> None:
+        counted.write.mode("overwrite").parquet(
+            self.path("marts", f"commit={commit}", COUNTERS))
+
+    def counters(self, commit: int) -> DataFrame | None:
+        at = ("marts", f"commit={commit}", COUNTERS)
+        return self.spark.read.parquet(self.path(*at)) if self._exists(*at) else None
+
+    def _actors(self, head: Head | None) -> tuple[DataFrame, DataFrame]:
+        """Counters and actors' state as of the last commit that passed the gate."""
+        commit = self.checked_commit((head or self.head()).lineage)
+        counted = None if commit is None else self.counters(commit)
+        actors = None if counted is None else self.mart_state(self.spec.actors, commit)
+        if actors is None:
+            raise LookupError("the state summary was not built yet")
+        return counted, actors
+
+    def state_summary(self, head: Head | None = None) -> DataFrame:
+        """Live rows, tombstones, versions and active clients, without reading any of them."""
+        return summary_of(*self._actors(head), self.spec.actors.by)
+
+    def top_actors(self, n: int = 10, head: Head | None = None) -> DataFrame:
+        """The actors with the largest total over their live rows."""
+        return top_of(self._actors(head)[1], self.spec.actors, n)
+
     def mark_checked(self, commit: int) -> None:
         """Shows a commit's marts to readers."""
         files, mark = self._folder("marts", f"commit={commit}", "checked")
@@ -236,16 +264,21 @@ class Store:
 
     def changes_since(self, base: int, head: Head) -> DataFrame:
         """Rows that entered (``_sign`` 1) or left (-1) the live state after a commit of the
-        head's lineage. What came and went in between is left out, as it adds nothing."""
+        head's lineage. What came and went in between is in with both signs."""
+        return self.versions_since(base, head).filter(~F.col("is_deleted"))
+
+    def versions_since(self, base: int, head: Head) -> DataFrame:
+        """Versions opened (``_sign`` 1) and closed (-1) after a commit of the head's lineage;
+        one that was opened and closed since is in twice."""
         newest = self.ledger(head).filter(F.col("commit") == base).agg(
             F.max("cut_date")).first()[0]
         later = head.lineage[head.lineage.index(base) + 1:]
-        entered = self.live(head).filter(F.col("valid_from") > F.lit(newest))
-        left = self.versions().filter(
-            F.col("commit").isin(*later) & (F.col("part") == CLOSED)
-            & ~F.col("is_deleted") & (F.col("valid_from") <= F.lit(newest)))
-        return (self._version_rows(entered).withColumn("_sign", F.lit(1))
-                .unionByName(self._version_rows(left).withColumn("_sign", F.lit(-1))))
+        closed = self._version_rows(self.versions().filter(
+            F.col("commit").isin(*later) & (F.col("part") == CLOSED)))
+        since = F.col("valid_from") > F.lit(newest)
+        opened = self.open_versions(head).filter(since).unionByName(closed.filter(since))
+        return (opened.withColumn("_sign", F.lit(1))
+                .unionByName(closed.withColumn("_sign", F.lit(-1))))
 
     # -- housekeeping ----------------------------------------------------------------
     def drop_old_open_versions(self, keep: int = 2) -> list[int]:
