@@ -126,7 +126,7 @@ def test_as_of_join_equals_as_of(spark, folded):
 def test_as_of_join_of_many_probes_has_no_nested_loop(spark, folded):
     versions = folded[1].history()
     keys = versions.select("movement_key").distinct()
-    probes = (keys.select("movement_key", F.explode(F.sequence(F.lit(1), F.lit(2000))).alias("n"))
+    probes = (keys.select("movement_key", F.explode(F.sequence(F.lit(1), F.lit(4000))).alias("n"))
               .select("movement_key", F.date_add(F.lit(DAYS[0]), F.col("n") % 12).alias("day")))
     found = history.as_of_join(probes.hint("merge"), versions)
     plan = found._jdf.queryExecution().executedPlan().toString()
