@@ -55,7 +55,7 @@ def test_chunks_hold_every_phrase_once(rows, modulus):
     texts = [" ".join(r) for r in rows]
     before, co.MODULUS = co.MODULUS, modulus
     try:
-        parsed = co.parse(texts)
+        parsed, words_of = co.parse(texts)
     finally:
         co.MODULUS = before
     found = Counter()
@@ -65,12 +65,14 @@ def test_chunks_hold_every_phrase_once(rows, modulus):
             for m in range(1, min(4, len(w) - s) + 1):
                 found[tuple(w[s:s + m])] += times
     assert found == plain_counts(texts)
+    assert {(w.decode(),): n for w, n in words_of.items()} == {
+        p: n for p, n in found.items() if len(p) == 1}
 
 
 def test_equal_passages_fall_into_equal_chunks():
     rng = random.Random(4)
     passage = " ".join(rng.choice("abcdefgh") * rng.randint(1, 4) for _ in range(400))
-    one, two = (co.parse([f"{lead} {passage} {tail}"]) for lead, tail in
+    one, two = (co.parse([f"{lead} {passage} {tail}"])[0] for lead, tail in
                 (("the first", "ends so"), ("and quite another one", "with other words")))
     assert sum((one & two).values()) >= 0.5 * sum(one.values()) > 3
 

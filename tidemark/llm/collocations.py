@@ -9,10 +9,11 @@ weighted by that number. As a phrase has at most ``WINDOW + 1`` words, each occu
 wholly in the chunk in which it starts; a start in the overlap counts for the later chunk
 alone, the last chunk of a piece counts all its starts.
 
-Phrases are counted by length. A phrase of n words that occurs often enough consists of two
-frequent phrases of n - 1 words; only starts where both may be frequent are counted. This is
-looked up in a Bloom filter of ``FILTER_BITS`` bits, of fixed size and without false
-negatives: when it fills up, more phrases are counted, the result stays the same.
+Words are counted while parsing, as every word is a start of one chunk. All parts of a phrase
+that occurs often enough do so too, so pairs are counted only where both words may be
+frequent, longer phrases where all their pairs may be. This is looked up in a Bloom filter of
+2 ** ``FILTER_BITS`` bits, of fixed size and without false negatives: when it fills up, more
+phrases are counted, the result stays the same.
 
 Null texts count as empty, a null language as ``und``. Repeated rows count each. A table
 without frequent phrases gives no rows. Other columns are not read. All arithmetic on counts
@@ -44,7 +45,7 @@ SCALE = 2_000_000
 UNKNOWN = "und"
 FILTER_BITS = 26  # 2 ** 26 bits are 8 MiB
 # Text parsed at a time, and chunk bytes counted at a time.
-PARSED, COUNTED = 4 << 20, 8 << 20
+PARSED, COUNTED = 4 << 20, 16 << 20
 
 # A-Z to lower case, sentence marks and line ends to 0xFF, which no UTF-8 text holds.
 _MARK = 0xFF
@@ -85,98 +86,129 @@ def phrase_hashes(of_words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def parse(texts: list[str]) -> Counter:
-    """(chunk, last of its piece) and how often it was parsed; words of a chunk are joined
-    by single spaces."""
-    data = b" \xff ".join([t.encode().translate(_BYTES).replace(b"\xff", b" \xff ")
-                           for t in texts] + [b""])
-    line = data.split()
+def parse(texts: list[str]) -> tuple[Counter, Counter]:
+    """How often each (chunk, last of its piece) was parsed, and how often each word stands in
+    a chunk that counts it; words of a chunk are joined by single spaces."""
+    line = b" \xff ".join([t.encode().translate(_BYTES).replace(b"\xff", b" \xff ")
+                           for t in texts] + [b""]).split()
     names = Words()
     ids = np.fromiter(map(names.__getitem__, line), np.int64, len(line))
     mark = names.get(b"\xff", -1)
-    marks = np.flatnonzero(ids == mark)
     hashes = phrase_hashes(names.hashes()[ids] if len(ids) else np.empty(0, np.uint64), WINDOW)
     trigger = np.flatnonzero(hashes % np.uint64(MODULUS) == 0)
     # the window must not reach over the end of its piece
-    ends = np.append(marks, len(line))
+    ends = np.append(np.flatnonzero(ids == mark), len(line))
     trigger = trigger[trigger + WINDOW <= ends[np.searchsorted(ends, trigger)]]
-    starts = np.unique(np.concatenate([[0], marks + 1, trigger])).astype(np.int64)
+    starts = np.unique(np.concatenate([[0], ends[:-1] + 1, trigger])).astype(np.int64)
     piece_end = ends[np.searchsorted(ends, np.minimum(starts, len(line)))]
     following = np.append(starts[1:], len(line) + 1)
     last = following > piece_end
     stops = np.where(last, piece_end, following + WINDOW)
-    join = b" ".join
-    return Counter([(join(line[a:b]), c) for a, b, c in
-                    zip(starts.tolist(), stops.tolist(), last.tolist()) if b > a])
+    some = stops > starts
+    data = b" ".join(line)
+    at = np.cumsum([0, *map(len, line)]) + np.arange(len(line) + 1)  # where words start
+    chunks_of = Counter([(data[a:b], c) for a, b, c in zip(
+        at[starts[some]].tolist(), (at[stops[some]] - 1).tolist(), last[some].tolist())])
+    # every word is a start of one chunk
+    words_of = Counter(dict(zip(names.names, np.bincount(ids, minlength=1).tolist())))
+    del words_of[b"\xff"]
+    return chunks_of, words_of
+
+
+# What a row of the dictionary is: a chunk that another one follows, the last one of its
+# piece, or a word.
+INNER, LAST, WORD = 0, 1, 2
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
-    """(lang, chunk, last, freq): the distinct chunks of each language."""
+    """(lang, chunk, kind, freq): the distinct chunks of each language, and its words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text", PARSED):
             by: dict[str, list[str]] = {}
             for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
                 by.setdefault(lang, []).append(text)
             for lang, texts in by.items():
-                found = parse(texts)
-                keys = list(found)
+                found, words = parse(texts)
+                names = [k[0] for k in found] + list(words)
+                kinds = [LAST if k[1] else INNER for k in found] + [WORD] * len(words)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([lang] * len(keys), pa.string()),
-                    pa.array([k[0] for k in keys], pa.binary()).cast(pa.string()),
-                    pa.array([k[1] for k in keys], pa.bool_()),
-                    pa.array(list(found.values()), pa.int64())],
-                    ["lang", "chunk", "last", "freq"])
+                    pa.array([lang] * len(names), pa.string()),
+                    pa.array(names, pa.binary()).cast(pa.string()), pa.array(kinds, pa.int32()),
+                    pa.array([*found.values(), *words.values()], pa.int64())],
+                    ["lang", "chunk", "kind", "freq"])
 
     rows = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    return (rows.mapInArrow(run, "lang string, chunk string, last boolean, freq long")
-            .groupBy("lang", "chunk", "last").agg(F.sum("freq").alias("freq")))
+    return (rows.mapInArrow(run, "lang string, chunk string, kind int, freq long")
+            .groupBy("lang", "chunk", "kind").agg(F.sum("freq").alias("freq")))
+
+
+def gathered(batches: Iterator[pa.RecordBatch], size: str) -> Iterator[pa.RecordBatch]:
+    """Batches put together until the column ``size`` has about ``COUNTED`` bytes: the more
+    chunks are counted at a time, the fewer rows leave the task."""
+    held, n = [], 0
+    for batch in chunks(batches, size, COUNTED):
+        held.append(batch)
+        n += batch.column(batch.schema.get_field_index(size)).nbytes
+        if n >= COUNTED:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 class Line:
     """The words of several chunks in a row, with their language, weight and place."""
 
-    def __init__(self, langs: pa.Array, texts: list[str], last: np.ndarray, freq: np.ndarray):
+    def __init__(self, langs: pa.Array, texts: pa.Array, last: np.ndarray, freq: np.ndarray):
         self.words = Words()
-        split = [t.encode().split(b" ") for t in texts]
-        sizes = np.array(list(map(len, split)))
-        self.ids = np.fromiter((i for row in split for i in map(self.words.__getitem__, row)),
-                               np.int64, int(sizes.sum()))
+        ended = pc.binary_join_element_wise(texts, "", " \n ")  # no chunk holds a line end
+        whole = pc.binary_join(pa.ListArray.from_arrays([0, len(ended)], ended), "")
+        line = whole[0].as_buffer().to_pybytes().split(b" ")[:-1]
+        ids = np.fromiter(map(self.words.__getitem__, line), np.int64, len(line))
+        ends = ids == self.words.get(b"\n", -1)
+        row = (np.cumsum(ends) - ends)[~ends]
+        self.ids = ids[~ends]
         coded = langs.dictionary_encode()
         self.langs = coded.dictionary
-        self.row = np.repeat(np.arange(len(split)), sizes)
-        self.lang = coded.indices.to_numpy()[self.row].astype(np.int64)
-        self.weight = freq[self.row]
-        ends = np.cumsum(sizes)
-        place = np.arange(len(self.ids))
-        self.left = ends[self.row] - place  # words from here to the end of the chunk
+        self.lang = coded.indices.to_numpy()[row].astype(np.int64)
+        self.weight = freq[row]
+        stops = np.cumsum(np.bincount(row, minlength=1))
+        self.left = stops[row] - np.arange(len(row))  # words from here to the chunk's end
         # starts in the overlap count for the next chunk
-        self.own = last[self.row] | (self.left > WINDOW)
-        lang_hashes = np.array([zlib.crc32(x.as_py().encode()) for x in self.langs], np.uint64)
-        salt = mixed(lang_hashes, _MIX[2])[self.lang] if len(self.ids) else np.empty(0, np.uint64)
-        self.hashes = (self.words.hashes()[self.ids] if len(self.ids) else salt) + salt
-
-    def counted(self, n: int, frequent: np.ndarray | None) -> pa.RecordBatch:
-        """(lang, phrase, f) of the phrases of n words."""
+        self.own = last[row] | (self.left > WINDOW)
+        crc = np.array([zlib.crc32(x.as_py().encode()) for x in self.langs], np.uint64)
+        self.hashes = self.words.hashes()[self.ids] if len(row) else np.empty(0, np.uint64)
+        self.hashes = self.hashes + (mixed(crc, _MIX[2])[self.lang] if len(row) else self.hashes)
+
+    def starts(self, n: int, frequent: np.ndarray | None, m: int) -> np.ndarray:
+        """Where phrases of n words start that this line counts, and whose parts of m words
+        may all be frequent."""
         at = np.flatnonzero(self.own & (self.left >= n))
         if frequent is not None and len(at):
-            part = in_filter(frequent, phrase_hashes(self.hashes, n - 1))
-            at = at[part[at] & part[at + 1]]
-        # number the phrases word by word: equal numbers, equal phrases
-        _, number = np.unique(self.lang[at] << 40 | self.ids[at], return_inverse=True)
-        for k in range(1, n):
-            _, number = np.unique(number.astype(np.int64) << 32 | self.ids[at + k],
-                                  return_inverse=True)
-        distinct, first = np.unique(number, return_index=True)
-        total = np.zeros(len(distinct), np.int64)
-        np.add.at(total, number, self.weight[at])
+            part = in_filter(frequent, phrase_hashes(self.hashes, m))
+            for k in range(n - m + 1):
+                at = at[part[at + k]]
+        return at
+
+    def counted(self, n: int, at: np.ndarray) -> pa.RecordBatch:
+        """(lang, size, phrase, f) of the phrases of n words that start at ``at``."""
+        hashes = phrase_hashes(self.hashes, n)[at]
+        at = at[np.argsort(hashes, kind="stable")]
+        # rows of one phrase now stand together; where two phrases share a hash, they may
+        # alternate and give several rows, which are added up later like all others
+        new = self.lang[at[1:]] != self.lang[at[:-1]]
+        for k in range(n):
+            new |= self.ids[at[1:] + k] != self.ids[at[:-1] + k]
+        first = np.flatnonzero(np.append(True, new)[:len(at)])
+        total = np.add.reduceat(self.weight[at], first) if len(at) else self.weight[:0]
         at = at[first]
         names = pa.array(self.words.names, pa.binary()).cast(pa.string())
-        parts = [names.take(pa.array(self.ids[at + k])) for k in range(n)]
-        phrase = pc.binary_join_element_wise(*parts, " ") if n > 1 else parts[0]
+        phrase = pc.binary_join_element_wise(
+            *[names.take(pa.array(self.ids[at + k])) for k in range(n)], " ")
         return pa.RecordBatch.from_arrays(
-            [self.langs.take(pa.array(self.lang[at])), phrase, pa.array(total)],
-            ["lang", "phrase", "f"])
+            [self.langs.take(pa.array(self.lang[at])), pa.array(np.full(len(at), n, np.int32)),
+             phrase, pa.array(total)], ["lang", "size", "phrase", "f"])
 
 
 def in_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -191,9 +223,9 @@ def in_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def frequent_filter(frequent: DataFrame, n: int) -> Broadcast:
     """The Bloom filter of frequent phrases of n words, OR-ed together in Spark."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "phrase", COUNTED):
-            line = Line(batch.column(0), batch.column(1).to_pylist(),
-                        np.ones(batch.num_rows, bool), np.ones(batch.num_rows, np.int64))
+        for batch in gathered(batches, "phrase"):
+            line = Line(batch.column(0), batch.column(1), np.ones(batch.num_rows, bool),
+                        np.ones(batch.num_rows, np.int64))
             own = phrase_hashes(line.hashes, n)[line.left[:max(len(line.ids) - n + 1, 0)] == n]
             bits = np.zeros(1 << FILTER_BITS - 6, np.uint64)
             for shift in (0, 32):
@@ -211,34 +243,35 @@ def frequent_filter(frequent: DataFrame, n: int) -> Broadcast:
     return frequent.sparkSession.sparkContext.broadcast(bits)
 
 
-def phrases(parsed: DataFrame, n: int, shorter: Broadcast | None) -> DataFrame:
-    """(lang, phrase, f) of phrases of n words over a dictionary. Given the filter of frequent
-    phrases of one word less, those that cannot be frequent may be missing."""
+def phrases(parsed: DataFrame, sizes: tuple[int, ...], frequent: DataFrame, m: int) -> DataFrame:
+    """(lang, size, phrase, f) of the phrases over a dictionary that occur often enough, given
+    those of m words that do."""
+    filtered = frequent_filter(frequent, m)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "chunk", COUNTED):
-            line = Line(batch.column(0), batch.column(1).to_pylist(),
-                        batch.column(2).to_numpy(zero_copy_only=False),
+        for batch in gathered(batches, "chunk"):
+            line = Line(batch.column(0), batch.column(1), batch.column(2).to_numpy() == LAST,
                         batch.column(3).to_numpy())
-            yield line.counted(n, None if shorter is None else shorter.value)
+            for n in sizes:
+                yield line.counted(n, line.starts(n, filtered.value, m))
 
-    return (parsed.select("lang", "chunk", "last", "freq")
-            .mapInArrow(run, "lang string, phrase string, f long")
-            .groupBy("lang", "phrase").agg(F.sum("f").alias("f")))
+    return (parsed.filter(F.col("kind") != WORD).select("lang", "chunk", "kind", "freq")
+            .mapInArrow(run, "lang string, size int, phrase string, f long")
+            .groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
+            .filter(F.col("f") >= LEAST))
 
 
 def frequent_phrases(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(lang, size, phrase, f) of all phrases with ``LEAST`` occurrences, up to ``LONGEST``
     words; and (lang, n), the word occurrences of each language."""
-    parsed = stored(dictionary(docs), "dictionary")
-    words = stored(phrases(parsed, 1, None), "words")
-    by_size = [words.filter(F.col("f") >= LEAST)]
-    for n in range(2, LONGEST + 1):
-        own = phrases(parsed, n, frequent_filter(by_size[-1], n - 1))
-        by_size.append(stored(own.filter(F.col("f") >= LEAST), f"phrases-{n}"))
-    out = by_size[0].select("lang", F.lit(1).alias("size"), "phrase", "f")
-    for n, own in enumerate(by_size[1:], start=2):
-        out = out.unionByName(own.select("lang", F.lit(n).alias("size"), "phrase", "f"))
-    return out, words.groupBy("lang").agg(F.sum("f").alias("n"))
+    parsed = stored(dictionary(docs), "dictionary", ["kind"])
+    words = parsed.filter(F.col("kind") == WORD).select(
+        "lang", F.lit(1).alias("size"), F.col("chunk").alias("phrase"), F.col("freq").alias("f"))
+    single = words.filter(F.col("f") >= LEAST)
+    double = stored(phrases(parsed, (2,), single, 1), "phrases")
+    longer = stored(phrases(parsed, tuple(range(3, LONGEST + 1)), double, 2), "phrases")
+    return (single.unionByName(double).unionByName(longer),
+            words.groupBy("lang").agg(F.sum("f").alias("n")))
 
 
 def _big(c: str) -> Column:
