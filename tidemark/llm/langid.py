@@ -4,8 +4,8 @@ A text is lower-cased and read as code points with a pair of zeros on either sid
 1-, 2- and 3-grams are hashed to ``2 ** BITS`` buckets. Training counts (language, bucket)
 inside the tasks, adds the counts up in Spark, and turns them into one matrix of smoothed
 log-probabilities, ``2 ** BITS`` by the number of languages, which is broadcast: its size
-depends on those two numbers alone, never on the texts. Scoring is a gather and a sum in
-numpy over a batch of texts.
+depends on those two numbers alone, never on the texts. Scoring is sparse: the distinct
+buckets of each text, with their counts, times the rows of the matrix.
 
 Null texts and texts without a letter are ``und`` with score 0, as is every text if there
 is nothing to learn from. Null labels and null texts teach nothing. Ties go to the
@@ -28,6 +28,9 @@ BITS = 15
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
 UNDETERMINED = "und"
+# Text taken at a time, and places of it whose n-grams are held at a time; a longer text is
+# scored in parts, whose counts add up.
+TEXT_BYTES, PLACES = 512 << 10, 1 << 16
 # Odd multipliers of the n-gram hash, one per place (any odd numbers do).
 _MIX = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 
@@ -36,21 +39,23 @@ def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
-def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all n-grams, [order, place], and where each text's places begin. Two
-    zeros between texts keep a 3-gram from reaching over both."""
-    coded = [np.frombuffer(t.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-             for t in texts]
-    pad = np.zeros(2, np.uint32)
-    line = np.concatenate([x for c in coded for x in (pad, c)] + [pad])
-    starts = np.cumsum([0] + [len(c) + 2 for c in coded])
-    n = len(line) - 2
-    out = np.empty((len(ORDERS), n), np.uint32)
-    mixed = np.zeros(n, np.uint32)
-    for i, mix in enumerate(_MIX):
-        mixed = (mixed ^ (mixed >> 15)) + (line[i:i + n] + np.uint32(i + 1)) * np.uint32(mix)
-        out[i] = (mixed * np.uint32(_MIX[0])) >> np.uint32(32 - BITS)
-    return out, starts[:-1]
+def ngrams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text, bucket) of all n-grams, ``PLACES`` places at a time, however long the texts
+    are. Two zeros between texts keep a 3-gram from reaching over both."""
+    pad = "\0\0"
+    line = np.frombuffer("".join([pad + t.lower() for t in texts] + [pad]).encode(
+        "utf-32-le", "surrogatepass"), "<u4")
+    starts = np.cumsum([0] + [len(t.lower()) + 2 for t in texts])
+    for a in range(0, len(line) - 2, PLACES):
+        n = min(PLACES, len(line) - 2 - a)
+        text = np.searchsorted(starts, np.arange(a, a + n), "right") - 1
+        mixed = np.zeros(n, np.uint32)
+        out = np.empty((len(ORDERS), n), np.int64)
+        for i, mix in enumerate(_MIX):
+            at = a + i
+            mixed = (mixed ^ (mixed >> 15)) + (line[at:at + n] + np.uint32(i + 1)) * np.uint32(mix)
+            out[i] = (mixed * np.uint32(_MIX[0])) >> np.uint32(32 - BITS)
+        yield text, out
 
 
 @dataclass(frozen=True)
@@ -65,11 +70,16 @@ class Model:
         known = [t for t in texts if has_letter(t)]
         if not known or not self.languages:
             return [UNDETERMINED] * len(texts), [0.0] * len(texts)
-        grams, starts = ngrams(known)
-        total = np.zeros((len(known), len(self.languages)))
-        for order in grams:
-            total += np.add.reduceat(self.buckets[order], starts, axis=0, dtype=np.float64)
-        total += self.prior
+        total = np.zeros((len(known), len(self.languages))) + self.prior
+        for text, grams in ngrams(known):
+            keys = (grams | text << BITS).ravel()
+            keys.sort()
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            times = np.diff(np.append(first, len(keys)))
+            text, bucket = keys[first] >> BITS, keys[first] & (1 << BITS) - 1
+            logs = self.buckets[bucket] * times[:, None]  # float64
+            some = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
+            total[text[some]] += np.add.reduceat(logs, some, axis=0)
         total -= total.max(axis=1, keepdims=True)
         share = np.exp(total)
         best, top = share.argmax(axis=1), 1 / share.sum(axis=1)
@@ -84,13 +94,14 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         texts_of: dict[str, int] = {}
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", TEXT_BYTES):
             by: dict[str, list[str]] = {}
             for t, l in zip(*(c.to_pylist() for c in batch.columns)):
                 by.setdefault(l, []).append(t)
             for l, texts in by.items():
-                found = np.bincount(ngrams(texts)[0].ravel(), minlength=1 << BITS)
-                totals[l] = totals.get(l, 0) + found
+                own = totals.setdefault(l, np.zeros(1 << BITS, np.int64))
+                for _, grams in ngrams(texts):
+                    own += np.bincount(grams.ravel(), minlength=1 << BITS)
                 texts_of[l] = texts_of.get(l, 0) + len(texts)
         for l, found in totals.items():
             at = np.flatnonzero(found)
@@ -127,7 +138,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     at = source.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, text):
+        for batch in chunks(batches, text, TEXT_BYTES):
             pred, score = own.value.predict(batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(pred, pa.string()), pa.array(score, pa.float64()), *batch.columns],
@@ -161,7 +172,7 @@ def keep_known(docs: DataFrame, least: float = 0.5) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", TEXT_BYTES):
             pred, score = own.value.predict(batch.column(at).to_pylist())
             yield batch.filter(pa.array([p != UNDETERMINED and s >= least
                                          for p, s in zip(pred, score)], pa.bool_()))
