@@ -32,7 +32,7 @@ from tidemark.llm.common import chunks, table
 
 VOCABULARY = "byte_bpe_50k.json"
 # Pieces kept per Python worker, about 200 bytes each; when full, the store starts anew.
-PIECES = 1_000_000
+PIECES = 400_000
 # Longer pieces are encoded but not kept.
 PIECE_CHARS = 200
 # White space other than space and line feed; a text that has any is divided with care.
