@@ -16,12 +16,13 @@ all registers are full, which is tried from an estimate upwards.
 Bands. ``BANDS`` groups of ``ROWS`` registers make bucket keys; with 32 by 4 a pair at the
 threshold meets in no bucket with probability (1 - 0.8^4)^32 < 5e-8.
 
-Links. Copies of one text are one node from the start. In every bucket all texts are
-compared with its smallest one, so a bucket of n texts costs n checks, and components of
-the verified links follow. Nearly all buckets then hold one component. Those that hold
+Links. Copies of one text are one node, a 64-bit number, from the start. In every bucket
+all texts are compared with its smallest node, so a bucket of n texts costs n checks, and
+components of the verified links follow. Nearly all buckets then hold one component. Those that hold
 several form clusters, and in a cluster all texts are compared in blocks, by products of
 shingle matrices inside the tasks: a task has two blocks at most, and reports one link per
-text. So no pair that shares a bucket goes unchecked, and no bucket is capped.
+text; these links join whole components. So no pair that shares a bucket goes unchecked,
+and no bucket is capped.
 
 Null texts are alone in their class. Texts without words are linked to equal texts only.
 Repeated rows are copies. Other columns are not read.
@@ -43,8 +44,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
-# Texts of a cluster that are compared with each other at a time.
-BLOCK = 512
+# Texts of a cluster that are compared with each other at a time, and about their bytes.
+BLOCK, BLOCK_BYTES = 512, 4 << 20
 _U = np.uint64
 _GOLD, _MUL1, _MUL2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 _BASE = _U(0x2545F4914F6CDD1D)  # any odd number does
@@ -204,42 +205,57 @@ def shingles_present(texts: list[str | None]) -> list[int]:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of contents whose texts are similar enough."""
-    one = texts.withColumnsRenamed({"content": "a", "text": "left"})
-    two = texts.withColumnsRenamed({"content": "b", "text": "right"})
+    """The pairs (a, b) of nodes whose texts are similar enough."""
+    one = texts.withColumnsRenamed({"node": "a", "text": "left"})
+    two = texts.withColumnsRenamed({"node": "b", "text": "right"})
     rows = pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "left", 1 << 20):
+        for batch in chunks(chunks(batches, "left", 1 << 20), "right", 1 << 20):
             score = similarities(batch.column(2).to_pylist(), batch.column(3).to_pylist())
             found = pa.array(score >= similarity)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).filter(found), batch.column(1).filter(found)], ["a", "b"])
 
-    return rows.mapInArrow(run, "a string, b string")
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, content, root, class_id, class_size) for every row: class_id is the smallest
-    doc_id of its class, class_size the number of its rows; root names the class (null for
+    doc_id of its class, class_size the number of its rows; root numbers the class (null for
     null texts)."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = stored(sketches(docs), "sketches")
-    nodes = rows.filter(F.size("keys") > 0).groupBy("content").agg(F.first("keys").alias("keys"))
-    places = stored(nodes.select(F.explode("keys").alias("key"), "content"), "buckets")
-    buckets = (places.groupBy("key").agg(F.min("content").alias("b"), F.max("content").alias("c"))
+    # every different text gets a number, which stands once the table is written
+    nodes = stored(rows.filter(F.col("content").isNotNull()).groupBy("content").agg(
+        F.first("keys").alias("keys")).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    places = nodes.select(F.explode("keys").alias("key"), "node")
+    buckets = (places.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("c"))
                .filter(F.col("b") != F.col("c")).drop("c"))
     full = stored(places.join(buckets, "key"), "full")  # buckets of two texts at least
-    first = stored(full.filter(F.col("content") != F.col("b"))
-                   .select(F.col("content").alias("a"), "b").distinct(), "pairs")
-    asked = full.select("content").distinct()
+    first = full.filter(F.col("node") != F.col("b")).select(F.col("node").alias("a"), "b").distinct()
+    asked = nodes.select("content", "node").join(full.select("node").distinct(), "node")
     texts = stored(docs.withColumn("content", F.md5("text")).join(asked, "content")
-                   .groupBy("content").agg(F.first("text").alias("text")), "texts")
-    links = stored(verified(first, texts, similarity), "links")
-    more = stored(_links_across(full, components(links, "a", "b"), texts, similarity), "links")
-    roots = components(links.union(more), "a", "b").toDF("content", "root")
-    return _with_classes(rows, roots)
+                   .groupBy("content", "node").agg(F.first("text").alias("text"))
+                   .drop("content"), "texts")
+    links = verified(first, texts, similarity)
+    stars = stored(components(links, "a", "b"), "stars")
+    more = stored(_links_across(full, stars, texts, similarity), "links")
+    named = nodes.select("content", "node").join(stars, "node", "left").select(
+        "content", F.coalesce("root", "node").alias("root"))
+    if not more.isEmpty():
+        named = named.join(_joined(more, stars), "root", "left").select(
+            "content", F.coalesce("whole", "root").alias("root"))
+    return _with_classes(rows, named)
+
+
+def _joined(links: DataFrame, stars: DataFrame) -> DataFrame:
+    """(root, whole) for the components that further links make part of a larger one."""
+    for end in ("a", "b"):
+        links = links.join(stars.toDF(end, "root"), end, "left").withColumn(
+            end, F.coalesce("root", end)).drop("root")
+    return components(links, "a", "b").toDF("root", "whole")
 
 
 def overlaps(texts: list[str | None], size: int = SHINGLE) -> np.ndarray:
@@ -272,24 +288,27 @@ def _links_across(full: DataFrame, roots: DataFrame, texts: DataFrame,
     with several components fall into clusters, by the texts they share; all pairs of a
     cluster are compared, a pair of blocks at a time. Of what is linked inside such a pair
     of blocks only the smallest text is reported to each, which says the same."""
-    labelled = (full.join(roots.toDF("content", "root"), "content", "left")
-                .select("key", "content", F.coalesce("root", "content").alias("root")))
+    labelled = (full.join(roots, "node", "left")
+                .select("key", "node", F.coalesce("root", "node").alias("root")))
     split = (labelled.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"),
-                                         F.min("content").alias("b"))
+                                         F.min("node").alias("b"))
              .filter(F.col("x") != F.col("y")).select("key", "b"))
-    mixed = stored(labelled.join(split, "key").select("content", "b").distinct(), "mixed")
-    clusters = stored(components(mixed, "content", "b").toDF("content", "cluster"), "clusters")
-    sizes = clusters.groupBy("cluster").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int")
+    mixed = labelled.join(split, "key").select("node", "b")
+    size = texts.select("node", F.octet_length("text").alias("size"))
+    clusters = stored(components(mixed, "node", "b").toDF("node", "cluster").join(size, "node"),
+                      "clusters")
+    sizes = clusters.groupBy("cluster").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK),
+        F.ceil(F.sum("size") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     members = (clusters.join(sizes, "cluster").select(
-        "cluster", "content", own.alias("own"),
+        "cluster", "node", own.alias("own"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select("cluster", "content", F.least("own", "other").alias("i"),
+        .select("cluster", "node", F.least("own", "other").alias("i"),
                 F.greatest("own", "other").alias("j")))
 
     def run(rows: pa.Table) -> pa.Table:
-        names = np.array(rows.column("content").to_pylist(), dtype=object)
+        names = rows.column("node").to_numpy()
         order = np.argsort(names)
         names = names[order]
         found = overlaps([rows.column("text")[int(i)].as_py() for i in order])
@@ -302,16 +321,15 @@ def _links_across(full: DataFrame, roots: DataFrame, texts: DataFrame,
                 break
             least = new
         at = np.flatnonzero(least != np.arange(len(names)))
-        return pa.table({"a": pa.array(names[at], pa.string()),
-                         "b": pa.array(names[least[at]], pa.string())})
+        return pa.table({"a": pa.array(names[at], pa.int64()),
+                         "b": pa.array(names[least[at]], pa.int64())})
 
-    return (members.join(texts, "content").select("cluster", "i", "j", "content", "text")
-            .groupBy("cluster", "i", "j").applyInArrow(run, "a string, b string"))
+    return (members.join(texts, "node").select("cluster", "i", "j", "node", "text")
+            .groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long"))
 
 
 def _with_classes(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    named = rows.select("doc_id", "content").join(roots, "content", "left").select(
-        "doc_id", "content", F.coalesce("root", "content").alias("root"))
+    named = rows.select("doc_id", "content").join(roots, "content", "left")
     sizes = named.filter(F.col("root").isNotNull()).groupBy("root").agg(
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size"))
     return named.join(sizes, "root", "left").select(

@@ -9,19 +9,20 @@ and the joins back are plain equi-joins that adaptive execution may split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
+    """May repeat edges; the small star takes minima and drops repeats at its end."""
     both = edges.union(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo"))).toDF(
         "node", "other")
     least = both.groupBy("node").agg(F.min("other").alias("least"))
     least = least.select("node", F.least("node", "least").alias("least"))
     return (both.join(least, "node").filter(F.col("other") > F.col("node"))
-            .select(F.col("other").alias("hi"), F.col("least").alias("lo")).distinct())
+            .select(F.col("other").alias("hi"), F.col("least").alias("lo")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -31,22 +32,25 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.toDF("hi", "lo")).distinct()
 
 
-def _state(edges: DataFrame):
-    return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))
-                     ).first()
+def _kept(edges: DataFrame) -> tuple[DataFrame, tuple[int, int | None]]:
+    """The written edges, with their number and a fingerprint taken while writing them."""
+    seen = Observation()
+    written = stored(edges.observe(seen, F.count(F.lit(1)).alias("n"),
+                                   F.bit_xor(F.xxhash64("hi", "lo")).alias("print")), "edges")
+    return written, (seen.get.get("n") or 0, seen.get.get("print"))
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root) for every node that has an edge to another one; root is the smallest
-    node of its component and a row of its own. Null ends and loops are left out."""
+    node of its component and a row of its own. Null ends and loops are left out. Nodes are
+    of any type with an order; 64-bit numbers are the cheapest."""
     x, y = F.col(a), F.col(b)
     # the comparison leaves out nulls and loops
-    now = stored(edges.filter(x != y).select(F.greatest(x, y).alias("hi"),
-                                             F.least(x, y).alias("lo")).distinct(), "edges")
-    state = _state(now)
+    now, state = _kept(edges.filter(x != y).select(
+        F.greatest(x, y).alias("hi"), F.least(x, y).alias("lo")).distinct())
     while state[0]:
-        now = stored(_small_star(_large_star(now)), "edges")
-        before, state = state, _state(now)
+        before = state
+        now, state = _kept(_small_star(_large_star(now)))
         if state == before:
             break
     roots = now.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct()
