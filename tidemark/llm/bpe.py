@@ -35,6 +35,9 @@ VOCABULARY = "byte_bpe_50k.json"
 PIECES = 400_000
 # Longer pieces are encoded but not kept.
 PIECE_CHARS = 200
+# Bytes of text taken at a time, and ids decoded at a time.
+TEXT_BYTES = 1 << 20
+IDS = 1 << 16
 # White space other than space and line feed; a text that has any is divided with care.
 _RARE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
     map(chr, range(0x2000, 0x200B)))
@@ -120,12 +123,23 @@ class Codec:
         return self.first[first] + b"".join(map(self.later.__getitem__, later))
 
     def decode(self, ids: bytes | np.ndarray) -> bytes:
+        return b"".join(self.decoded(ids))
+
+    def decoded(self, ids: bytes | np.ndarray) -> Iterator[bytes]:
+        """The bytes of a text, so many ids at a time."""
         numbers = np.frombuffer(ids, "<u4") if isinstance(ids, bytes) else ids
-        sizes = self.lengths[numbers]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        places = np.repeat(self.starts[numbers] - (ends - sizes), sizes)
-        return self.bytes[places + np.arange(total)].tobytes()
+        for at in range(0, len(numbers), IDS):
+            part = numbers[at:at + IDS]
+            sizes = self.lengths[part]
+            ends = np.cumsum(sizes)
+            places = np.repeat(self.starts[part] - (ends - sizes), sizes)
+            yield self.bytes[places + np.arange(len(places))].tobytes()
+
+    def decoded_sha256(self, ids: bytes) -> str:
+        digest = hashlib.sha256()
+        for part in self.decoded(ids):
+            digest.update(part)
+        return digest.hexdigest()
 
     def byte_ends(self, ids: np.ndarray) -> np.ndarray:
         return np.cumsum(self.lengths[ids])
@@ -154,7 +168,7 @@ def encode(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text")
     """(doc_id, ids, byte_ends, char_starts, char_ends): one entry per token each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", TEXT_BYTES):
             texts = _texts(batch)
             columns = []
             for t in texts:
@@ -193,13 +207,13 @@ def round_trip(df: DataFrame, path: str, doc_id: str = "doc_id",
     (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", TEXT_BYTES):
             ids = [own.encode(t) for t in _texts(batch)]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0),
                 pa.array([len(x) // 4 for x in ids], pa.int64()),
-                pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
-                pa.array([hashlib.sha256(own.decode(x)).hexdigest() for x in ids])],
+                pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                pa.array(map(own.decoded_sha256, ids), pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     source = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))

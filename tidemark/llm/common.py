@@ -59,10 +59,12 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
 def chunks(batches: Iterator[pa.RecordBatch], size: str,
            most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``most`` bytes in the string column ``size``, so
-    that memory does not follow the number of rows in a batch. A row is never cut."""
+    that memory does not follow the number of rows in a batch. A row is never cut. What the
+    batches held goes back to the system in the end, as the worker lives on for other stages."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(size))
         total = column.nbytes
         rows = max(1, int(batch.num_rows * most / max(total, 1)))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
