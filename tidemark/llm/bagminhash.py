@@ -44,7 +44,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
-# Texts of a cluster that are compared with each other at a time, and about their bytes.
+# Texts of a cluster that are compared with each other at a time, and their bytes on average.
 BLOCK, BLOCK_BYTES = 512, 4 << 20
 _U = np.uint64
 _GOLD, _MUL1, _MUL2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
