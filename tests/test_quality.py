@@ -59,7 +59,9 @@ def test_sums_do_not_depend_on_order_and_lose_nothing(spark):
     ([4e-7, 4e-7], 8e-7), ([1e22, 1.0, -1e22], 1.0), ([1e23, 0.25], 1e23),
     ([float("nan"), 1.0], float("nan")), ([float("inf"), 1.0], float("inf")),
     ([float("inf"), float("-inf")], float("nan")), ([-0.1, -0.2], -0.3),
-    ([1e-30, 1e-30], 2e-30), ([1e18, 0.5, -1e18], 0.5)])
+    ([1e-30, 1e-30], 2e-30), ([1e18, 0.5, -1e18], 0.5), ([-0.0], 0.0), ([-0.01, 0.02], 0.01),
+    ([999999999.99] * 3, 2999999999.97), ([1e9, 0.005, -1e9, -0.01], -0.005),
+    ([-10485.76, 10485.75, -10485.77], -10485.78)])
 def test_no_amount_is_rounded_or_left_out(spark, values, expected):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     got = df.select(exact_sum(F.col("v"))).first()[0]

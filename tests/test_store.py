@@ -1,8 +1,10 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 from conftest import T, T1, T2, compared, row, write_cut
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tidemark.model import MOVEMENTS, Cut
 from tidemark.operators import history, marts, quality
@@ -224,6 +226,49 @@ def test_as_of_from_the_store_skips_older_commits(spark, store, tmp_path):
             history.as_of(store.history(), cut.cut_date))
 
 
+MONTHS = [Cut(f"M{n}", f"m{n}", date(2024, n, 28)) for n in range(1, 6)]
+
+
+def spoil(store, month):
+    """Makes the files of versions that ended in a month unreadable."""
+    for file in Path(store.root).glob(f"versions/commit=*/part=closed/until={month}/part-*"):
+        file.write_bytes(b"no longer parquet")
+
+
+@pytest.mark.parametrize("in_one_pass", [False, True])
+def test_reads_by_date_open_only_the_months_from_then_on(spark, store, tmp_path, in_one_pass):
+    cuts = [write_cut(spark, tmp_path, [row("A", amount=float(n)), row("B")], cut)
+            for n, cut in enumerate(MONTHS)]
+    run = pipeline.rebuild if in_one_pass else pipeline.run_cuts
+    run(spark, store, cuts)
+    months = sorted(p.name for p in Path(store.root).glob("versions/*/part=closed/until=*"))
+    assert months == [f"until=2024-{n:02}" for n in range(2, 6)]
+    between = store.history_between(date(2024, 2, 28), date(2024, 3, 28))
+    assert sorted(r["valid_from"].month for r in between.collect()) == [1, 2, 3]
+    days = [date(2024, 2, 28), date(2024, 3, 1), date(2024, 4, 28), date(2025, 1, 1)]
+    expected = [compared(history.as_of(store.history(), day)) for day in days]
+    for day, rows in zip(days, expected):
+        for month in (m for m in range(2, 6) if f"2024-{m:02}" < f"{day:%Y-%m}"):
+            spoil(store, f"2024-{month:02}")
+        assert compared(store.as_of(day)) == rows
+    with pytest.raises(Exception, match="parquet|PARQUET|CANNOT_READ|Checksum"):
+        store.history().collect()
+
+
+def test_versions_that_ended_on_the_first_day_or_opened_on_the_last(spark, store, tmp_path):
+    for cut, rows in [(T, FIRST), (T1, SECOND), (T2, [row("A")])]:
+        pipeline.process_cut(spark, store, write_cut(spark, tmp_path, rows, cut))
+    got = store.history_between(T1.cut_date, T2.cut_date)
+    assert compared(got) == compared(store.history().filter(
+        F.col("valid_to").isNull() | (F.col("valid_to") > F.lit(T1.cut_date))))
+    assert store.history_between(T.cut_date, T.cut_date).filter(
+        F.col("valid_from") != F.lit(T.cut_date)).isEmpty()
+
+
+def test_an_untouched_store_has_every_table(spark, store):
+    assert {r["rows"] for r in store.table_sizes().collect()} == {0}
+
+
 def test_dropping_old_open_versions_keeps_the_history(spark, store, tmp_path):
     for cut, rows in [(T, FIRST), (T1, SECOND), (T2, [row("A")])]:
         pipeline.process_cut(spark, store, write_cut(spark, tmp_path, rows, cut))

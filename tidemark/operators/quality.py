@@ -158,12 +158,27 @@ def _row_check(a: Assertion) -> Column | None:
     return None
 
 
-def _grouped_check(df: DataFrame, a: Assertion) -> DataFrame:
-    if isinstance(a, Unique):
-        return repeated_values(df, a.column)
-    if isinstance(a, OneOpenVersion):
-        return several_open(df)
-    return several_per_cut(df)
+# Assertions that one keyed aggregate of the table can settle together.
+_KEYED = (OneOpenVersion, OneVersionPerCut)
+
+
+def keyed_violations(history: DataFrame) -> DataFrame:
+    """One row: keys with several open versions, (key, date) pairs with several versions. Rows
+    are spread by key once; counting per key and date and then per key needs no more."""
+    per_date = (history.select("movement_key", "valid_from", "is_current")
+                .repartition("movement_key").groupBy("movement_key", "valid_from")
+                .agg(F.count(F.lit(1)).alias("n"), F.count_if("is_current").alias("n_open")))
+    per_key = per_date.groupBy("movement_key").agg(
+        F.sum("n_open").alias("n_open"), F.count_if(F.col("n") > 1).alias("repeated"))
+    return per_key.agg(F.count_if(F.col("n_open") > 1).alias("several_open"),
+                       F.coalesce(F.sum("repeated"), F.lit(0)).alias("several_per_cut"))
+
+
+def _named(counted: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """(assertion, violations) rows of one row of counts, by assertion name and column."""
+    return counted.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("assertion"), F.col(c).alias("violations"))
+        for name, c in columns.items()])))
 
 
 def run_suite(tables: Mapping[str, DataFrame], suite: Sequence[Assertion]) -> DataFrame:
@@ -174,13 +189,15 @@ def run_suite(tables: Mapping[str, DataFrame], suite: Sequence[Assertion]) -> Da
         together = [(a, check) for a in mine if (check := _row_check(a)) is not None]
         if together:
             counted = df.agg(*[c.alias(f"c{i}") for i, (_, c) in enumerate(together)])
-            named = [F.struct(F.lit(a.name).alias("assertion"), F.col(f"c{i}").alias("violations"))
-                     for i, (a, _) in enumerate(together)]
-            parts.append(counted.select(F.inline(F.array(*named))))
-        parts += [_grouped_check(df, a)
+            parts.append(_named(counted, {a.name: f"c{i}" for i, (a, _) in enumerate(together)}))
+        keyed = {a.name: "several_open" if isinstance(a, OneOpenVersion) else "several_per_cut"
+                 for a in mine if isinstance(a, _KEYED)}
+        if keyed:
+            parts.append(_named(keyed_violations(df), keyed))
+        parts += [repeated_values(df, a.column)
                   .agg(F.count(F.lit(1)).alias("violations"))
                   .select(F.lit(a.name).alias("assertion"), "violations")
-                  for a in mine if _row_check(a) is None]
+                  for a in mine if isinstance(a, Unique)]
     missing = {a.table for a in suite} - set(tables)
     if missing:
         raise ValueError(f"no table given for: {sorted(missing)}")

@@ -19,6 +19,9 @@ from tidemark.sources.store import USABLE, Head, Store
 CUTS = (Cut("T", "T.parquet", date(2024, 11, 1)), Cut("T1", "T1.parquet", date(2024, 11, 2)),
         Cut("T2", "T2.parquet", date(2024, 11, 3)))
 
+# The days of the same cuts where they shall lie in different months.
+MONTHS_APART = (date(2024, 9, 30), date(2024, 11, 2), date(2025, 1, 15))
+
 # The fixture's dirt, by event id rn, cut number i and bad-row class.
 _PRESENT = "CASE i WHEN 1 THEN rn % 5 <> 0 WHEN 2 THEN rn % 4 <> 1 ELSE rn % 6 <> 2 END"
 _BAD = "CASE WHEN rn % 997 = 0 THEN CAST(floor(rn / 997) AS BIGINT) % 6 ELSE -1 END"

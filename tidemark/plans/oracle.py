@@ -213,6 +213,8 @@ def _cuts(body: str) -> str:
         for n, (label, _) in enumerate(_DAYS, start=1)))
 
 
+_APART = _merge_steps(MOVEMENTS.row_columns, [
+    (c.label, day.isoformat()) for c, day in zip(demo.CUTS, demo.MONTHS_APART)])
 _SHOWN = ROW_COLUMNS + (", change_type, is_current, is_deleted, valid_from, valid_to, "
                         "cut_label, prev_attr_hash")
 
@@ -443,6 +445,18 @@ ORACLE: dict[str, str] = {
                         "version_id, movement_key, valid_from FROM history"),
     "scd2_history": _hist("SELECT * FROM history"),
     "bulk_from_state": _hist(f"SELECT {_SHOWN} FROM history"),
+    "bootstrap": _hist('SELECT "table", CAST(0 AS BIGINT) AS rows_before, rows_after FROM ('
+                       + "\nUNION ALL ".join(
+                           f"SELECT '{t}' AS \"table\", count(*) AS rows_after FROM {source}"
+                           for t, source in (
+                               ("raw", "raw"), ("history", "history"),
+                               ("open_versions", "history WHERE is_current"),
+                               ("change_log", "change_log"),
+                               ("quarantine", "judged WHERE NOT usable"), ("ledger", "cuts"),
+                               ("failures", "cuts WHERE false"))) + ")"),
+    "history_by_date": f"WITH {_RAW},{_NORM},{_STAGED},{_APART}\n"
+                       f"SELECT {_SHOWN} FROM history WHERE valid_from <= DATE '2025-01-14' "
+                       "AND (valid_to IS NULL OR valid_to > DATE '2024-11-02')",
     "movement_trace": _hist("SELECT movement_key, change_type, is_current, is_deleted, "
                             "valid_from, valid_to, amount FROM history "
                             "ORDER BY movement_key, valid_from"),

@@ -446,6 +446,27 @@ def bulk_from_state(spark: SparkSession, sf: str) -> DataFrame:
     return _history_columns(store.history())
 
 
+@query("bootstrap")
+def bootstrap(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of every table of a store before the first cut and after the last."""
+    empty = Store(spark, scratch_path(spark, "store"), MOVEMENTS).table_sizes()
+    full = demo.published(spark, sf).table_sizes()
+    return empty.withColumnRenamed("rows", "rows_before").join(
+        full.withColumnRenamed("rows", "rows_after"), "table")
+
+
+@query("history_by_date")
+def history_by_date(spark: SparkSession, sf: str) -> DataFrame:
+    """The versions that held at some time from the second month to the day before the third
+    cut, when the cuts lie months apart; one commit brings the months of all of them."""
+    store = Store(spark, scratch_path(spark, "store"), MOVEMENTS)
+    cuts = [Cut(c.label, c.path, day)
+            for c, day in zip(demo.write_cuts(spark, sf), demo.MONTHS_APART)]
+    pipeline.rebuild(spark, store, cuts)
+    first, last = demo.MONTHS_APART[1], demo.MONTHS_APART[2] - timedelta(days=1)
+    return _history_columns(store.history_between(first, last))
+
+
 @query("movement_trace")
 def movement_trace(spark: SparkSession, sf: str) -> DataFrame:
     return history.trace(demo.full_history(spark, sf)).select(

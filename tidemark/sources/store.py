@@ -1,8 +1,8 @@
 """The published tables, as parquet folders that become visible commit by commit.
 
 ``raw/_cut_date=/_cut_label=``        landed cuts, each slice replaceable
-``versions/commit=/part=``            per commit: open versions (live, tombstone) in full,
-                                      and the versions it closed
+``versions/commit=/part=/until=``     per commit: open versions (live, tombstone) in full,
+                                      and the versions it closed, by the month they ended
 ``change_log/commit=``, ``quarantine/commit=``
 ``marts/commit=/<name>``              the marts' states, shown once the gate is passed
 ``failures/<run>``                    one small record per run that failed
@@ -19,9 +19,10 @@ import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +37,12 @@ from tidemark.operators.marts import finish_flow, summary_of, top_of
 USABLE = "_usable"
 # Fixed value: the folder of the counters beside the marts.
 COUNTERS = "estado"
+# Where open versions lie; sorts behind every month.
+OPEN_END = "open"
+
+
+def month_of(day: Column) -> Column:
+    return F.date_format(day, "yyyy-MM")
 
 
 @dataclass(frozen=True)
@@ -140,13 +147,15 @@ class Store:
 
     # -- versions --------------------------------------------------------------------
     def write_versions(self, versions: DataFrame, commit: int) -> None:
-        (versions.select(*self.spec.version_schema.fieldNames(), "part")
-         .write.partitionBy("part").mode("overwrite")
+        until = F.coalesce(month_of(F.col("valid_to")), F.lit(OPEN_END))
+        (versions.select(*self.spec.version_schema.fieldNames(), "part", until.alias("until"))
+         .write.partitionBy("part", "until").mode("overwrite")
          .parquet(self.path("versions", f"commit={commit}")))
 
     def versions(self) -> DataFrame:
-        """Every version row on disk, visible or not, with its commit and part."""
-        return self._read("versions", self.spec.version_schema, "commit bigint, part string")
+        """Every version row on disk, visible or not, with its commit, part and month."""
+        return self._read("versions", self.spec.version_schema,
+                          "commit bigint, part string, until string")
 
     def _version_rows(self, df: DataFrame) -> DataFrame:
         return df.select(*self.spec.version_schema.fieldNames())
@@ -170,16 +179,33 @@ class Store:
             self._version_rows(closed).unionByName(self.open_versions(head)))
 
     def as_of(self, day: date, head: Head | None = None) -> DataFrame:
-        """Live state on a date. What a cut closed stopped holding on the cut's date, so
-        the closed versions of commits up to ``day`` are not read at all."""
+        """Live state on a date; reads what ``history_between`` reads."""
+        return as_of(self.history_between(day, day, head), day)
+
+    def history_between(self, first: date, last: date, head: Head | None = None) -> DataFrame:
+        """The versions that held on any day from ``first`` to ``last``, tombstones included.
+
+        Closed versions lie by the month they ended, so only folders of the month of
+        ``first`` and of later ones are opened, whether one commit brought them or many.
+        """
         head = head or self.head()
-        later = [r["commit"] for r in self.ledger(head).filter(F.col("cut_date") > F.lit(day))
-                 .select("commit").distinct().collect()]
-        closed = self.versions().filter(
-            (F.col("part") == CLOSED)
-            & (F.col("commit").isin(*later) if later else F.lit(False)))
+        closed = self._visible(self.versions().filter(
+            (F.col("part") == CLOSED) & (F.col("until") >= f"{first:%Y-%m}")), head)
+        held = ((F.col("valid_from") <= F.lit(last))
+                & (F.col("valid_to").isNull() | (F.col("valid_to") > F.lit(first))))
         rows = self._version_rows(closed).unionByName(self.open_versions(head))
-        return with_version_id(as_of(rows, day))
+        return with_version_id(rows.filter(held))
+
+    def table_sizes(self, head: Head | None = None) -> DataFrame:
+        """(table, rows) of every table; a store nothing was written to has them all, empty."""
+        head = head or self.head()
+        tables = {"raw": self.raw(), "history": self.history(head),
+                  "open_versions": self.open_versions(head), "change_log": self.change_log(head),
+                  "quarantine": self.quarantine(head), "ledger": self.ledger(head),
+                  "failures": self.failures()}
+        return reduce(DataFrame.unionByName, [
+            df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
+            for name, df in tables.items()])
 
     def opened_by(self, commit: int, cut: Cut | None = None) -> DataFrame:
         """Versions a commit wrote and, given its cut, opened."""
