@@ -116,3 +116,22 @@ def test_empty_table(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     files = token_files.write(docs, VOCABULARY, f"{tmp_path}/none")
     assert token_files.digests(files).collect() == [] == token_files.documents(files).collect()
+
+
+def test_a_word_is_looked_up_once_for_all_texts_of_a_call():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *args):
+            self.asked += 1
+            return super().get(*args)
+
+    path = public_tokenizers.path(token_files.VOCABULARY)
+    encoder = token_files.Encoder(path)
+    texts = ["Die Zeit, die\tZeit\r\nund mehr ", None, "", " ", "die Zeit 12% é\u0301 \u00a0x"] * 50
+    expected = [np.array(encoder.whole.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes()
+                for t in texts]
+    encoder.known = Counted(encoder.known)
+    assert encoder.encode(texts) == expected
+    assert encoder.known.asked <= 12
+    assert encoder.encode([]) == [] and encoder.encode([None, ""]) == [b"", b""]

@@ -32,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -59,6 +60,10 @@ _FILES = ("part int, file int, path string, n_docs long, n_ids long, n_bytes lon
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 
 
+def _pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """Ids of whole texts.
 
@@ -88,23 +93,39 @@ class Encoder:
     def _learn(self, words: set[str], tokenizer) -> None:
         new = list(words.difference(self.known))
         found = tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found))
+        self.known.update((w, _pack(e.ids)) for w, e in zip(new, found))
         self.chars += sum(map(len, new))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The texts' ids as little-endian unsigned 32-bit integers."""
         if len(self.known) > WORDS or self.chars > WORD_CHARS:
             self.known, self.chars = {"": b""}, 0
-        known, missing, out = self.known, [], []
-        for t in texts:
-            words = ((t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ")
-                     .split(" "))
-            ids = list(map(known.get, words))
-            if None in ids:
-                missing += [(ids, i, words[i]) for i, x in enumerate(ids) if x is None]
-            out.append(ids)
-        plain, rest = {}, set()
-        for word in {word for _, _, word in missing}:
+        # a word is looked up once per call, however often it stands in the texts
+        parts = pc.split_pattern(pa.array([
+            (t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ") for t in texts],
+            pa.string()), " ")
+        places = parts.flatten().dictionary_encode()
+        words = places.dictionary.to_numpy(zero_copy_only=False).tolist()
+        which = places.indices.to_numpy()
+        found = list(map(self.known.get, words))
+        missing = [n for n, x in enumerate(found) if x is None]
+        self._learn_words([words[n] for n in missing])
+        for n in missing:
+            found[n] = self.known[words[n]]
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        counts = sizes[which]
+        ends = np.append(0, np.cumsum(counts))
+        at = np.repeat(starts[which] - ends[:-1], counts) + np.arange(ends[-1])
+        data = ids[at].tobytes()
+        bounds = (4 * ends[parts.offsets.to_numpy()]).tolist()
+        return [data[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Keeps the ids of words that are not known, each given once."""
+        known, plain, rest = self.known, {}, set()
+        for word in words:
             match = _PLAIN.fullmatch(word)
             if match:
                 plain[word] = match[1].lower(), match[2]
@@ -116,9 +137,6 @@ class Encoder:
         for word, (letters, marks) in plain.items():
             known[word] = known[letters] + known[marks]
         self.chars += sum(map(len, plain))
-        for ids, i, word in missing:
-            ids[i] = known[word]
-        return list(map(b"".join, out))
 
 
 @functools.lru_cache(maxsize=2)
