@@ -135,3 +135,25 @@ def test_a_word_is_looked_up_once_for_all_texts_of_a_call():
     assert encoder.encode(texts) == expected
     assert encoder.known.asked <= 12
     assert encoder.encode([]) == [] and encoder.encode([None, ""]) == [b"", b""]
+
+
+def test_words_of_letters_are_encoded_many_to_a_line(monkeypatch):
+    monkeypatch.setattr(token_files, "LINE", 7)
+    encoder = token_files.Encoder(VOCABULARY)
+
+    class Watched:
+        lines = []
+
+        def encode_batch_fast(self, lines, **options):
+            self.lines += lines
+            return one_match.encode_batch_fast(lines, **options)
+
+    one_match, encoder.one_match = encoder.one_match, Watched()
+    letters = [chr(c) for c in range(0x41, 0x100) if chr(c).isalpha() and chr(c) not in "ªµºß"]
+    words = [a + b + mark for a, b in zip(letters, letters[3:]) for mark in ("", "?!", ".x", "1")]
+    for text in (" ".join(words), " ".join(w.swapcase() for w in words)):
+        got = np.frombuffer(encoder.encode([text])[0], "<u4").tolist()
+        assert got == WHOLE.encode(text, add_special_tokens=False).ids
+    known = {w.lower() for w in words if w.isalpha()}
+    assert sorted(w for line in Watched.lines for w in line.split(" ")) == sorted(known)
+    assert len(Watched.lines) <= len(known) // 7 + 2

@@ -21,9 +21,9 @@ columns are not read.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -46,6 +46,7 @@ VOCABULARY = "word_bpe_49k.json"
 END = 1
 FILE_IDS = 1 << 24  # a file is closed after the document that reaches this
 SLICE_IDS = 1 << 19  # encoded or decoded at a time
+LINE = 1000  # words encoded as one line
 # Words kept per Python worker, about 220 bytes each; when there are more words or more
 # characters in them, the store starts anew.
 WORDS, WORD_CHARS = 1_000_000, 20_000_000
@@ -57,11 +58,31 @@ _FILES = ("part int, file int, path string, n_docs long, n_ids long, n_bytes lon
 
 # Words of letters that composition leaves alone, with punctuation behind them or none. Where
 # a letter and one of these marks meet, a match of the pre-tokenizer's pattern ends.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+_MARKS = ".,;:!?"
+_LETTERS = "^[A-Za-zÀ-ÖØ-öø-ÿ]+"
+_PLAIN = f"{_LETTERS}[{_MARKS}]*$"
 
 
-def _pack(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+class Numbers:
+    """An array that grows at its end."""
+
+    def __init__(self, kind):
+        self.room, self.n = np.empty(1 << 10, kind), 0
+
+    def add(self, values) -> None:
+        end = self.n + len(values)
+        if end > len(self.room):
+            room = np.empty(max(end, 2 * len(self.room)), self.room.dtype)
+            room[:self.n] = self.room[:self.n]
+            self.room = room
+        self.room[self.n:end] = values
+        self.n = end
+
+
+def runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all runs of numbers, one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class Encoder:
@@ -83,61 +104,105 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         whole = spec["pre_tokenizer"]["pretokenizers"]
-        one_match = {**spec, "normalizer": None, "added_tokens": [], "pre_tokenizer": next(
-            step for step in whole if step["type"] == "ByteLevel")}
+        steps = [{"type": "WhitespaceSplit"},
+                 next(step for step in whole if step["type"] == "ByteLevel")]
+        one_match = {**spec, "normalizer": None, "added_tokens": [],
+                     "pre_tokenizer": {"type": "Sequence", "pretokenizers": steps}}
         self.whole = Tokenizer.from_file(path)
         self.one_match = Tokenizer.from_str(json.dumps(one_match))
-        self.known: dict[str, bytes] = {"": b""}
+        # the last token of a match ends with the suffix, no other token does
+        tokens, suffix = spec["model"]["vocab"], spec["model"]["end_of_word_suffix"]
+        self.ends_match = np.zeros(max(tokens.values()) + 1, bool)
+        self.ends_match[[n for token, n in tokens.items() if token.endswith(suffix)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        # a word's number; where its ids start among all, and how many there are
+        self.known: dict[str, int] = {}
+        self.ids, self.starts, self.sizes = Numbers("<u4"), Numbers(np.int64), Numbers(np.int64)
         self.chars = 0
-
-    def _learn(self, words: set[str], tokenizer) -> None:
-        new = list(words.difference(self.known))
-        found = tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update((w, _pack(e.ids)) for w, e in zip(new, found))
-        self.chars += sum(map(len, new))
+        self._keep([""], np.empty(0, "<u4"), np.zeros(1, np.int64))
+
+    def _keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Keeps words that are not known, each given once, with the ids of all and each one's
+        number of ids; returns the words' numbers."""
+        numbers = np.arange(self.sizes.n, self.sizes.n + len(words))
+        self.known.update(zip(words, numbers.tolist()))
+        self.starts.add(self.ids.n + np.cumsum(sizes) - sizes)
+        self.sizes.add(sizes)
+        self.ids.add(ids)
+        self.chars += sum(map(len, words))
+        return numbers
+
+    def _find(self, words: list[str], learn) -> np.ndarray:
+        """The numbers of words, each given once; ``learn`` gives those of unknown ones."""
+        found = np.fromiter(map(self.known.get, words, itertools.repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            found[missing] = learn([words[n] for n in missing.tolist()])
+        return found
+
+    def _learn_whole(self, words: list[str]) -> np.ndarray:
+        found = [e.ids for e in self.whole.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(itertools.chain.from_iterable(found), "<u4", sizes.sum())
+        return self._keep(words, ids, sizes)
+
+    def _learn_letters(self, words: list[str]) -> np.ndarray:
+        """Words of letters in lower case, each of which is one match; many are encoded as one
+        line, in which the suffix tells where each ends."""
+        lines = [" ".join(words[n:n + LINE]) for n in range(0, len(words), LINE)]
+        found = self.one_match.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.concatenate([np.empty(0, "<u4"), *[np.array(e.ids, "<u4") for e in found]])
+        return self._keep(words, ids, np.diff(np.flatnonzero(self.ends_match[ids]), prepend=-1))
+
+    def _learn_words(self, words: list[str]) -> np.ndarray:
+        """Words of letters and marks are put together from these two halves."""
+        column = pa.array(words, pa.string())
+        match = pc.match_substring_regex(column, _PLAIN)
+        plain = column.filter(match)
+        letters = pc.utf8_lower(pc.utf8_rtrim(plain, _MARKS)).dictionary_encode()
+        marks = pc.replace_substring_regex(plain, _LETTERS, "").dictionary_encode()
+        # letters with marks, or not in lower case, are words of their own; all others were looked
+        # up as words already
+        other = pc.not_equal(plain, letters.dictionary_decode()).to_numpy(zero_copy_only=False)
+        first, second = letters.indices.to_numpy(), marks.indices.to_numpy()
+        unknown = np.zeros(len(letters.dictionary), bool)
+        unknown[first[~other]] = True
+        number = np.empty(len(unknown), np.int64)
+        number[unknown] = self._learn_letters(letters.dictionary.filter(unknown).to_pylist())
+        number[~unknown] = self._find(letters.dictionary.filter(~unknown).to_pylist(),
+                                      self._learn_letters)
+        own = number[first]
+        some = pc.not_equal(marks.dictionary, "").to_numpy(zero_copy_only=False)
+        number = np.zeros(len(some), np.int64)  # the empty word's is 0
+        number[some] = self._find(marks.dictionary.filter(some).to_pylist(), self._learn_whole)
+        halves = np.stack([own, number[second]], axis=1)[other]
+        sizes = self.sizes.room[halves]
+        ids = self.ids.room[runs(self.starts.room[halves].ravel(), sizes.ravel())]
+        own[other] = self._keep(plain.filter(other).to_pylist(), ids, sizes.sum(axis=1))
+        found, match = np.empty(len(words), np.int64), match.to_numpy(zero_copy_only=False)
+        found[match] = own
+        found[~match] = self._learn_whole(column.filter(~match).to_pylist())
+        return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The texts' ids as little-endian unsigned 32-bit integers."""
         if len(self.known) > WORDS or self.chars > WORD_CHARS:
-            self.known, self.chars = {"": b""}, 0
+            self._forget()
         # a word is looked up once per call, however often it stands in the texts
         parts = pc.split_pattern(pa.array([
             (t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ") for t in texts],
             pa.string()), " ")
         places = parts.flatten().dictionary_encode()
         words = places.dictionary.to_numpy(zero_copy_only=False).tolist()
-        which = places.indices.to_numpy()
-        found = list(map(self.known.get, words))
-        missing = [n for n, x in enumerate(found) if x is None]
-        self._learn_words([words[n] for n in missing])
-        for n in missing:
-            found[n] = self.known[words[n]]
-        ids = np.frombuffer(b"".join(found), "<u4")
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        starts = np.cumsum(sizes) - sizes
-        counts = sizes[which]
+        which = self._find(words, self._learn_words)[places.indices.to_numpy()]
+        counts = self.sizes.room[which]
+        data = self.ids.room[runs(self.starts.room[which], counts)].tobytes()
         ends = np.append(0, np.cumsum(counts))
-        at = np.repeat(starts[which] - ends[:-1], counts) + np.arange(ends[-1])
-        data = ids[at].tobytes()
         bounds = (4 * ends[parts.offsets.to_numpy()]).tolist()
         return [data[a:b] for a, b in zip(bounds, bounds[1:])]
 
-    def _learn_words(self, words: list[str]) -> None:
-        """Keeps the ids of words that are not known, each given once."""
-        known, plain, rest = self.known, {}, set()
-        for word in words:
-            match = _PLAIN.fullmatch(word)
-            if match:
-                plain[word] = match[1].lower(), match[2]
-                rest.add(match[2])
-            else:
-                rest.add(word)
-        self._learn(rest, self.whole)
-        self._learn({letters for letters, _ in plain.values()}, self.one_match)
-        for word, (letters, marks) in plain.items():
-            known[word] = known[letters] + known[marks]
-        self.chars += sum(map(len, plain))
-
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
