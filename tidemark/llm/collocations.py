@@ -10,10 +10,11 @@ wholly in the chunk in which it starts; a start in the overlap counts for the la
 alone, the last chunk of a piece counts all its starts.
 
 Words are counted while parsing, as every word is a start of one chunk. All parts of a phrase
-that occurs often enough do so too, so pairs are counted only where both words may be
-frequent, longer phrases where all their pairs may be. This is looked up in a Bloom filter of
-2 ** ``FILTER_BITS`` bits, of fixed size and without false negatives: when it fills up, more
-phrases are counted, the result stays the same.
+that occurs often enough do so too. So pairs of frequent words are counted first, by their
+hashes; then all phrases whose pairs may be frequent are counted by their words. What may be
+frequent is looked up in a Bloom filter of 2 ** ``FILTER_BITS`` bits, of fixed size and without
+false negatives, as pairs that share a hash are counted together: when it fills up, more phrases
+are counted, the result stays the same.
 
 Null texts count as empty, a null language as ``und``. Repeated rows count each. A table
 without frequent phrases gives no rows. Other columns are not read. All arithmetic on counts
@@ -55,7 +56,7 @@ _MIX = tuple(np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x16
 
 
 class Words(dict):
-    """Numbers for words in the order they come, with a hash of each."""
+    """Numbers for words in the order they come."""
 
     def __init__(self):
         super().__init__()
@@ -66,10 +67,11 @@ class Words(dict):
         self.names.append(word)
         return n
 
-    def hashes(self) -> np.ndarray:
-        crc = np.fromiter(map(zlib.crc32, self.names), np.uint64, len(self.names))
-        size = np.fromiter(map(len, self.names), np.uint64, len(self.names))
-        return mixed(crc + (size << np.uint64(32)), _MIX[0])
+
+def word_hashes(names: list[bytes]) -> np.ndarray:
+    crc = np.fromiter(map(zlib.crc32, names), np.uint64, len(names))
+    size = np.fromiter(map(len, names), np.uint64, len(names))
+    return mixed(crc + (size << np.uint64(32)), _MIX[0])
 
 
 def mixed(x: np.ndarray, by: np.uint64) -> np.ndarray:
@@ -94,7 +96,7 @@ def parse(texts: list[str]) -> tuple[Counter, Counter]:
     names = Words()
     ids = np.fromiter(map(names.__getitem__, line), np.int64, len(line))
     mark = names.get(b"\xff", -1)
-    hashes = phrase_hashes(names.hashes()[ids] if len(ids) else np.empty(0, np.uint64), WINDOW)
+    hashes = phrase_hashes(word_hashes(names.names)[ids] if len(ids) else np.empty(0, np.uint64), WINDOW)
     trigger = np.flatnonzero(hashes % np.uint64(MODULUS) == 0)
     # the window must not reach over the end of its piece
     ends = np.append(np.flatnonzero(ids == mark), len(line))
@@ -161,25 +163,23 @@ class Line:
     """The words of several chunks in a row, with their language, weight and place."""
 
     def __init__(self, langs: pa.Array, texts: pa.Array, last: np.ndarray, freq: np.ndarray):
-        self.words = Words()
-        ended = pc.binary_join_element_wise(texts, "", " \n ")  # no chunk holds a line end
-        whole = pc.binary_join(pa.ListArray.from_arrays([0, len(ended)], ended), "")
-        line = whole[0].as_buffer().to_pybytes().split(b" ")[:-1]
-        ids = np.fromiter(map(self.words.__getitem__, line), np.int64, len(line))
-        ends = ids == self.words.get(b"\n", -1)
-        row = (np.cumsum(ends) - ends)[~ends]
-        self.ids = ids[~ends]
+        # words of a chunk are joined by single spaces
+        parts = pc.split_pattern(texts, " ")
+        coded = parts.flatten().dictionary_encode()
+        self.words = coded.dictionary
+        self.ids = coded.indices.to_numpy().astype(np.int64)
+        counts = pc.list_value_length(parts).to_numpy()
+        row = np.repeat(np.arange(len(texts)), counts)
         coded = langs.dictionary_encode()
         self.langs = coded.dictionary
         self.lang = coded.indices.to_numpy()[row].astype(np.int64)
         self.weight = freq[row]
-        stops = np.cumsum(np.bincount(row, minlength=1))
-        self.left = stops[row] - np.arange(len(row))  # words from here to the chunk's end
+        self.left = np.cumsum(counts)[row] - np.arange(len(row))  # words from here to the chunk's end
         # starts in the overlap count for the next chunk
         self.own = last[row] | (self.left > WINDOW)
         crc = np.array([zlib.crc32(x.as_py().encode()) for x in self.langs], np.uint64)
-        self.hashes = self.words.hashes()[self.ids] if len(row) else np.empty(0, np.uint64)
-        self.hashes = self.hashes + (mixed(crc, _MIX[2])[self.lang] if len(row) else self.hashes)
+        names = self.words.cast(pa.binary()).to_pylist()
+        self.hashes = word_hashes(names)[self.ids] + mixed(crc, _MIX[2])[self.lang]
 
     def starts(self, n: int, frequent: np.ndarray | None, m: int) -> np.ndarray:
         """Where phrases of n words start that this line counts, and whose parts of m words
@@ -191,6 +191,17 @@ class Line:
                 at = at[part[at + k]]
         return at
 
+    def hashed(self, n: int, at: np.ndarray) -> pa.RecordBatch:
+        """(hash, f) of the phrases of n words that start at ``at``."""
+        hashes = phrase_hashes(self.hashes, n)[at]
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[:len(at)])
+        weight = self.weight[at[order]]
+        total = np.add.reduceat(weight, first) if len(at) else weight
+        return pa.RecordBatch.from_arrays(
+            [pa.array(hashes[first].view(np.int64)), pa.array(total)], ["hash", "f"])
+
     def counted(self, n: int, at: np.ndarray) -> pa.RecordBatch:
         """(lang, size, phrase, f) of the phrases of n words that start at ``at``."""
         hashes = phrase_hashes(self.hashes, n)[at]
@@ -203,9 +214,8 @@ class Line:
         first = np.flatnonzero(np.append(True, new)[:len(at)])
         total = np.add.reduceat(self.weight[at], first) if len(at) else self.weight[:0]
         at = at[first]
-        names = pa.array(self.words.names, pa.binary()).cast(pa.string())
         phrase = pc.binary_join_element_wise(
-            *[names.take(pa.array(self.ids[at + k])) for k in range(n)], " ")
+            *[self.words.take(pa.array(self.ids[at + k])) for k in range(n)], " ")
         return pa.RecordBatch.from_arrays(
             [self.langs.take(pa.array(self.lang[at])), pa.array(np.full(len(at), n, np.int32)),
              phrase, pa.array(total)], ["lang", "size", "phrase", "f"])
@@ -220,43 +230,64 @@ def in_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return hit
 
 
-def frequent_filter(frequent: DataFrame, n: int) -> Broadcast:
-    """The Bloom filter of frequent phrases of n words, OR-ed together in Spark."""
+def filter_of(hashes: DataFrame) -> Broadcast:
+    """The Bloom filter of a column ``hash``, OR-ed together in Spark."""
+    mask = F.lit((1 << FILTER_BITS) - 1)
+    places = F.array(F.col("hash").bitwiseAND(mask),
+                     F.shiftrightunsigned("hash", 32).bitwiseAND(mask))
+    rows = (hashes.select(F.explode(places).alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, CAST(at & 63 AS INT))")).alias("bits"))
+            .select(F.col("word").cast("int").alias("word"), "bits").toArrow())
+    bits = np.zeros(1 << FILTER_BITS - 6, np.uint64)  # at most 2 ** 20 rows of 12 bytes
+    bits[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return hashes.sparkSession.sparkContext.broadcast(bits)
+
+
+def hashes_of_words(words: DataFrame) -> DataFrame:
+    """(hash) of every (lang, phrase) of one word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, "phrase"):
             line = Line(batch.column(0), batch.column(1), np.ones(batch.num_rows, bool),
                         np.ones(batch.num_rows, np.int64))
-            own = phrase_hashes(line.hashes, n)[line.left[:max(len(line.ids) - n + 1, 0)] == n]
-            bits = np.zeros(1 << FILTER_BITS - 6, np.uint64)
-            for shift in (0, 32):
-                at = (own >> np.uint64(shift)) & np.uint64((1 << FILTER_BITS) - 1)
-                np.bitwise_or.at(bits, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
-            word = np.flatnonzero(bits)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(word.astype(np.int32)), pa.array(bits[word].view(np.int64))],
-                ["word", "bits"])
-
-    rows = (frequent.select("lang", "phrase").mapInArrow(run, "word int, bits long")
-            .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow())
-    bits = np.zeros(1 << FILTER_BITS - 6, np.uint64)  # at most 2 ** 20 rows of 12 bytes
-    bits[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
-    return frequent.sparkSession.sparkContext.broadcast(bits)
+                [pa.array(phrase_hashes(line.hashes, 1).view(np.int64))], ["hash"])
 
+    return words.select("lang", "phrase").mapInArrow(run, "hash long")
 
-def phrases(parsed: DataFrame, sizes: tuple[int, ...], frequent: DataFrame, m: int) -> DataFrame:
-    """(lang, size, phrase, f) of the phrases over a dictionary that occur often enough, given
-    those of m words that do."""
-    filtered = frequent_filter(frequent, m)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _each_line(parsed: DataFrame, run, schema: str) -> DataFrame:
+    """``run(line)`` for the chunks of a dictionary, many in a line."""
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, "chunk"):
-            line = Line(batch.column(0), batch.column(1), batch.column(2).to_numpy() == LAST,
-                        batch.column(3).to_numpy())
-            for n in sizes:
-                yield line.counted(n, line.starts(n, filtered.value, m))
+            yield from run(Line(batch.column(0), batch.column(1),
+                                batch.column(2).to_numpy() == LAST, batch.column(3).to_numpy()))
 
     return (parsed.filter(F.col("kind") != WORD).select("lang", "chunk", "kind", "freq")
-            .mapInArrow(run, "lang string, size int, phrase string, f long")
+            .mapInArrow(lines, schema))
+
+
+def hashes_of_pairs(parsed: DataFrame, words: DataFrame) -> DataFrame:
+    """(hash) of the pairs that may occur often enough, given the words that do. Pairs are
+    counted by their hashes alone; pairs that share one are counted together."""
+    filtered = filter_of(hashes_of_words(words))
+
+    def run(line: Line) -> Iterator[pa.RecordBatch]:
+        yield line.hashed(2, line.starts(2, filtered.value, 1))
+
+    return (_each_line(parsed, run, "hash long, f long").groupBy("hash")
+            .agg(F.sum("f").alias("f")).filter(F.col("f") >= LEAST).select("hash"))
+
+
+def phrases(parsed: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(lang, size, phrase, f) of the phrases of two words and more over a dictionary that occur
+    often enough, given the hashes of all pairs that may."""
+    filtered = filter_of(pairs)
+
+    def run(line: Line) -> Iterator[pa.RecordBatch]:
+        for n in range(2, LONGEST + 1):
+            yield line.counted(n, line.starts(n, filtered.value, 2))
+
+    return (_each_line(parsed, run, "lang string, size int, phrase string, f long")
             .groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
             .filter(F.col("f") >= LEAST))
 
@@ -268,9 +299,8 @@ def frequent_phrases(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     words = parsed.filter(F.col("kind") == WORD).select(
         "lang", F.lit(1).alias("size"), F.col("chunk").alias("phrase"), F.col("freq").alias("f"))
     single = words.filter(F.col("f") >= LEAST)
-    double = stored(phrases(parsed, (2,), single, 1), "phrases")
-    longer = stored(phrases(parsed, tuple(range(3, LONGEST + 1)), double, 2), "phrases")
-    return (single.unionByName(double).unionByName(longer),
+    longer = stored(phrases(parsed, hashes_of_pairs(parsed, single)), "phrases")
+    return (single.unionByName(longer),
             words.groupBy("lang").agg(F.sum("f").alias("n")))
 
 
