@@ -9,7 +9,7 @@ from conftest import CUTS, T, T1, compared, raw, row, valid, write_cut
 from tidemark.functions.hashing import multiset_checksum
 from tidemark.model import MOVEMENTS
 from tidemark.operators import history, keys, merge
-from tidemark.plans import pipeline
+from tidemark.plans import demo, pipeline
 from tidemark.session import WRITERS, unsorted_folders
 from tidemark.sources.store import Store
 
@@ -103,3 +103,19 @@ def test_the_bound_on_open_versions_covers_them(spark, tmp_path):
     for rows, cut in zip(days(), CUTS):
         pipeline.process_cut(spark, store, write_cut(spark, tmp_path, rows, cut))
         assert store.open_at_most() >= store.open_versions().count()
+
+
+def test_probes_are_not_shuffled_again_for_the_join(spark, tmp_path, monkeypatch):
+    """Days are added behind the shuffle that makes the keys distinct; the join needs no other."""
+    store = Store(spark, str(tmp_path / "store"), MOVEMENTS)
+    for rows, cut in zip(days()[:2], CUTS):
+        pipeline.process_cut(spark, store, write_cut(spark, tmp_path, rows, cut))
+    monkeypatch.setattr(demo, "published", lambda *_: store)
+    wanted = [T.cut_date, T1.cut_date]
+    probes = demo.probes(spark, "unused", wanted)
+    keys_there = {r[0] for r in store.history().select("movement_key").collect()}
+    assert sorted(map(tuple, probes.collect())) == sorted(
+        (k, d) for k in {*keys_there, "none"} for d in wanted)
+    versions = store.history().hint("merge")
+    plan = physical(history.as_of_join(probes, versions))
+    assert plan.count("Exchange hashpartitioning(movement_key") == 1  # the distinct keys'
