@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as public
+import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -161,6 +162,22 @@ def test_segments_cover_every_place_once_and_equal_strings_share_their_anchor():
     assert seen == {(t, i): 1 for t, d in enumerate(data) for i in range(len(d) - 199)}
 
 
+@pytest.mark.parametrize("level", range(1, suffix_dedup.LEVELS + 1))
+def test_anchors_of_several_scramblings_do_the_same(level):
+    random.seed(level)
+    line = bytes(random.choices(b"abcdefgh", k=169))
+    data = [bytes(random.choices(b"abcd", k=n)) for n in (199, 200, 2000)] + [b"a" * 3000, line * 4]
+    data.append(b"x" + data[2][100:900] + b"y")
+    seen, anchors, inside = Counter(), {}, Counter()
+    for k, (t, s, n, anchor, double) in enumerate(zip(*suffix_dedup.segments(data, level))):
+        for i in range(s, s + n):
+            seen[t, i] += 1
+            assert anchors.setdefault(data[t][i:i + 200], anchor) == anchor
+            inside[k, data[t][i:i + 200]] += 1
+            assert double or inside[k, data[t][i:i + 200]] == 1
+    assert seen == {(t, i): 1 for t, d in enumerate(data) for i in range(len(d) - 199)}
+
+
 # -- language, licenses, secrets, neighbours --------------------------------------------
 def test_languages():
     assert langid.has_letter("1é") and not langid.has_letter("1 !") and not langid.has_letter(None)

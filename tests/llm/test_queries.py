@@ -189,6 +189,24 @@ def test_hot_anchors_are_dealt_out_again(spark):
         assert (len(t) - len(kept), spans, sha(kept)) == want[1:]
 
 
+def test_anchors_that_stay_hot_take_two_rounds_more(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    line = "".join(rng.choice(list("abcdefghij"), 400))
+    texts = [line[:200 + i] + str(i) + line[200 + i:] for i in range(0, 12)] + [line]
+    df = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "a long, data binary")
+    levels, own = [], suffix_dedup.occurrences
+    monkeypatch.setattr(suffix_dedup, "occurrences",
+                        lambda sources, level: levels.append(level) or own(sources, level))
+    runs, _ = suffix_dedup.repeated_places(df.selectExpr("a", "a AS b", "data"), hot_bytes=0)
+    lists = {}
+    for r in runs.distinct().collect():
+        lists.setdefault(r["a"], []).append((r["start"], r["many"]))
+    assert levels == [0, 1, 2]
+    for i, (t, want) in enumerate(zip(texts, plain_cut(texts))):
+        kept, spans = suffix_dedup.cut(t.encode(), lists.get(i, []))
+        assert (len(t) - len(kept), spans, sha(kept)) == want[1:]
+
+
 def test_tokens(spark, folder):
     def plain(t):
         ids = PLAIN.encode_ordinary(t)

@@ -14,7 +14,8 @@ the bytes its strings cover is a segment, and segments are all that travels:
 3. Each shard, whole anchors up to ``SHARD_BYTES``, gets a suffix array by induced sorting
    and permuted common prefixes; a place repeats if it shares 200 bytes with a neighbour.
    An anchor with more than ``HOT_BYTES`` of different segments is dealt out again instead:
-   its segments take the place of the documents, with another scrambling of the hashes.
+   its segments take the place of the documents, and the smallest hashes of several other
+   scramblings together are the anchor, which spares a round of its own for each.
 4. Repeated places go back to all documents that have their segment, and each document
    drops the bytes they cover.
 
@@ -42,8 +43,10 @@ WIDTH, GRAM = 200, 32
 MOST_PLACES = 2_048
 SHARD_BYTES = 1 << 20
 HOT_BYTES = 256 << 10
-# Dealing out hot anchors again ends here at the latest; what is left is sorted as it is.
-LEVELS = 6
+# The scramblings whose smallest hashes make the anchor of each round. Dealing out hot anchors
+# again ends with the last round; what is left is sorted as it is.
+SCRAMBLINGS = ((0,), (1, 2), (3, 4, 5, 6))
+LEVELS = len(SCRAMBLINGS) - 1
 _U = np.uint64
 _STEPS = [_U(int(x) | 1) for x in mix(np.arange(1, 9, dtype=_U))]
 _LETTER = mix(np.arange(256, dtype=_U) + _U(0x9E3779B97F4A7C15))
@@ -59,6 +62,10 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(values[:-rest], values[rest:]) if rest else values
 
 
+def _scrambled(grams: np.ndarray, k: int) -> np.ndarray:
+    return mix(grams + _U(k * 0x632BE59BD9B4E019 % 2 ** 64))
+
+
 def segments(data: list[bytes], level: int = 0) -> tuple[np.ndarray, ...]:
     """Segments of all texts: (text, start, places, anchor, whether the anchor may stand in
     it twice), in order."""
@@ -73,9 +80,13 @@ def segments(data: list[bytes], level: int = 0) -> tuple[np.ndarray, ...]:
         value = value[:-span] * step + value[span:]
         value ^= value >> _U(29)
         span *= 2
-    value = mix(value + _U(level * 0x632BE59BD9B4E019 % 2 ** 64))
-    width = WIDTH - GRAM + 1
+    grams, width = value, WIDTH - GRAM + 1
+    first, *others = SCRAMBLINGS[level]
+    value = _scrambled(grams, first)
     least = _sliding(value, width, np.minimum)
+    anchors = least
+    for k in others:
+        anchors = mix(anchors * _STEPS[0] + _sliding(_scrambled(grams, k), width, np.minimum))
     ends = np.cumsum(sizes)
     starts = ends - sizes
     mark = np.zeros(len(line) + 1, np.int8)
@@ -83,20 +94,21 @@ def segments(data: list[bytes], level: int = 0) -> tuple[np.ndarray, ...]:
     mark[starts[long]] += 1
     np.add.at(mark, ends[long] - WIDTH + 1, -1)
     valid = np.cumsum(mark[:len(least)], dtype=np.int8) > 0
-    change = np.flatnonzero((least[1:] != least[:-1]) | (valid[1:] != valid[:-1])) + 1
+    change = np.flatnonzero((anchors[1:] != anchors[:-1]) | (valid[1:] != valid[:-1])) + 1
     begin = np.concatenate([[0], change])
     stop = np.append(change, len(least))
     begin, stop = begin[valid[begin]], stop[valid[begin]]
-    anchor = least[begin]
+    anchor = anchors[begin]
 
-    # where the anchors themselves stand: no string around has a smaller hash
+    # where the first scrambling's anchors themselves stand: no string around has a smaller
+    # hash. Strings that repeat inside a segment hold all of its anchors, the first one too
     around = np.zeros(len(value) + width - 1, _U)
     around[width - 1:width - 1 + len(least)] = np.where(valid, least, _U(0))
     stands = np.flatnonzero(_sliding(around, width, np.maximum)[:len(value)] == value)
     # at a distance of width a string holds one of the two, and the run goes on unbroken
     twice = np.flatnonzero((value[stands][1:] == value[stands][:-1])
                            & (np.diff(stands) <= width))
-    double = np.isin(anchor, np.unique(value[stands[twice]]))
+    double = np.isin(least[begin], np.unique(value[stands[twice]]))
 
     pieces = -(-(stop - begin) // MOST_PLACES)
     part = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
