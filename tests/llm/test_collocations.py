@@ -126,3 +126,20 @@ def test_twin(spark, sf):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "lang string, text string")
     assert co.collocations(docs).collect() == []
+
+
+def test_a_task_writes_one_file_of_the_dictionary(spark, monkeypatch):
+    written = []
+
+    def stored(df, name, *parts):
+        out = own(df, name, *parts)
+        written.append((name, df.rdd.getNumPartitions(), len(out.inputFiles())))
+        return out
+
+    own = co.stored
+    monkeypatch.setattr(co, "stored", stored)
+    docs = spark.createDataFrame([(lang, text) for lang, text in rows_of_words()], "lang string, text string")
+    frequent, _ = co.frequent_phrases(docs)
+    assert frequent.filter("size > 1").count()
+    [(tasks, files)] = [x[1:] for x in written if x[0] == "dictionary"]
+    assert files <= tasks

@@ -295,7 +295,9 @@ def phrases(parsed: DataFrame, pairs: DataFrame) -> DataFrame:
 def frequent_phrases(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(lang, size, phrase, f) of all phrases with ``LEAST`` occurrences, up to ``LONGEST``
     words; and (lang, n), the word occurrences of each language."""
-    parsed = stored(dictionary(docs), "dictionary", ["kind"])
+    # sorted by kind, readers skip the pages of the others; a file per kind and task would start
+    # three times the processes that local file systems need for a new file
+    parsed = stored(dictionary(docs).sortWithinPartitions("kind"), "dictionary")
     words = parsed.filter(F.col("kind") == WORD).select(
         "lang", F.lit(1).alias("size"), F.col("chunk").alias("phrase"), F.col("freq").alias("f"))
     single = words.filter(F.col("f") >= LEAST)
